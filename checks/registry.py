@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgate.functions import tables as t
+from corpusgate.sources.scan import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,8 +26,12 @@ def check(name: str, sql: str | None = None):
     return register
 
 
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 # A second form of each text, made from its key, that holds what the tables lack: numerals, names, units, labels,

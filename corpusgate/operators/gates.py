@@ -65,3 +65,22 @@ def class_transition(before: DataFrame, after: DataFrame, key: Sequence[str], cl
         "delta": F.col("after") - F.col("before"),
         "pass": F.col("before") + F.col("entered") - F.col("left") == F.col("after"),
     })
+
+
+def key_differences(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys that only one side holds; empty when the two key sets are equal."""
+    one = left.select(*key, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+    two = right.select(*key, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    d = one.unionByName(two).groupBy(*key).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r")).where("_l <> _r")
+    return d.select(*key, F.when(F.col("_l") == 1, "left_only").otherwise("right_only").alias("side"))
+
+
+def multiset_differences(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose number of occurrences differs between two row streams; empty when the multisets are equal.
+
+    One union and one aggregate, combined before the shuffle, instead of two ``EXCEPT ALL`` passes.
+    """
+    one = left.select(*columns, F.lit(1).cast("bigint").alias("_l"), F.lit(0).cast("bigint").alias("_r"))
+    two = right.select(*columns, F.lit(0).cast("bigint").alias("_l"), F.lit(1).cast("bigint").alias("_r"))
+    d = one.unionByName(two).groupBy(*columns).agg(F.sum("_l").alias("left_n"), F.sum("_r").alias("right_n"))
+    return d.where("left_n <> right_n")

@@ -99,3 +99,33 @@ def signature_multiset(tokens: DataFrame, by: Sequence[str], word: str = "run")
     n = tokens.groupBy(*by, word).agg(F.count("*").alias("n"))
     n = n.withColumn("reasons", F.array_join(fx.block_reasons(F.col(word)), ","))
     return n.where(F.col("reasons") != "")
+
+
+def _flagged_counts(docs: DataFrame, by: Sequence[str]) -> DataFrame:
+    word = F.col("word")
+    return surface_counts(docs, by).select(
+        *by, "n", (fx.has_unmapped(word) | fx.has_wrong_script(word)).alias("u"), fx.is_roman(word).alias("r")
+    )
+
+
+def _total(cond: Column, alias: str) -> Column:
+    return F.sum(F.when(cond, F.col("n")).otherwise(0)).alias(alias)
+
+
+def overlapping_inventories(docs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sub-inventories of blocked words, which overlap, and the identity that ties them together."""
+    u, r = F.col("u"), F.col("r")
+    out = _flagged_counts(docs, by).groupBy(*by).agg(
+        _total(u, "unsupported"), _total(r, "roman"), _total(u & r, "both"), _total(u | r, "blocked")
+    )
+    return out.withColumn("pass", F.col("blocked") == F.col("unsupported") + F.col("roman") - F.col("both"))
+
+
+def blocked_rollup(docs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Counters per group, per prefix of the groups, and over the whole corpus."""
+    u, r = F.col("u"), F.col("r")
+    per = _flagged_counts(docs, by).groupBy(*by).agg(
+        F.sum("n").alias("words"), _total(u, "unsupported"), _total(r, "roman"), _total(u | r, "blocked")
+    )
+    names = ("words", "unsupported", "roman", "blocked")
+    return per.rollup(*by).agg(*[F.sum(n).alias(n) for n in names])
