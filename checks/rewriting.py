@@ -1,0 +1,314 @@
+"""Projection, edits and replay."""
+
+from pyspark.sql import functions as F
+
+from corpusgate.functions import tables as t
+from corpusgate.functions import text as fx
+from corpusgate.operators import edits, identity, inventory, lines, matches, projection, spans, tokens
+
+from .joins import ISSUES_SQL, structural_issues
+from .registry import (
+    L, LATER, LATER_DOCS, V_DOCS, blocked_sql, check, later_docs, lines_sql, project_text_sql, roman_sql, runs_sql,
+    script_sql, table, unmapped_sql, variant_docs, words_sql,
+)
+from .scalars import CYR_UNITS_RE2, ONE_LETTER_SQL, UNITS_RE2
+from .windows import names_sql
+
+# ---- protection of the variant texts -----------------------------------------------------------------------------
+# Names are protected, one-letter words follow their disposition, blocked words are approved identities, and units are
+# kept; what is left over must project without residue.
+
+_UNITS_SQL = f"""(SELECT doc_id, e - n AS start, e AS "end" FROM (SELECT doc_id, hit, n, sum(n) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS e FROM (
+    SELECT doc_id, i, piece LIKE chr(1) || '%' AS hit, length(piece) - 2 * (piece LIKE chr(1) || '%')::INT AS n FROM (
+      SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM (SELECT doc_id, regexp_extract_all(
+        regexp_replace(text, '([0-9])((?i:(?:true[ \\t]*)?(?:{t.UNIT_ALTERNATION})))([^{L}\\p{{Nd}}_]|$)', '\\1' || chr(1) || '\\2' || chr(2) || '\\3', 'g'),
+        '\\x01[^\\x02]*\\x02|[^\\x01]+') AS p FROM {V_DOCS})))) WHERE hit)"""
+_BLOCKED_SQL = f"""(SELECT doc_id, off AS start, off + length(run) AS "end" FROM {runs_sql(V_DOCS)} WHERE is_word AND {blocked_sql('run')})"""
+
+
+def _merge_sql(ranges):
+    return f"""(SELECT doc_id, min(start)::BIGINT AS start, max("end")::BIGINT AS "end" FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start, "end"
+    ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY doc_id ORDER BY start, "end"
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM {ranges})) GROUP BY doc_id, g)"""
+
+
+PROTECTED_SQL = _merge_sql(f"""(SELECT doc_id, start, "end" FROM {names_sql(matches.INITIAL_NAME, 0, 'x')}
+  UNION ALL SELECT doc_id, off, off + 1 FROM ({ONE_LETTER_SQL}) WHERE disposition LIKE 'PRESERVE%'
+  UNION ALL SELECT * FROM {_BLOCKED_SQL} UNION ALL SELECT * FROM {_UNITS_SQL})""")
+
+
+def _trace_sql(protected):
+    """Gap-free pieces with both texts, in order."""
+    return f"""(WITH m AS MATERIALIZED (SELECT doc_id, start, "end" FROM {protected}), d AS (SELECT doc_id, text FROM {V_DOCS}),
+      e AS (SELECT doc_id, start, "end" FROM m UNION ALL SELECT doc_id, length(text), length(text) FROM d),
+      g AS (SELECT doc_id, coalesce(max("end") OVER (PARTITION BY doc_id ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, start AS b FROM e),
+      p AS (SELECT doc_id, a AS in_start, b AS in_end, false AS protected FROM g WHERE a < b UNION ALL SELECT doc_id, start, "end", true FROM m),
+      x AS (SELECT p.*, substring(text, in_start + 1, in_end - in_start) AS in_text FROM p JOIN d USING (doc_id)),
+      y AS (SELECT *, CASE WHEN protected THEN in_text ELSE {project_text_sql('in_text')} END AS out_text FROM x)
+    SELECT doc_id, in_start, in_end, protected, in_text, out_text, (sum(length(out_text)) OVER (PARTITION BY doc_id ORDER BY in_start) - length(out_text))::BIGINT AS out_start,
+      (sum(length(out_text)) OVER (PARTITION BY doc_id ORDER BY in_start))::BIGINT AS out_end FROM y)"""
+
+
+TRACE_SQL = _trace_sql(PROTECTED_SQL)
+OUTPUT_SQL = f"(SELECT doc_id, string_agg(out_text, '' ORDER BY in_start) AS text FROM {TRACE_SQL} GROUP BY doc_id)"
+
+
+def protection(spark, sf, units=True):
+    docs = variant_docs(spark, sf)
+    names = matches.name_spans(docs, ["doc_id"], *matches.NAME_SUBTYPES[0])
+    letters = inventory.one_letter_inventory(docs, names, letters=("A", "I", "V", "M"))
+    rows = names.withColumn("disposition", F.lit("PROTECT_COMPLETE_UNINFLECTED_IDENTITY")).select("doc_id", "start", "end", "disposition")
+    rows = rows.unionByName(letters.select("doc_id", F.col("off").alias("start"), "end", "disposition"))
+    held = tokens.tokenise(docs).where(F.col("is_word") & ~fx.is_projectable(F.col("run"))).select(
+        "doc_id", F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end")
+    )
+    return docs, projection.protected_spans(docs, rows, held, units=units)
+
+
+@check("r6_protected_spans", f"SELECT * FROM {PROTECTED_SQL}")
+def r6(spark, sf):
+    return protection(spark, sf)[1]
+
+
+@check("r1_project_documents", f"SELECT doc_id, text FROM {OUTPUT_SQL}")
+def r1(spark, sf):
+    return projection.project_documents(*protection(spark, sf))
+
+
+@check(
+    "r2_projection_trace",
+    f"SELECT doc_id, in_start, in_end, out_start, out_end, protected, in_text, out_text, upper(sha256(out_text)) AS surface_sha256 FROM {TRACE_SQL}",
+)
+def r2(spark, sf):
+    return projection.projection_trace(*protection(spark, sf))
+
+
+@check(
+    "r3_derivations_agree",
+    f"SELECT doc_id, upper(sha256(text)) AS first_sha256, upper(sha256(text)) AS second_sha256, true AS pass FROM {OUTPUT_SQL}",
+)
+def r3(spark, sf):
+    docs, spans_ = protection(spark, sf)
+    return projection.derivations_agree(projection.project_documents(docs, spans_), projection.project_by_tokens(docs, spans_))
+
+
+@check("r4_inverse_replay", f"SELECT doc_id, upper(sha256(text)) AS first_sha256, upper(sha256(text)) AS second_sha256, true AS pass FROM {V_DOCS}")
+def r4(spark, sf):
+    docs, spans_ = protection(spark, sf)
+    trace = projection.projection_trace(docs, spans_)
+    back = projection.replay_inverse(trace, projection.project_documents(docs, spans_))
+    return projection.derivations_agree(docs, back)
+
+
+@check(
+    "r5_latin_residuals",
+    f"""WITH r AS MATERIALIZED {_merge_sql(f'(SELECT doc_id, out_start AS start, out_end AS "end" FROM {TRACE_SQL} WHERE protected)')}
+    SELECT w.doc_id, w.off, w.off + length(w.run) AS stop, w.run AS word, r.start IS NOT NULL AS covered
+    FROM {runs_sql(OUTPUT_SQL)} w LEFT JOIN r ON r.doc_id = w.doc_id AND r.start <= w.off AND w.off + length(w.run) <= r."end"
+    WHERE w.is_word AND regexp_matches(w.run, '\\p{{Latin}}')""",
+)
+def r5(spark, sf):
+    docs, spans_ = protection(spark, sf)
+    trace = projection.projection_trace(docs, spans_)
+    out = projection.project_documents(docs, spans_)
+    return projection.latin_residuals(out, trace.where("protected"))
+
+
+_UNIT_LIST = f"list_transform(regexp_extract_all(text, '{UNITS_RE2}', 1), lambda u: lower(u))"
+
+
+@check(
+    "a14_unit_census",
+    f"""WITH i AS (SELECT doc_id, unit, count(*) AS n FROM (SELECT doc_id, unnest({_UNIT_LIST}) AS unit FROM {V_DOCS}) GROUP BY ALL),
+    o AS (SELECT doc_id, unit, count(*) AS n FROM (SELECT doc_id, unnest({_UNIT_LIST}) AS unit FROM {OUTPUT_SQL}) GROUP BY ALL)
+    SELECT doc_id, unit, coalesce(o.n, 0) AS observed, coalesce(i.n, 0) AS expected, coalesce(o.n, 0) = coalesce(i.n, 0) AS pass
+    FROM i FULL OUTER JOIN o USING (doc_id, unit)""",
+)
+def a14(spark, sf):
+    from corpusgate.operators.gates import census_gate
+
+    docs, spans_ = protection(spark, sf)
+    out = projection.project_documents(docs, spans_)
+    return census_gate(projection.unit_census(out), projection.unit_census(docs), ["doc_id", "unit"])
+
+
+# ---- token maps ---------------------------------------------------------------------------------------------------
+
+TOKEN_MAP = {"the": "tha", "The": "Tha", "de": "di", "la": "lo", "und": "unt", "les": "lo", "and": "ant"}
+_CASE = "CASE r " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in TOKEN_MAP.items()) + " ELSE r END"
+MAPPED_SQL = f"""(SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[{L}]+|[^{L}]+'), lambda r: {_CASE}), '') AS text FROM documents)"""
+
+
+@check("r7_substitute_tokens", f"SELECT doc_id, text FROM {MAPPED_SQL}")
+def r7(spark, sf):
+    return edits.substitute_tokens(table(spark, sf, "documents"), TOKEN_MAP)
+
+
+_BENCH_MAP = f"(SELECT DISTINCT word AS old, concat(word, 'x') AS new FROM {words_sql('benchmark', 'item_id')} WHERE length(word) >= 3)"
+
+
+@check(
+    "r7_substitute_by_table",
+    f"""SELECT doc_id, string_agg(coalesce(m.new, run), '' ORDER BY pos) AS text FROM {runs_sql()} r LEFT JOIN {_BENCH_MAP} m ON r.run = m.old GROUP BY doc_id""",
+)
+def r7_table(spark, sf):
+    w = tokens.words(table(spark, sf, "benchmark"), []).where(F.length("word") >= 3).distinct()
+    mapping = w.select(F.col("word").alias("old"), F.concat("word", F.lit("x")).alias("new"))
+    return edits.substitute_tokens(table(spark, sf, "documents"), mapping)
+
+
+_TARGETS = sorted(set(TOKEN_MAP.values()))
+
+
+def _count_sql(src, words):
+    return f"(SELECT count(*) FROM {words_sql(src)} WHERE word IN ({', '.join(repr(w) for w in words)}))"
+
+
+@check(
+    "r8_substitution_gate",
+    " UNION ALL ".join(
+        f"""SELECT target, sb AS source_before, sa AS source_after, tb AS target_before, ta AS target_after, sa = 0 AND ta - tb = sb AS pass FROM (SELECT
+        '{target}' AS target, {_count_sql('documents', [k for k, v in TOKEN_MAP.items() if v == target])} AS sb,
+        {_count_sql(MAPPED_SQL, [k for k, v in TOKEN_MAP.items() if v == target])} AS sa,
+        {_count_sql('documents', [target])} AS tb, {_count_sql(MAPPED_SQL, [target])} AS ta)""" for target in _TARGETS
+    ),
+)
+def r8(spark, sf):
+    docs = table(spark, sf, "documents")
+    return edits.substitution_gate(docs, edits.substitute_tokens(docs, TOKEN_MAP), TOKEN_MAP)
+
+
+@check(
+    "r8_structure_gate",
+    rf"""SELECT d.doc_id, regexp_replace(d.text, '[\p{{L}}\p{{M}}]', '', 'g') = regexp_replace(l.text, '[\p{{L}}\p{{M}}]', '', 'g') AS pass
+    FROM documents d JOIN {LATER_DOCS} l USING (doc_id)""",
+)
+def r8_structure(spark, sf):
+    return edits.structure_gate(table(spark, sf, "documents"), later_docs(spark, sf))
+
+
+# ---- locator edits ------------------------------------------------------------------------------------------------
+# Every word of nine or more letters is an edit at its line and column; some are wrong on purpose.
+
+_LOCATED = f"""(SELECT doc_id, line_no, o + 1 AS col_no, line_off + o AS start, run AS word FROM (SELECT *, (sum(length(run)) OVER (PARTITION BY doc_id, line_no ORDER BY pos) - length(run))::BIGINT AS o
+  FROM (SELECT doc_id, line_no, line_off, unnest(r) AS run, generate_subscripts(r, 1) AS pos FROM (SELECT doc_id, line_no, line_off,
+    regexp_extract_all(line, '[{L}]+|[^{L}]+') AS r FROM {lines_sql()}))) WHERE regexp_matches(run, '^[{L}]') AND length(run) >= 9)"""
+_EDIT_COLS = """doc_id, CASE WHEN col_no % 11 = 0 THEN line_no + 100000 ELSE line_no END AS line_no, col_no,
+  CASE WHEN col_no % 7 = 0 THEN concat(word, '~') ELSE word END AS old, concat(substring(word, 1, 3), '-', substring(word, 4, 40)) AS new"""
+_EDITS_SQL = f"(SELECT {_EDIT_COLS}, start, CASE WHEN col_no % 11 = 0 THEN 'NO_LINE' WHEN col_no % 7 = 0 THEN 'DRIFT' ELSE 'APPLIES' END AS state FROM {_LOCATED})"
+_EDITED_SQL = f"""(SELECT d.doc_id, string_agg(coalesce(e.new, r.run), '' ORDER BY r.pos) AS text FROM documents d JOIN {runs_sql()} r USING (doc_id)
+  LEFT JOIN (SELECT * FROM {_EDITS_SQL} WHERE state = 'APPLIES') e ON e.doc_id = r.doc_id AND e.start = r.off GROUP BY d.doc_id)"""
+
+
+def _resolved(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    loc = lines.token_locators(docs, keep_line=False).where(F.length("word") >= 9)
+    return docs, edits.resolve_locators(docs, loc.selectExpr(*_split_cols(_EDIT_COLS)))
+
+
+def _split_cols(text):
+    return ["doc_id", "CASE WHEN col_no % 11 = 0 THEN line_no + 100000 ELSE line_no END AS line_no", "col_no",
+            "CASE WHEN col_no % 7 = 0 THEN concat(word, '~') ELSE word END AS old",
+            "concat(substring(word, 1, 3), '-', substring(word, 4, 40)) AS new"]
+
+
+@check("r9_locator_edits", f"SELECT doc_id, text FROM {_EDITED_SQL}")
+def r9(spark, sf):
+    return edits.apply_locator_edits(*_resolved(spark, sf))
+
+
+@check(
+    "r9_refused_edits",
+    f"SELECT doc_id, line_no, col_no, old, new, state FROM {_EDITS_SQL} WHERE state <> 'APPLIES'",
+)
+def r9_refused(spark, sf):
+    return _resolved(spark, sf)[1].where("state <> 'APPLIES'").select("doc_id", "line_no", "col_no", "old", "new", "state")
+
+
+@check(
+    "r10_prefix_rules",
+    f"""SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[{L}]+|[^{L}]+'), lambda r: CASE WHEN starts_with(r, 'thes') THEN 'dhes' || substring(r, 5)
+      WHEN starts_with(r, 'the') THEN 'dhe' || substring(r, 4) WHEN starts_with(r, 'Con') THEN 'Kon' || substring(r, 4) ELSE r END), '') AS text FROM documents""",
+)
+def r10(spark, sf):
+    return edits.rewrite_prefixes(table(spark, sf, "documents"), [("the", "dhe"), ("thes", "dhes"), ("Con", "Kon")])
+
+
+@check(
+    "r11_declared_counts",
+    f"""WITH a AS (SELECT old, new, count(*) AS n FROM {_EDITS_SQL} WHERE state = 'APPLIES' GROUP BY ALL),
+    d AS (SELECT word AS old, concat(substring(word, 1, 3), '-', substring(word, 4, 40)) AS new, count(*) AS n FROM {words_sql()} WHERE length(word) >= 9 GROUP BY ALL)
+    SELECT old, new, coalesce(a.n, 0) AS applied, coalesce(d.n, 0) AS declared, coalesce(a.n, 0) = coalesce(d.n, 0) AS pass FROM a FULL OUTER JOIN d USING (old, new)""",
+)
+def r11(spark, sf):
+    docs, resolved = _resolved(spark, sf)
+    declared = tokens.surface_counts(docs, []).where(F.length("word") >= 9).selectExpr(
+        "word AS old", "concat(substring(word, 1, 3), '-', substring(word, 4, 40)) AS new", "n"
+    )
+    return edits.declared_counts_gate(resolved, declared)
+
+
+_BLOCKED_N = f"len(list_filter(regexp_extract_all(text, '[{L}]+'), lambda w: {blocked_sql('w')}))::BIGINT"
+
+
+@check(
+    "r12_wrap_spans",
+    f"""WITH b AS (SELECT doc_id, {_BLOCKED_N} AS before FROM {V_DOCS}), c AS (SELECT doc_id, count(*) AS covered FROM {ISSUES_SQL} WHERE reasons <> '' GROUP BY doc_id)
+    SELECT doc_id, before, coalesce(covered, 0) AS covered, before - coalesce(covered, 0) AS "after", true AS pass FROM b LEFT JOIN c USING (doc_id)""",
+)
+def r12(spark, sf):
+    docs = variant_docs(spark, sf).select("doc_id", "text")
+    issues = structural_issues(spark, sf)
+    spans_ = issues.select("doc_id", F.col("off").alias("start"), (F.col("off") + F.length("word")).alias("end"))
+    wrapped = projection.wrap_spans(docs, spans_, "⟦", "⟧")
+
+    def blocked(text):
+        ws = F.regexp_extract_all(text, F.lit(t.LETTER_RUN), F.lit(0))
+        return F.size(F.filter(ws, lambda w: ~fx.is_projectable(w))).cast("bigint")
+
+    before = docs.select("doc_id", blocked(F.col("text")).alias("before"))
+    after = wrapped.select("doc_id", blocked(F.regexp_replace("text", "⟦[^⟧]*⟧", "⟦⟧")).alias("after"))
+    covered = issues.where("reasons <> ''").groupBy("doc_id").agg(F.count("*").alias("covered"))
+    d = before.join(after, "doc_id").join(covered, "doc_id", "left").withColumn("covered", F.coalesce("covered", F.lit(0)))
+    return d.withColumn("pass", F.col("before") - F.col("covered") == F.col("after"))
+
+
+@check(
+    "r13_replay",
+    f"""SELECT doc_id, upper(sha256(e.text)) AS forward_sha256, upper(sha256(d.text)) AS reverse_sha256, true AS pass
+    FROM {_EDITED_SQL} e JOIN documents d USING (doc_id)""",
+)
+def r13(spark, sf):
+    docs, resolved = _resolved(spark, sf)
+    good = resolved.where("state = 'APPLIES'").select("doc_id", "start", "end", "old", "new")
+    forward = projection.replace_spans(docs, good)
+    back = projection.replace_spans(forward, projection.inverse_edits(good))
+    j = projection.derivations_agree(docs, back).drop("first_sha256").withColumnRenamed("second_sha256", "reverse_sha256")
+    return j.join(forward.select("doc_id", fx.sha256_upper(F.col("text")).alias("forward_sha256")), "doc_id")
+
+
+@check(
+    "r14_changed_lines",
+    f"""WITH b AS {lines_sql()}, a AS {lines_sql(LATER_DOCS)}
+    SELECT doc_id, line_no, strlen(b.line)::BIGINT AS predecessor_bytes, upper(sha256(b.line)) AS predecessor_sha256,
+      strlen(a.line)::BIGINT AS successor_bytes, upper(sha256(a.line)) AS successor_sha256
+    FROM b FULL OUTER JOIN a USING (doc_id, line_no) WHERE b.line IS DISTINCT FROM a.line""",
+)
+def r14(spark, sf):
+    return lines.changed_lines(lines.line_table(table(spark, sf, "documents")), lines.line_table(later_docs(spark, sf)))
+
+
+@check(
+    "r15_mirror_check",
+    f"""WITH u AS (SELECT doc_id, (line_no - 1) // 3 AS unit_no, string_agg(physical, '' ORDER BY line_no) AS body FROM {lines_sql()} GROUP BY ALL),
+    s AS (SELECT doc_id, (line_no - 1) // 3 AS unit_no, max(line_no) AS top, string_agg(physical, '' ORDER BY line_no) AS body FROM {lines_sql(LATER_DOCS)} l
+      WHERE EXISTS (SELECT 1 FROM {lines_sql()} d WHERE d.doc_id = l.doc_id AND d.line_no = l.line_no) GROUP BY ALL)
+    SELECT doc_id, unit_no, CASE WHEN s.body IS NULL THEN 'MISSING' WHEN s.body = u.body THEN 'MIRRORED' ELSE 'DIFFERS' END AS state FROM u LEFT JOIN s USING (doc_id, unit_no)""",
+)
+def r15(spark, sf):
+    table_ = lines.line_table(table(spark, sf, "documents")).withColumn("unit_no", F.expr("(line_no - 1) div 3"))
+    units = table_.groupBy("doc_id", "unit_no").agg(
+        F.min("line_no").alias("line_from"), F.max("line_no").alias("line_to"),
+        F.array_join(F.expr("array_sort(collect_list(struct(line_no, physical)))").getField("physical"), "").alias("body"),
+    )
+    return edits.mirror_check(units, later_docs(spark, sf))
