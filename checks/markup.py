@@ -1,0 +1,296 @@
+"""Markup span jobs on pages, and what builds on them."""
+
+from pyspark.sql import functions as F
+
+from corpusgate.functions import tables as t
+from corpusgate.functions import text as fx
+from corpusgate.operators import digests, inventory, lines, markup, spans, tokens
+
+from .registry import L, check, lines_sql, runs_sql, table, words_sql
+
+VOID = ", ".join(repr(v) for v in markup.VOID_TAGS)
+LEX_SQL = f"""(SELECT *, CASE WHEN kind <> 'tag' OR tag = '' OR tag IN ({VOID}) OR suffix(run, '/>') THEN 0 WHEN starts_with(run, '</') THEN -1 ELSE 1 END AS sign
+  FROM (SELECT *, CASE WHEN kind = 'tag' THEN lower(regexp_extract(run, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) END AS tag
+    FROM (SELECT page_id, (i - 1)::BIGINT AS pos, run, (sum(length(run)) OVER (PARTITION BY page_id ORDER BY i) - length(run))::BIGINT AS off,
+      CASE WHEN NOT starts_with(run, '<') OR run = '<' THEN 'text' WHEN regexp_matches(run, '(?s)^<!--.*-->$') THEN 'comment'
+        WHEN regexp_matches(run, '(?is)^<script\\b.*</script>$') THEN 'script' WHEN regexp_matches(run, '(?is)^<style\\b.*</style>$') THEN 'style' ELSE 'tag' END AS kind
+      FROM (SELECT page_id, unnest(r) AS run, generate_subscripts(r, 1) AS i FROM (SELECT page_id,
+        regexp_extract_all(html, '{markup.HTML_LEXEME}') AS r FROM pages)))))"""
+NEST_SQL = f"(SELECT *, (sum(sign) OVER (PARTITION BY page_id ORDER BY pos))::BIGINT AS depth FROM {LEX_SQL} WHERE sign <> 0)"
+PAIR_SQL = f"""(SELECT page_id, tag, level, pos AS open_pos, off AS start, off + length(run) AS inner_start, next_off AS inner_end, next_off + next_n AS "end", next_pos AS close_pos,
+    depth AS open_depth, next_d AS close_depth, CASE WHEN sign = -1 THEN 'UNMATCHED' WHEN next_pos IS NULL THEN 'UNCLOSED' ELSE 'PAIRED' END AS state
+  FROM (SELECT *, lead(pos) OVER w AS next_pos, lead(off) OVER w AS next_off, lead(length(run)) OVER w AS next_n,
+      lead(depth + CASE WHEN sign = -1 THEN 1 ELSE 0 END) OVER w AS next_d, lag(sign) OVER w AS prev
+    FROM (SELECT *, (CASE WHEN sign = 1 THEN own ELSE own + 1 END)::BIGINT AS level FROM (SELECT *, sum(sign) OVER (PARTITION BY page_id, tag ORDER BY pos) AS own FROM {NEST_SQL}))
+    WINDOW w AS (PARTITION BY page_id, tag, level ORDER BY pos)) WHERE sign = 1 OR prev IS NULL)"""
+
+# Role policy of the checks.
+ROLES = {"title": "visible_metadata", "h1": "visible_metadata", "nav": "protected_foreign", "div": "protected_foreign", "a": "visible_math_text"}
+KNOWN = ("html", "head", "body", "title", "p", "a", "ul", "li", "nav", "article", "h1")
+ARGUMENTS = (("a", 1, "protected_identity_arg"), ("html", 1, "visible_metadata"), ("div", 1, "protected_identity_arg"))
+
+
+def lexemes(spark, sf):
+    return markup.lex_html(table(spark, sf, "pages"))
+
+
+def painted(spark, sf):
+    return markup.paint_roles(lexemes(spark, sf), ROLES)
+
+
+_ROLE_CASE = "CASE tag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ROLES.items()) + " END"
+PAINT_SQL = f"""(WITH x AS MATERIALIZED (SELECT page_id, off AS start, off + length(run) AS "end", run, kind, tag FROM {LEX_SQL}),
+    s AS MATERIALIZED (SELECT page_id, inner_start AS a, inner_end AS b, tag AS t, {_ROLE_CASE} AS paint FROM {PAIR_SQL} WHERE state = 'PAIRED' AND inner_start < inner_end AND tag IN ({', '.join(repr(k) for k in ROLES)})),
+    h AS (SELECT x.page_id, x.start, arg_max(paint, a) AS paint, arg_max(t, a) AS t, bool_or(starts_with(paint, 'protected')) AS under FROM x JOIN s
+      ON x.page_id = s.page_id AND s.a <= x.start AND x."end" <= s.b WHERE kind = 'text' GROUP BY ALL)
+  SELECT x.page_id, x.start, x."end", run, kind, coalesce(paint, CASE kind WHEN 'comment' THEN 'protected_comment' WHEN 'script' THEN 'protected_code' WHEN 'style' THEN 'protected_code'
+      WHEN 'tag' THEN 'protected_structure' ELSE 'visible_prose' END) AS role, coalesce(t, CASE WHEN kind = 'tag' THEN tag END, kind) AS detail, coalesce(under, false) AS under
+  FROM x LEFT JOIN h ON x.page_id = h.page_id AND x.start = h.start)"""
+SEGMENT_SQL = f"""(SELECT page_id, role, detail, min(start) AS start, max("end") AS "end" FROM (SELECT *, sum(fresh) OVER (PARTITION BY page_id ORDER BY start) AS g FROM (
+    SELECT *, CASE WHEN lag(role) OVER w = role AND lag(detail) OVER w = detail AND lag("end") OVER w = start THEN 0 ELSE 1 END AS fresh FROM {PAINT_SQL}
+    WINDOW w AS (PARTITION BY page_id ORDER BY start))) GROUP BY page_id, g, role, detail)"""
+VISIBLE = ", ".join(repr(r) for r in t.VISIBLE_ROLES)
+
+
+@check("g1_lex_markup", f"SELECT page_id, pos, off, run, kind, tag, sign FROM {LEX_SQL}")
+def g1(spark, sf):
+    return lexemes(spark, sf)
+
+
+@check(
+    "g2_structure_errors",
+    f"""SELECT page_id, start AS off, tag, CASE state WHEN 'UNCLOSED' THEN 'unclosed_element' WHEN 'UNMATCHED' THEN 'unmatched_end_tag' ELSE 'mismatched_nesting' END AS code
+    FROM {PAIR_SQL} WHERE state <> 'PAIRED' OR open_depth <> close_depth""",
+)
+def g2(spark, sf):
+    return markup.structure_errors(lexemes(spark, sf))
+
+
+@check("g3_pair_tags", f"SELECT * FROM {PAIR_SQL}")
+def g3(spark, sf):
+    return markup.pair_tags(lexemes(spark, sf))
+
+
+_ARG_VALUES = ", ".join(f"('{a}', {k}, '{r}')" for a, k, r in ARGUMENTS)
+
+
+@check(
+    "g4_bind_arguments",
+    f"""SELECT page_id, off, x.tag, k AS arg_no, argument, coalesce(p.role, 'ambiguous_command_arg') AS role FROM (SELECT page_id, off, tag, unnest(a) AS argument,
+      generate_subscripts(a, 1)::INT AS k FROM (SELECT *, regexp_extract_all(run, '[A-Za-z-]+="[^"]*"') AS a FROM {LEX_SQL} WHERE kind = 'tag')) x
+    LEFT JOIN (VALUES {_ARG_VALUES}) p(tag, n, role) ON x.tag = p.tag AND k = n""",
+)
+def g4(spark, sf):
+    policy = spark.createDataFrame(list(ARGUMENTS), "tag string, arg_no int, role string")
+    return markup.bind_arguments(lexemes(spark, sf), policy)
+
+
+@check("g5_paint_roles", f"SELECT * FROM {PAINT_SQL}")
+def g5(spark, sf):
+    return painted(spark, sf)
+
+
+@check(
+    "g6_raw_blocks",
+    f"SELECT page_id, kind, count(*) AS n, sum(length(run))::BIGINT AS scalars FROM {LEX_SQL} WHERE kind IN ('comment', 'script', 'style') GROUP BY ALL",
+)
+def g6(spark, sf):
+    d = lexemes(spark, sf).where(F.col("kind").isin("comment", "script", "style"))
+    return d.groupBy("page_id", "kind").agg(F.count("*").alias("n"), F.sum(F.length("run")).alias("scalars"))
+
+
+@check(
+    "g7_unknown_commands",
+    f"SELECT tag, count(*) AS n FROM {LEX_SQL} WHERE kind = 'tag' AND tag <> '' AND tag NOT IN ({', '.join(repr(k) for k in KNOWN)}) GROUP BY tag",
+)
+def g7(spark, sf):
+    return markup.unknown_commands(lexemes(spark, sf), spark.createDataFrame([(k,) for k in KNOWN], "tag string"))
+
+
+@check("g8_visible_in_protected", f"SELECT page_id, start, run, role FROM {PAINT_SQL} WHERE under AND role IN ({VISIBLE})")
+def g8(spark, sf):
+    d = painted(spark, sf).where(F.col("under") & F.col("role").isin(*t.VISIBLE_ROLES))
+    return d.select("page_id", "start", "run", "role")
+
+
+LITERAL_DOCS = """CASE doc_id % 3 WHEN 0 THEN concat(text, ' q. e. d. xq.e.d. q.e.d.x Q.E.D.') WHEN 1 THEN replace(text, '. ', ' q.e.d. ') ELSE concat('Q. E. D.q. e. d.', text) END"""
+
+
+@check(
+    "g9_identity_literals",
+    f"""WITH p AS (SELECT doc_id, unnest(r) AS piece, generate_subscripts(r, 1) AS i FROM (SELECT doc_id, regexp_extract_all(regexp_replace({LITERAL_DOCS},
+        '(q\\. e\\. d\\.|q\\.e\\.d\\.|Q\\. E\\. D\\.|Q\\.E\\.D\\.)', chr(1) || '\\1' || chr(2), 'g'), '\\x01[^\\x02]*\\x02|[^\\x01]+') AS r FROM documents)),
+    q AS (SELECT *, coalesce(lag(piece) OVER w, '') AS prev, coalesce(lead(piece) OVER w, '') AS next FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+    SELECT doc_id, coalesce(string_agg(trim(piece, chr(1) || chr(2)), '|' ORDER BY i) FILTER (starts_with(piece, chr(1)) AND NOT regexp_matches(prev, '\\p{{L}}$')
+      AND NOT regexp_matches(next, '^\\x01?\\p{{L}}')), '') AS literals FROM q GROUP BY doc_id""",
+)
+def g9(spark, sf):
+    from corpusgate.operators.tex import identity_literals
+
+    d = table(spark, sf, "documents").select("doc_id", F.expr(LITERAL_DOCS).alias("text"))
+    return d.select("doc_id", F.array_join(identity_literals(F.col("text")), "|").alias("literals"))
+
+
+@check(
+    "g10_lexeme_counters",
+    f"""SELECT page_id, count(*) FILTER (kind = 'comment') AS comments, count(*) FILTER (kind = 'tag') AS controls, count(*) FILTER (kind IN ('script', 'style')) AS raw_blocks,
+      count(*) FILTER (kind = 'text') AS texts, coalesce(any_value(p.n), 0) AS pairs FROM {LEX_SQL} LEFT JOIN (SELECT page_id, count(*) AS n FROM {PAIR_SQL} WHERE state = 'PAIRED' GROUP BY page_id) p USING (page_id) GROUP BY page_id""",
+)
+def g10(spark, sf):
+    return markup.lexeme_counters(lexemes(spark, sf))
+
+
+_PAYLOAD_SQL = f"""(SELECT page_id, inner_start AS start, inner_end AS "end", tag, substring(html, inner_start + 1, inner_end - inner_start) AS surface
+  FROM {PAIR_SQL} JOIN pages USING (page_id) WHERE state = 'PAIRED' AND tag IN ('b', 'h1', 'title'))"""
+
+
+@check("f17_style_payloads", f"SELECT * FROM {_PAYLOAD_SQL}")
+def f17(spark, sf):
+    return markup.style_payloads(table(spark, sf, "pages"), lexemes(spark, sf), ["b", "h1", "title"])
+
+
+@check(
+    "j5_offset_role",
+    f"""SELECT w.page_id, s.role, count(*) AS n, sum(w.off)::BIGINT AS offsets FROM {runs_sql('pages', 'page_id', 'html')} w JOIN {SEGMENT_SQL} s
+    ON s.page_id = w.page_id AND s.start <= w.off AND w.off < s."end" WHERE w.is_word GROUP BY ALL""",
+)
+def j5(spark, sf):
+    pages = table(spark, sf, "pages")
+    points = tokens.tokenise(pages, ["page_id"], "html").where("is_word").select("page_id", "off")
+    roles = spans.locate(points, markup.segments(painted(spark, sf)), ["page_id"], ["role"], how="inner")
+    return roles.groupBy("page_id", "role").agg(F.count("*").alias("n"), F.sum("off").alias("offsets"))
+
+
+_VISIBLE_WORDS = words_sql(f"(SELECT * FROM {PAINT_SQL} WHERE role IN ({VISIBLE}))", "page_id, start", "run")
+_ISLAND_WORDS = words_sql(f"(SELECT * FROM {PAINT_SQL} WHERE role = 'protected_foreign')", "page_id", "run")
+
+
+@check(
+    "j6_lexicon_hits",
+    f"""SELECT page_id, start, word, count(*) AS n FROM {_VISIBLE_WORDS} WHERE length(word) >= 2 AND lower(word) IN (SELECT lower(word) FROM {_ISLAND_WORDS} WHERE length(word) >= 2) GROUP BY ALL""",
+)
+def j6(spark, sf):
+    p = painted(spark, sf)
+    visible = tokens.words(p.where(F.col("role").isin(*t.VISIBLE_ROLES)), ["page_id", "start"], "run")
+    islands = tokens.words(p.where("role = 'protected_foreign'"), [], "run")
+    hits = inventory.attested_words(visible, islands)
+    return hits.groupBy("page_id", "start", "word").agg(F.count("*").alias("n"))
+
+
+@check(
+    "j7_payload_disposition",
+    f"""SELECT p.page_id, p.start, p.surface, l.line_no, CASE WHEN p.page_id % 3 = 0 AND l.line_no = 1 THEN 'PROTECT_LINE' WHEN length(p.surface) % 2 = 0 THEN 'PROTECT_EXACT'
+      ELSE 'KEEP_PROJECTABLE' END AS disposition
+    FROM {_PAYLOAD_SQL} p JOIN {lines_sql('pages', 'page_id', 'html')} l ON l.page_id = p.page_id AND l.line_off <= p.start AND p.start < l.line_off + length(l.physical)""",
+)
+def j7(spark, sf):
+    pages = table(spark, sf, "pages")
+    rows = markup.style_payloads(pages, lexemes(spark, sf), ["b", "h1", "title"])
+    table_ = lines.line_table(pages, ["page_id"], "html").select(
+        "page_id", "line_no", F.col("line_off").alias("start"), (F.col("line_off") + F.length("physical")).alias("end")
+    )
+    rows = spans.locate(rows.select("page_id", "start", "surface"), table_, ["page_id"], ["line_no"], at="start")
+    rows = rows.select("page_id", "start", "surface", "line_no")
+    line_policy = pages.where("page_id % 3 = 0").select("page_id", F.lit(1).alias("line_no"), F.lit("PROTECT_LINE").alias("disposition"))
+    exact = rows.where("length(surface) % 2 = 0").select("page_id", "line_no", "surface", F.lit("PROTECT_EXACT").alias("disposition"))
+    d = inventory.payload_disposition(rows, line_policy, exact, default="KEEP_PROJECTABLE", key=["page_id"])
+    return d.select("page_id", "start", "surface", "line_no", "disposition")
+
+
+_HTML_RANGES = f"""(SELECT page_id, min(start) AS start, max("end") AS "end" FROM (SELECT *, sum(fresh) OVER (PARTITION BY page_id ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS g FROM (
+    SELECT *, CASE WHEN start <= max("end") OVER (PARTITION BY page_id ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM (
+      SELECT page_id, greatest(off - 4, 0) AS start, off + length(run) + 4 AS "end" FROM {runs_sql('pages', 'page_id', 'html')} WHERE is_word AND length(run) >= 10))) GROUP BY page_id, g)"""
+
+
+@check(
+    "j16_split_segments",
+    f"""WITH s AS MATERIALIZED {SEGMENT_SQL}, r AS MATERIALIZED {_HTML_RANGES},
+    c AS (SELECT page_id, start AS cut FROM s UNION SELECT page_id, "end" FROM s UNION SELECT page_id, start FROM r UNION SELECT page_id, "end" FROM r),
+    p AS (SELECT page_id, cut AS a, lead(cut) OVER (PARTITION BY page_id ORDER BY cut) AS b FROM c)
+    SELECT p.page_id, a AS start, b AS "end", CASE WHEN r.start IS NULL THEN role ELSE 'protected_identity_arg' END AS role, CASE WHEN r.start IS NULL THEN detail ELSE 'reviewed' END AS detail
+    FROM p JOIN s ON s.page_id = p.page_id AND s.start <= a AND b <= s."end" LEFT JOIN r ON r.page_id = p.page_id AND r.start <= a AND b <= r."end" """,
+)
+def j16(spark, sf):
+    pages = table(spark, sf, "pages")
+    tok = tokens.tokenise(pages, ["page_id"], "html").where(F.col("is_word") & (F.length("run") >= 10))
+    ranges = tok.select("page_id", F.greatest(F.col("off") - 4, F.lit(0)).alias("start"), (F.col("off") + F.length("run") + 4).alias("end"))
+    merged = spans.merge_ranges(ranges, ["page_id"])
+    return spans.split_segments(
+        markup.segments(painted(spark, sf)), merged, ["page_id"], role="protected_identity_arg", detail="reviewed"
+    )
+
+
+@check("a1_role_counts", f'SELECT role, count(*) AS segments, sum("end" - start)::BIGINT AS scalars FROM {SEGMENT_SQL} GROUP BY role')
+def a1(spark, sf):
+    return markup.role_census(markup.segments(painted(spark, sf)))
+
+
+@check(
+    "a10_protected_stream",
+    f"""SELECT page_id, strlen(s)::BIGINT AS bytes, upper(sha256(s)) AS sha256 FROM (SELECT page_id, string_agg(run, '' ORDER BY start) AS s FROM {PAINT_SQL} WHERE role NOT IN ({VISIBLE}) GROUP BY page_id)""",
+)
+def a10(spark, sf):
+    return markup.protected_stream(painted(spark, sf))
+
+
+@check(
+    "a11_span_digest",
+    f"""SELECT page_id, count(*) AS rows, upper(sha256(string_agg(start || ' ' || "end" || ' ' || role || ' ' || detail, chr(10) ORDER BY start))) AS digest FROM {SEGMENT_SQL} GROUP BY page_id""",
+)
+def a11(spark, sf):
+    line = F.concat_ws(" ", F.col("start").cast("string"), F.col("end").cast("string"), "role", "detail")
+    return digests.row_digest(markup.segments(painted(spark, sf)), ["page_id"], "start", line)
+
+
+@check(
+    "a21_span_census",
+    f"""SELECT page_id, tag, count(*) AS n, sum("end" - start)::BIGINT AS scalars, min(upper(sha256(substring(html, start + 1, "end" - start)))) AS least_sha256
+    FROM {PAIR_SQL} JOIN pages USING (page_id) WHERE state = 'PAIRED' AND tag IN ('nav', 'div', 'a') GROUP BY ALL""",
+)
+def a21(spark, sf):
+    pages = table(spark, sf, "pages")
+    p = markup.pair_tags(lexemes(spark, sf)).where(F.col("tag").isin("nav", "div", "a") & (F.col("state") == "PAIRED"))
+    rows = spans.surfaces(pages, p.select("page_id", "start", "end", "tag"), ["page_id"], "html", ["tag"])
+    return rows.groupBy("page_id", "tag").agg(
+        F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("scalars"),
+        F.min(fx.sha256_upper(F.col("surface"))).alias("least_sha256"),
+    )
+
+
+# Segments with holes and overlaps put in, so that the proof has something to refuse.
+_BROKEN = """CASE WHEN page_id % 4 = 1 AND start % 10 = 3 THEN "end" + 1 ELSE "end" END"""
+
+
+@check(
+    "w2_coverage_proof",
+    f"""WITH s AS (SELECT page_id, start, {_BROKEN} AS "end" FROM {SEGMENT_SQL} WHERE NOT (page_id % 4 = 2 AND start % 10 = 7)),
+    l AS (SELECT *, lag("end") OVER (PARTITION BY page_id ORDER BY start, "end") AS prev FROM s)
+    SELECT page_id, length(any_value(html))::BIGINT AS length, count(*) FILTER (start > prev) AS gaps, count(*) FILTER (start < prev) AS overlaps, min(start) AS first_start, max("end") AS last_end,
+      count(*) FILTER (start > prev) = 0 AND count(*) FILTER (start < prev) = 0 AND min(start) = 0 AND max("end") = length(any_value(html)) AS pass FROM l JOIN pages USING (page_id) GROUP BY page_id""",
+)
+def w2(spark, sf):
+    s = markup.segments(painted(spark, sf)).where("NOT (page_id % 4 = 2 AND start % 10 = 7)")
+    s = s.withColumn("end", F.expr(_BROKEN.replace('"end"', "`end`")))
+    lengths = table(spark, sf, "pages").select("page_id", F.length("html").alias("length"))
+    return spans.coverage_report(s, lengths, ["page_id"])
+
+
+@check("w3_coalesce_segments", f"SELECT * FROM {SEGMENT_SQL}")
+def w3(spark, sf):
+    return markup.segments(painted(spark, sf))
+
+
+@check(
+    "w5_nesting_depth",
+    f"""SELECT page_id, max(depth) AS max_depth, min(depth) AS min_depth, arg_max(depth, pos) AS final_depth, min(depth) >= 0 AND arg_max(depth, pos) = 0 AS pass FROM {NEST_SQL} GROUP BY page_id""",
+)
+def w5(spark, sf):
+    return markup.depth_report(lexemes(spark, sf))
+
+
+@check(
+    "w6_previous_lexeme",
+    f"""SELECT page_id, pos, kind, last_value(CASE WHEN regexp_matches(run, '[^{t.SPACE}]') THEN pos END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS owner_pos FROM {LEX_SQL}""",
+)
+def w6(spark, sf):
+    return markup.previous_lexeme(lexemes(spark, sf)).select("page_id", "pos", "kind", "owner_pos")

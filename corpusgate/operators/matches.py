@@ -31,9 +31,10 @@ def name_surfaces(text: Column, pattern: str) -> Column:
 def name_spans(docs: DataFrame, key: Sequence[str], subtype: str, pattern: str, text: str = "text") -> DataFrame:
     """``key, start, end, surface, subtype`` of one name pattern.
 
-    A name starts with a capital, so the filler is either a stretch without capitals or one lone character.
+    A name starts with a capital, so the filler is a stretch without capitals (ASCII apart, which short ranges
+    settle) or one lone character.
     """
-    cut = rf"{_NOT_AFTER_LETTER}{pattern}|[^{_CAP[1:-1]}]++|(?s:.)"
+    cut = rf"{_NOT_AFTER_LETTER}{pattern}|[\x00-@\[-\x7f]++|[^{_CAP[1:-1]}\x00-\x7f]++|(?s:.)"
     d = explode_runs(docs, F.regexp_extract_all(F.col(text), F.lit(cut), F.lit(0)), key)
     d = d.where((F.length("run") > 1) & F.col("run").rlike(f"^{_CAP}"))
     return d.select(

@@ -144,3 +144,14 @@ def coverage_report(segments: DataFrame, lengths: DataFrame, key: Sequence[str]
     j = lengths.select(*key, F.col("length").cast("bigint").alias("length")).join(per, list(key), "left")
     ok = (F.col("gaps") == 0) & (F.col("overlaps") == 0) & (F.col("first_start") == 0) & (F.col("last_end") == F.col("length"))
     return j.withColumn("pass", F.coalesce(ok, F.col("length") == 0))
+
+
+def surfaces(docs: DataFrame, ranges: DataFrame, key: Sequence[str] = KEY, text: str = "text", columns: Sequence[str] = ()) -> DataFrame:
+    """Ranges with the text they cover; a text meets its own ranges once, so it is not repeated per range."""
+    per = ranges.groupBy(*key).agg(F.collect_set(F.struct("start", "end", *columns)).alias("_r"))
+    d = docs.select(*key, text).join(per, list(key))
+    cut = F.transform(
+        "_r",
+        lambda r: F.struct(r.alias("r"), F.substring(F.col(text), r["start"] + 1, r["end"] - r["start"]).alias("surface")),
+    )
+    return d.select(*key, F.inline(cut)).select(*key, "r.*", "surface")
