@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tables as t
 from ..functions.prefix import context_of
-from . import spans
-from .tokens import one_letter_tokens, tokenise
+from . import matches, spans
 
 KEY = ("doc_id",)
 _S = f"[{t.SPACE}]"
@@ -53,22 +52,20 @@ def one_letter_inventory(
     ``protected`` holds ranges in any order and overlap; ``exact`` holds locators ``key, off, surface`` that are
     labels whatever stands around them.
     """
-    tok = one_letter_tokens(tokenise(docs, key, context=(120, 122)), letters)
+    # The window may end with the line feed put after the text: it can only trail, and every rule ignores that.
+    tok = matches.lone_letters(docs, key, letters, (120, 121))
     tok = tok.select(
         *key, "off", (F.col("off") + 1).alias("end"), F.col("run").alias("surface"),
         context_of(F.col("off"), 120, 0).alias("before"), context_of(F.col("off") + 1, 0, 120).alias("after"),
     )
-    # An item lies inside the union of single ranges, not of touching ones, so ranges are tested one by one.
-    hit = spans.overlaps(tok.select(*key, F.col("off").alias("start"), "end"), protected, key)
-    hit = hit.where((F.col("r_start") <= F.col("start")) & (F.col("end") <= F.col("r_end")))
-    hit = hit.select(*key, F.col("start").alias("off"), F.lit(True).alias("covered")).distinct()
-    tok = tok.join(hit, [*key, "off"], "left")
+    # One character lies inside some range exactly when it lies inside their union.
+    tok = spans.flag_covered(tok, spans.merge_ranges(protected, key), key, start="off", end="end")
     is_exact = None
     if exact is not None:
         tok = tok.join(exact.select(*key, "off", "surface", F.lit(True).alias("exact")).distinct(), [*key, "off", "surface"], "left")
         is_exact = F.coalesce(F.col("exact"), F.lit(False))
     rule = one_letter_disposition(
-        F.col("surface"), F.col("before"), F.col("after"), F.coalesce(F.col("covered"), F.lit(False)), is_exact
+        F.col("surface"), F.col("before"), F.col("after"), F.col("covered"), is_exact
     )
     return tok.select(*key, "off", "end", "surface", rule.alias("disposition"))
 

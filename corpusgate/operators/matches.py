@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tables as t
 from ..functions import text as fx
-from ..functions.prefix import context_of, explode_runs
+from ..functions.prefix import explode_runs
 
 _NOT_AFTER_LETTER = rf"(?<![{t.LETTER}])"
 _CAP, _LET, _SP = t.NAME_CAPITAL, f"[{t.LETTER}]", t.TEX_SPACE
@@ -35,29 +35,45 @@ def name_spans(docs: DataFrame, key: Sequence[str], subtype: str, pattern: str,
     settle) or one lone character.
     """
     cut = rf"{_NOT_AFTER_LETTER}{pattern}|[\x00-@\[-\x7f]++|[^{_CAP[1:-1]}\x00-\x7f]++|(?s:.)"
-    d = explode_runs(docs, F.regexp_extract_all(F.col(text), F.lit(cut), F.lit(0)), key)
-    d = d.where((F.length("run") > 1) & F.col("run").rlike(f"^{_CAP}"))
+    d = explode_runs(
+        docs, F.regexp_extract_all(F.col(text), F.lit(cut), F.lit(0)), key,
+        wanted=lambda r: (F.length(r) > 1) & r.rlike(f"^{_CAP}"),
+    )
     return d.select(
         *key, F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end"),
         F.col("run").alias("surface"), F.lit(subtype).alias("subtype"),
     )
 
 
+def lone_letters(docs: DataFrame, key: Sequence[str], letters: Sequence[str], context: tuple[int, int], text: str = "text") -> DataFrame:
+    """Letters that no other letter touches: ``key, off, run, win, win_off``.
+
+    The text is cut at the wanted letters only, which are rare, so few rows carry a window.  Every other run that
+    starts with such a letter takes what follows it along (a line feed is put after the text for the last one), so a
+    run of one wanted letter is a lone letter and nothing else.
+    """
+    some = "[" + "".join(letters) + "]"
+    cut = rf"{_NOT_AFTER_LETTER}{some}(?![{t.LETTER}])|{some}++[^{some[1:-1]}]*+|[^{some[1:-1]}]++"
+    return explode_runs(
+        docs, F.regexp_extract_all(F.concat(F.col(text), F.lit("\n")), F.lit(cut), F.lit(0)), key, context=context,
+        wanted=lambda r: (F.length(r) == 1) & r.rlike(some),
+    )
+
+
 def unit_spans(docs: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
     """``key, start, end, surface`` of dimension units.
 
-    The cut alternates digits and filler, so a unit can only stand right after a digit run; the neighbours carried in
-    the window tell a unit from filler that merely spells one.
+    Filler runs to the next digit or, with a line feed put after the text, to that line feed; so no filler can spell a
+    unit, and the run alone tells which it is.
     """
-    cut = rf"{fx.UNIT_RUN}|[0-9]++|[^0-9]++"
-    d = explode_runs(docs, F.regexp_extract_all(F.col(text), F.lit(cut), F.lit(0)), key, context=(1, 16))
-    end = F.col("off") + F.length("run")
-    d = d.where(
-        F.col("run").rlike(rf"(?iu)^(?:true[ \t]*)?(?:{t.UNIT_ALTERNATION})\z")
-        & context_of(F.col("off"), 1, 0).rlike("^[0-9]")
-        & ~context_of(end, 0, 1).rlike(rf"^[{t.LETTER}\p{{Nd}}_]")
+    cut = rf"{fx.UNIT_RUN}|[^0-9]*+[0-9]++|[^0-9]++"
+    d = explode_runs(
+        docs, F.regexp_extract_all(F.concat(F.col(text), F.lit("\n")), F.lit(cut), F.lit(0)), key,
+        wanted=lambda r: r.rlike(rf"(?iu)^(?:true[ \t]*)?(?:{t.UNIT_ALTERNATION})\z"),
+    )
+    return d.select(
+        *key, F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end"), F.col("run").alias("surface")
     )
-    return d.select(*key, F.col("off").alias("start"), end.alias("end"), F.col("run").alias("surface"))
 
 
 def secret_hits(docs: DataFrame, key: Sequence[str], patterns: Sequence[tuple[str, str]] = t.SECRET_PATTERNS, text: str = "text") -> DataFrame:

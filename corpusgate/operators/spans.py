@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.prefix import chunks, slice_chunks
+
 KEY = ("doc_id",)
 BIN = 4096
 
@@ -149,9 +151,9 @@ def coverage_report(segments: DataFrame, lengths: DataFrame, key: Sequence[str]
 def surfaces(docs: DataFrame, ranges: DataFrame, key: Sequence[str] = KEY, text: str = "text", columns: Sequence[str] = ()) -> DataFrame:
     """Ranges with the text they cover; a text meets its own ranges once, so it is not repeated per range."""
     per = ranges.groupBy(*key).agg(F.collect_set(F.struct("start", "end", *columns)).alias("_r"))
-    d = docs.select(*key, text).join(per, list(key))
+    d = docs.select(*key, text).join(per, list(key)).select(*key, "_r", chunks(F.col(text)).alias("_c"))
     cut = F.transform(
         "_r",
-        lambda r: F.struct(r.alias("r"), F.substring(F.col(text), r["start"] + 1, r["end"] - r["start"]).alias("surface")),
+        lambda r: F.struct(r.alias("r"), slice_chunks(F.col("_c"), r["start"], r["end"]).alias("surface")),
     )
     return d.select(*key, F.inline(cut)).select(*key, "r.*", "surface")

@@ -18,7 +18,7 @@ def split_pages(docs: DataFrame, key: Sequence[str], text: str = "text") -> Data
     pages = F.split(F.col(text), "\f")
     flags = F.transform(pages, lambda p, i: F.when(~p.rlike(_BLANK), i + 1).otherwise(0))
     last = F.array_max(flags)
-    d = docs.select(*key, pages.alias("_p"), last.alias("_n")).where(F.col("_n") > 0)
+    d = docs.select(*key, pages.alias("_p"), last.alias("_n"))
     d = d.select(*key, F.posexplode(F.slice("_p", F.lit(1), F.col("_n"))).alias("_i", "page"))
     return d.select(*key, (F.col("_i") + 1).cast("bigint").alias("page_no"), "page")
 
