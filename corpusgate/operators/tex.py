@@ -1,16 +1,302 @@
-"""TeX text as a table."""
+"""TeX text as tables: lexing, pairing, argument binding, role painting and validation.
+
+No parser runs per row.  One regex cuts the lexemes; depth, pairs and argument chains are windows over one document's
+lexemes; roles come from a policy table and an interval join.  A document is one text cell, which bounds every window.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tables as t
+from ..functions import texroles as r
+from ..functions import text as fx
+from ..functions.prefix import explode_runs
+from . import spans
 
+KEY = ("doc_id",)
 _LITERAL = "(?:" + "|".join(rf"\Q{x}\E" for x in t.IDENTITY_LITERALS) + ")"
 IDENTITY_LITERAL = rf"(?<!\p{{L}}){_LITERAL}(?!\p{{L}})"
+_VERBATIM = "|".join(rf"\Q{e}\E" for e in r.VERBATIM_ENVIRONMENTS)
+_STOP = r"\\%${}\[\]"
+# Longest reading first; a control symbol takes its character with it, so "\\(" is a row break and a parenthesis.
+TEX_LEXEME = "|".join((
+    r"%[^\n]*+\n?",
+    r"\\verb\*?+(?![\p{L}@])([^\n])[^\n]*?\1",
+    rf"\\begin\s*\{{({_VERBATIM})\}}(?s:.*?)(?m:^)[ \t]*\\end\s*\{{\2\}}",
+    r"\\(?:begin|end)(?![\p{L}@*])\s*\{[^{}\\%]*\}",
+    r"\\[\p{L}@]++\*?",
+    r"\\(?s:.)",
+    r"\\",
+    r"\$\$?",
+    r"[{}\[\]]",
+    IDENTITY_LITERAL,
+    rf"[{t.SPACE}]++",
+    rf"[^{_STOP}qQ{t.SPACE}][^{_STOP}qQ]*+",
+    "[qQ]",
+))
 
 
 def identity_literals(text: Column) -> Column:
     """Exact identity literals that no letter touches on either side."""
     return F.regexp_extract_all(text, F.lit(IDENTITY_LITERAL), F.lit(0))
+
+
+def lex_tex(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
+    """``key, pos, off, run, kind, name``."""
+    d = explode_runs(docs, F.regexp_extract_all(F.col(text), F.lit(TEX_LEXEME), F.lit(0)), key)
+    run = F.col("run")
+    kind = (
+        F.when(F.startswith(run, F.lit("%")), "comment")
+        .when(run.rlike(r"^\\verb\*?(?![\p{L}@*])."), "verb")
+        .when(run.rlike(rf"^\\begin\s*\{{(?:{_VERBATIM})\}}(?s:.*)\\end"), "verbatim")
+        .when(run.rlike(r"^\\begin\s*\{"), "begin").when(run.rlike(r"^\\end\s*\{"), "end")
+        .when(run.rlike(r"^\\[\p{L}@]"), "word").when(F.startswith(run, F.lit("\\")), "symbol")
+        .when(F.startswith(run, F.lit("$")), "dollar").when(run == "{", "open").when(run == "}", "close")
+        .when(run == "[", "left").when(run == "]", "right")
+        .when(run.rlike(rf"^{_LITERAL}\z"), "literal").when(run.rlike(rf"^[{t.SPACE}]+\z"), "space")
+        .otherwise("text")
+    )
+    d = d.withColumn("kind", kind)
+    name = (
+        F.when(F.col("kind").isin("begin", "end"), F.regexp_extract("run", r"\{([^{}]*)\}", 1))
+        .when(F.col("kind").isin("word", "symbol"), F.substring("run", 2, 10**6))
+    )
+    return d.withColumn("name", name)
+
+
+def _pairs(rows: DataFrame, part: Sequence[str], sign: Column, keep: Sequence[str]) -> DataFrame:
+    """Openers with the closer of their level; the rows of one level alternate, so that is the next row."""
+    w = Window.partitionBy(*part).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    d = rows.withColumn("_s", sign)
+    d = d.withColumn("_d", F.sum("_s").over(w)).withColumn("_lv", F.when(F.col("_s") == 1, F.col("_d")).otherwise(F.col("_d") + 1))
+    lw = Window.partitionBy(*part, "_lv").orderBy("pos")
+    nxt = F.lead(F.struct("pos", "off", "n", "name", "run")).over(lw)
+    d = d.withColumns({"_next": nxt, "_prev": F.lag("_s").over(lw)})
+    return d.where((F.col("_s") == 1) | F.col("_prev").isNull()).select(
+        *keep, "pos", "off", "run", "name", "n", "_s", F.col("_next.pos").alias("c_pos"), F.col("_next.off").alias("c_off"),
+        F.col("_next.n").alias("c_n"), F.col("_next.name").alias("c_name"), F.col("_next.run").alias("c_run"),
+    )
+
+
+def _solid(lexemes: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Lexemes that are neither space nor comment, numbered, with brace depth, enclosing group and what precedes."""
+    w = Window.partitionBy(*key).orderBy("pos")
+    run_w = w.rowsBetween(Window.unboundedPreceding, 0)
+    s = lexemes.where(~F.col("kind").isin("space", "comment"))
+    brace = F.when(F.col("kind") == "open", 1).when(F.col("kind") == "close", -1).otherwise(0)
+    before = {f"_p{k}": F.lag(F.struct("kind", "name", "run"), k).over(w) for k in (1, 2, 3)}
+    s = s.withColumns({"n": F.row_number().over(w), "depth": F.sum(brace).over(run_w), **before})
+    gw = Window.partitionBy(*key, "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return s.withColumn("gid", F.coalesce(F.last(F.when(F.col("kind") == "open", F.col("pos")), True).over(gw), F.lit(-1)))
+
+
+def bind_groups(solid: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Groups and brackets with their owner, argument number and role.
+
+    Arguments form chains: each starts right after the one before has closed.  What precedes the chain owns it.
+    """
+    braces = _pairs(solid.where("kind IN ('open', 'close')"), key, F.when(F.col("kind") == "open", 1).otherwise(-1),
+                    [*key, "kind", "depth", "_p1", "_p2", "_p3"]).where("_s = 1")
+    brackets = _pairs(solid.where("kind IN ('left', 'right')"), [*key, "depth", "gid"],
+                      F.when(F.col("kind") == "left", 1).otherwise(-1), [*key, "kind", "depth", "_p1", "_p2", "_p3"]).where("_s = 1")
+    brackets = brackets.withColumn("depth", F.col("depth") + 1)
+    g = braces.unionByName(brackets).where(F.col("c_pos").isNotNull())
+    close_n = solid.select(*key, F.col("pos").alias("c_pos"), F.col("n").alias("c_sn"))
+    g = g.join(close_n, [*key, "c_pos"])
+    w = Window.partitionBy(*key, "depth").orderBy("n")
+    g = g.withColumn("_start", F.when(F.lag("c_sn").over(w) == F.col("n") - 1, 0).otherwise(1))
+    g = g.withColumn("_chain", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    cw = Window.partitionBy(*key, "depth", "_chain").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    p1, p2, p3 = F.col("_p1"), F.col("_p2"), F.col("_p3")
+    definer = list(r.DEFINITION_COMMANDS)
+    owner = (
+        F.when((p1["kind"] == "word") & (p2["kind"] == "word") & p2["name"].isin(definer), p2["name"])
+        .when((p1["kind"] == "text") & F.startswith(p1["run"], F.lit("#")) & (p3["kind"] == "word") & p3["name"].isin(definer), p3["name"])
+        .when(p1["kind"] == "word", p1["name"])
+        .when(p1["kind"] == "begin", F.concat(F.lit("env:"), p1["name"]))
+        .when((p1["kind"] == "symbol") & (p1["name"] == "\\"), F.lit("\\"))
+    )
+    g = g.withColumns({
+        "owner": F.first(F.when(F.col("_start") == 1, owner), ignorenulls=False).over(cw),
+        "arg_no": F.when(F.col("kind") == "open", F.count_if(F.col("kind") == "open").over(cw)).otherwise(0),
+        # A definition may name its target bare, in which case its groups start one later.
+        "_bare": F.first((p1["kind"] == "word") & (p2["kind"] == "word") & p2["name"].isin(definer)).over(cw),
+    })
+    j = g.join(policy.withColumnRenamed("command", "owner"), ["owner", "arg_no"], "left")
+    known = F.col("owner").isin(*r.known_commands()) | F.startswith("owner", F.lit("env:"))
+    empty = F.col("off") + 1 == F.col("c_off")
+    role = (
+        F.when(F.col("owner").isin(*r.EMPTY_GROUP) & (F.col("kind") == "open"), F.when(empty, "protected_structure").otherwise("ambiguous_command_arg"))
+        .when(F.col("owner") == "\\", F.when(F.col("kind") == "left", "protected_control"))
+        .when(F.col("role").isNotNull(), F.col("role"))
+        .when(F.col("owner").isNotNull() & ~known, "ambiguous_command_arg")
+    )
+    unknown = (role == "ambiguous_command_arg")
+    return j.select(
+        *key, "pos", "c_pos", "kind", "owner", "arg_no", F.col("off").alias("start"), (F.col("c_off") + 1).alias("end"),
+        role.alias("role"), F.coalesce(unknown, F.lit(False)).alias("unknown"),
+    )
+
+
+def _environments(lexemes: DataFrame, key: Sequence[str]) -> DataFrame:
+    rows = lexemes.where("kind IN ('begin', 'end')").withColumn("n", F.length("run"))
+    return _pairs(rows, key, F.when(F.col("kind") == "begin", 1).otherwise(-1), [*key])
+
+
+def _symbols(lexemes: DataFrame, key: Sequence[str]) -> DataFrame:
+    rows = lexemes.where("kind = 'symbol' AND name IN ('(', ')', '[', ']')").withColumn("n", F.length("run"))
+    return _pairs(rows, key, F.when(F.col("name").isin("(", "["), 1).otherwise(-1), [*key])
+
+
+def _dollars(solid: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Dollar delimiters toggle within their own group, so mathematics inside a text argument pairs by itself."""
+    w = Window.partitionBy(*key, "gid", "depth").orderBy("pos")
+    d = solid.where("kind = 'dollar'").withColumns({
+        "_i": F.row_number().over(w), "c_off": F.lead("off").over(w), "c_run": F.lead("run").over(w),
+    })
+    return d.where("_i % 2 = 1").select(*key, "pos", "off", "run", "c_off", "c_run")
+
+
+def structure_errors(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
+    """``key, off, code`` of every unmatched, mismatched or unclosed brace, environment and math delimiter."""
+    lex = lex_tex(docs, key, text)
+    rows = lex.where("kind IN ('open', 'close')").withColumn("n", F.length("run"))
+    brace = _pairs(rows, key, F.when(F.col("kind") == "open", 1).otherwise(-1), [*key])
+
+    def errors(d: DataFrame, code: Column) -> DataFrame:
+        return d.select(*key, "off", code.alias("code")).where(F.col("code").isNotNull())
+
+    env = _environments(lex, key)
+    sym = _symbols(lex, key)
+    closer = F.when(F.col("name") == "(", ")").otherwise("]")
+    count = lex.groupBy(*key).agg(F.count_if((F.col("kind") == "end") & (F.col("name") == "document")).alias("_n"))
+    out = errors(brace, F.when(F.col("_s") == -1, "unmatched_closing_brace").when(F.col("c_pos").isNull(), "unclosed_brace"))
+    out = out.unionByName(errors(env, F.when(F.col("_s") == -1, "unmatched_environment_end").when(F.col("c_pos").isNull(), "unclosed_environment")
+                                 .when(F.col("name") != F.col("c_name"), "mismatched_environment_end")))
+    out = out.unionByName(errors(sym, F.when(F.col("_s") == -1, "mismatched_math_delimiter").when(F.col("c_pos").isNull(), "unclosed_math")
+                                 .when(F.col("c_name") != closer, "mismatched_math_delimiter")))
+    out = out.unionByName(errors(_dollars(_solid(lex, key), key), F.when(F.col("c_off").isNull(), "unclosed_math")
+                                 .when(F.col("run") != F.col("c_run"), "mismatched_dollar_delimiter")))
+    none = docs.select(*key).join(count, list(key), "left").where(F.coalesce("_n", F.lit(0)) != 1)
+    return out.unionByName(none.select(*key, F.lit(0).cast("bigint").alias("off"), F.lit("document_environment_count").alias("code")))
+
+
+def _read_arguments(args: DataFrame, maths: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Arguments that are read as such: not those inside a raw one, and inside mathematics only text and foreign ones."""
+    text_args = args.where("role = 'math_text'").select(
+        *key, (F.col("start") + 1).alias("start"), (F.col("end") - 1).alias("end"), F.lit("text").alias("_what")
+    )
+    raws = args.where("raw").select(*key, "start", "end", F.lit("raw").alias("_what"))
+    around = maths.select(*key, "start", "end", F.lit("math").alias("_what")).unionByName(text_args).unionByName(raws)
+    hit = spans.overlaps(args.select(*key, "start", "end"), around.where("start < end"), key, ["_what"])
+    hit = hit.where((F.col("r_start") < F.col("start")) & (F.col("end") <= F.col("r_end")))
+
+    def innermost(what: str) -> Column:
+        return F.max(F.when(F.col("_what") == what, F.col("r_start")))
+
+    per = hit.groupBy(*key, "start").agg(
+        innermost("math").alias("_m"), innermost("text").alias("_t"), F.bool_or(F.col("_what") == "raw").alias("_in_raw")
+    )
+    j = args.join(per, [*key, "start"], "left")
+    in_math = F.col("_m").isNotNull() & F.coalesce(F.col("_t") < F.col("_m"), F.lit(True))
+    special = F.col("owner").isin(*r.MATH_TEXT_COMMANDS, *r.FOREIGN_COMMANDS, "\\") | F.startswith("owner", F.lit("env:"))
+    return j.where(~F.coalesce("_in_raw", F.lit(False)) & (~in_math | special)).drop("_m", "_t", "_in_raw")
+
+
+def role_spans(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> tuple[DataFrame, DataFrame]:
+    """``key, start, end, paint, opaque`` of everything that sets a role, and the bound arguments."""
+    solid = _solid(lexemes, key)
+    groups = bind_groups(solid, policy, key)
+    env = _environments(lexemes, key).where("c_pos IS NOT NULL AND _s = 1")
+    end = F.col("c_off") + F.col("c_n")
+    body = F.col("off") + F.length("run")
+
+    def span(d: DataFrame, start: Column, stop: Column, paint: Column, opaque: bool) -> DataFrame:
+        return d.select(*key, start.alias("start"), stop.alias("end"), paint.alias("paint"), F.lit(opaque).alias("opaque"))
+
+    doc = env.where("name = 'document'").select(*key, F.col("off").alias("_from"), end.alias("_to"))
+    last = lexemes.groupBy(*key).agg(F.max(F.col("off") + F.length("run")).alias("_len")).join(doc, list(key))
+    preamble = span(last, F.lit(0).cast("bigint"), F.col("_from"), F.lit("protected_preamble"), False)
+    after = span(last, F.col("_to"), F.col("_len"), F.lit("protected_preamble"), True)
+    # Before the document only theorem declarations are read; everything else there stays as it is.
+    args = groups.where("role IS NOT NULL").join(doc.select(*key, "_from"), list(key))
+    args = args.where((F.col("start") > F.col("_from")) | F.col("owner").isin("newtheorem", "newtheorem*"))
+    raw = F.startswith("role", F.lit("protected")) | ((F.col("role") == "ambiguous_command_arg") & (F.col("kind") == "left"))
+    sym = span(_symbols(lexemes, key).where("c_pos IS NOT NULL AND _s = 1"), F.col("off"), end, F.lit("protected_math"), False)
+    dol = _dollars(solid, key).where("c_off IS NOT NULL")
+    dol = span(dol, F.col("off"), F.col("c_off") + F.length("c_run"), F.lit("protected_math"), False)
+    maths = span(env.where(F.col("name").isin(*r.MATH_ENVIRONMENTS)), body, F.col("c_off"), F.lit("protected_math"), False)
+    maths = maths.unionByName(sym).unionByName(dol)
+    args = _read_arguments(args.withColumn("raw", raw), maths, key)
+    opaque = span(args.where("raw"), F.col("start"), F.col("end"), F.col("role"), True)
+    painted = args.where("NOT raw AND role <> 'inherit'")
+    painted = span(painted, F.col("start") + 1, F.col("end") - 1, F.col("role"), False)
+    foreign = span(env.where(F.col("name").isin(*r.FOREIGN_ENVIRONMENTS)), body, F.col("c_off"), F.lit("protected_foreign"), True)
+    code = span(env.where(F.col("name").isin(*r.CODE_ENVIRONMENTS)), body, F.col("c_off"), F.lit("protected_code"), True)
+    out = preamble
+    for d in (after, opaque, painted, maths, foreign, code):
+        out = out.unionByName(d)
+    return out.where("start < end"), args
+
+
+def paint_roles(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """``key, start, end, run, kind, role``: an opaque span decides over all inside it, else the innermost span does;
+    a text argument is visible prose of mathematics only where mathematics surrounds it."""
+    marks, args = role_spans(lexemes, policy, key)
+    runs = lexemes.select(*key, F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end"), "run", "kind")
+    hit = spans.overlaps(runs.select(*key, "start", "end"), marks, key, ["paint", "opaque"])
+    hit = hit.where((F.col("r_start") <= F.col("start")) & (F.col("end") <= F.col("r_end")))
+    per = hit.groupBy(*key, "start").agg(
+        F.min_by(F.when(F.col("opaque"), F.col("paint")), F.when(F.col("opaque"), F.col("r_start"))).alias("_raw"),
+        F.max(F.when(~F.col("opaque") & (F.col("paint") != "math_text"), F.struct("r_start", "paint"))).alias("_base"),
+        F.max(F.when(F.col("paint") == "math_text", F.col("r_start"))).alias("_text"),
+    )
+    j = runs.join(per, [*key, "start"], "left")
+    in_text = F.coalesce((F.col("_base.paint") == "protected_math") & (F.col("_text") >= F.col("_base.r_start")), F.lit(False))
+    ctx = F.coalesce("_raw", F.when(in_text, "visible_math_text").otherwise(F.col("_base.paint")), F.lit("visible_prose"))
+    j = j.withColumn("_ctx", ctx)
+    shown = F.col("_ctx").isin(*t.VISIBLE_ROLES, "ambiguous_command_arg")
+    edges = args.where("kind = 'left' AND role IN ('inherit', 'math_text')").select(*key, F.explode(F.array("start", F.col("end") - 1)).alias("start"))
+    j = j.join(edges.withColumn("_edge", F.lit(True)).distinct(), [*key, "start"], "left")
+    role = (
+        F.when((F.col("kind") == "comment") & F.col("_raw").isNull(), "protected_comment")
+        .when(~shown, F.col("_ctx"))
+        .when(F.col("kind").isin("verb", "verbatim"), "protected_verbatim")
+        .when(F.col("kind").isin("word", "symbol"), "protected_control")
+        .when(F.col("kind").isin("begin", "end", "open", "close") | F.col("_edge"), "protected_structure")
+        .when(F.col("kind") == "literal", "protected_identity_literal")
+        .otherwise(F.col("_ctx"))
+    )
+    return j.select(*key, "start", "end", "run", "kind", role.alias("role"))
+
+
+def text_segments(painted: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Adjacent lexemes of one role as one segment with its text, so that no word is cut where the lexer paused."""
+    w = Window.partitionBy(*key).orderBy("start")
+    new = F.when(F.lag("role").over(w) == F.col("role"), 0).otherwise(1)
+    d = painted.withColumn("_n", new).withColumn("_g", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return d.groupBy(*key, "_g", "role").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        F.array_join(F.array_sort(F.collect_list(F.struct("start", "run"))).getField("run"), "").alias("surface"),
+    ).drop("_g")
+
+
+def project_tex(segments: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
+    """Whole documents with visible segments projected."""
+    out = F.when(F.col("role").isin(*t.VISIBLE_ROLES), fx.project_text(F.col("surface"))).otherwise(F.col("surface"))
+    d = segments.select(*key, F.struct(F.col("start"), out.alias("out")).alias("_s"))
+    return d.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_list("_s")).getField("out"), "").alias(text))
+
+
+def unknown_commands(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """Commands with arguments that no policy covers; they are held, not guessed."""
+    args = role_spans(lexemes, policy, key)[1]
+    return args.where("unknown").select(*key, F.col("owner").alias("command")).distinct()
+
+
+def policy_table(spark) -> DataFrame:
+    return spark.createDataFrame(r.argument_policy(), "command string, arg_no int, role string")
