@@ -294,3 +294,52 @@ def w5(spark, sf):
 )
 def w6(spark, sf):
     return markup.previous_lexeme(lexemes(spark, sf)).select("page_id", "pos", "kind", "owner_pos")
+
+
+# ---- TeX: every document set in a small TeX frame ---------------------------------------------------------------------
+
+def _tex_docs(spark, sf):
+    from corpusgate.operators import tex
+
+    clean = F.regexp_replace("text", r"[%$\\{}\[\]]", " ")
+    body = F.concat(
+        F.lit("\\newtheorem{s}{Dom}\n\\begin{document}\n\\emph{"), clean, F.lit("} \\foreign{"), clean, F.lit("} \\("), clean,
+        F.lit("\\text{"), clean, F.lit("}\\) \\tajna{"), clean, F.lit("}"),
+        F.expr("CASE doc_id % 4 WHEN 1 THEN '}' WHEN 2 THEN '\\\\begin{align}x\\\\end{equation}' WHEN 3 THEN '\\\\[' ELSE '' END"),
+        F.lit("\n\\end{document}\n"),
+    )
+    docs = table(spark, sf, "documents").select("doc_id", body.alias("text"))
+    return tex, docs
+
+
+_CLEAN = r"regexp_replace(text, '[%$\\{}\[\]]', ' ', 'g')"
+
+
+def _tex_sql(show):
+    from .registry import project_text_sql
+
+    c, p = "clean", project_text_sql("clean") if show else "clean"
+    dom = "Дом" if show else "Dom"
+    return f"""(SELECT doc_id, '\\newtheorem{{s}}{{{dom}}}' || chr(10) || '\\begin{{document}}' || chr(10) || '\\emph{{' || {p} || '}} \\foreign{{' || {c} || '}} \\(' || {c}
+      || '\\text{{' || {p} || '}}\\) \\tajna{{' || {c} || '}}' || CASE doc_id % 4 WHEN 1 THEN '}}' WHEN 2 THEN '\\begin{{align}}x\\end{{equation}}' WHEN 3 THEN '\\[' ELSE '' END
+      || chr(10) || '\\end{{document}}' || chr(10) AS text FROM (SELECT doc_id, {_CLEAN} AS clean FROM documents))"""
+
+
+@check("g5_tex_projection", f"SELECT doc_id, text FROM {_tex_sql(True)} WHERE doc_id % 4 = 0")
+def tex_projection(spark, sf):
+    """Only structurally sound documents are projected; the others are left to the error report."""
+    tex, docs = _tex_docs(spark, sf)
+    sound = docs.join(tex.structure_errors(docs).select("doc_id").distinct(), "doc_id", "left_anti")
+    painted_ = tex.paint_roles(tex.lex_tex(sound), tex.policy_table(spark))
+    return tex.project_tex(tex.text_segments(painted_))
+
+
+@check(
+    "g2_tex_errors",
+    f"""SELECT doc_id, (length(text) - CASE doc_id % 4 WHEN 1 THEN 17 WHEN 2 THEN 43 ELSE 18 END)::BIGINT AS off,
+      CASE doc_id % 4 WHEN 1 THEN 'unmatched_closing_brace' WHEN 2 THEN 'mismatched_environment_end' ELSE 'unclosed_math' END AS code
+    FROM {_tex_sql(False)} WHERE doc_id % 4 <> 0""",
+)
+def tex_errors(spark, sf):
+    tex, docs = _tex_docs(spark, sf)
+    return tex.structure_errors(docs)

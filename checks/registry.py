@@ -40,7 +40,7 @@ VARIANT = """CASE doc_id % 6
  WHEN 0 THEN concat(text, ' Glava IV i tom XII. Cena 12pt, 3true em ili 7EM, I-II. ')
  WHEN 1 THEN concat('Đak ľjubi DŽep dŽ Ľjerka nJ ', text, ' A. B. Novak von Berg i C. Kraus-Meyer. V ') 
  WHEN 2 THEN concat(text, ' слово mešaнo q. e. d. V. I) teorem X (I) M. Karl Weber')
- WHEN 3 THEN concat('V ', text, ' vidi IX. Stopnja K, VI, 5 pt ne 5pt; ſtara A. Novak, tom I ')
+ WHEN 3 THEN concat('V ', text, ' vidi IX. Stopnja \u212a, VI, 5 pt ne 5pt; ſtara A. Novak, tom I ')
  WHEN 4 THEN text
  ELSE concat(text, ' przęd śẃiat II X, 9em5 ')
 END"""
