@@ -328,15 +328,15 @@ def _tex_sql(show):
 @check("g5_tex_projection", f"SELECT doc_id, text FROM {_tex_sql(True)} WHERE doc_id % 4 = 0")
 def tex_projection(spark, sf):
     """Only structurally sound documents are projected; the others are left to the error report."""
+    from corpusgate.plans.tex import project_tex_corpus
+
     tex, docs = _tex_docs(spark, sf)
-    sound = docs.join(tex.structure_errors(docs).select("doc_id").distinct(), "doc_id", "left_anti")
-    painted_ = tex.paint_roles(tex.lex_tex(sound), tex.policy_table(spark))
-    return tex.project_tex(tex.text_segments(painted_))
+    return project_tex_corpus(docs, tex.policy_table(spark)).output
 
 
 @check(
     "g2_tex_errors",
-    f"""SELECT doc_id, (length(text) - CASE doc_id % 4 WHEN 1 THEN 17 WHEN 2 THEN 43 ELSE 18 END)::BIGINT AS off,
+    f"""SELECT doc_id, (length(text) - CASE doc_id % 4 WHEN 1 THEN 17 WHEN 2 THEN 30 ELSE 18 END)::BIGINT AS off,
       CASE doc_id % 4 WHEN 1 THEN 'unmatched_closing_brace' WHEN 2 THEN 'mismatched_environment_end' ELSE 'unclosed_math' END AS code
     FROM {_tex_sql(False)} WHERE doc_id % 4 <> 0""",
 )

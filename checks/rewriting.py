@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from corpusgate.functions import tables as t
 from corpusgate.functions import text as fx
-from corpusgate.operators import edits, identity, inventory, lines, matches, projection, spans, tokens
+from corpusgate.operators import edits, inventory, lines, matches, projection, tokens
+from corpusgate.plans.projection import Projection, materialise, projection_gates
 
 from .joins import ISSUES_SQL, structural_issues
 from .registry import (
@@ -53,7 +54,8 @@ TRACE_SQL = _trace_sql(PROTECTED_SQL)
 OUTPUT_SQL = f"(SELECT doc_id, string_agg(out_text, '' ORDER BY in_start) AS text FROM {TRACE_SQL} GROUP BY doc_id)"
 
 
-def protection(spark, sf, units=True):
+def protection(spark, sf, units=True, shared=False):
+    """Variant texts and their protected spans; ``shared`` keeps the spans as a table for several readers."""
     docs = variant_docs(spark, sf)
     names = matches.name_spans(docs, ["doc_id"], *matches.NAME_SUBTYPES[0])
     letters = inventory.one_letter_inventory(docs, names, letters=("A", "I", "V", "M"))
@@ -62,7 +64,8 @@ def protection(spark, sf, units=True):
     held = tokens.tokenise(docs).where(F.col("is_word") & ~fx.is_projectable(F.col("run"))).select(
         "doc_id", F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end")
     )
-    return docs, projection.protected_spans(docs, rows, held, units=units)
+    merged = projection.protected_spans(docs, rows, held, units=units)
+    return docs, materialise(merged) if shared else merged
 
 
 @check("r6_protected_spans", f"SELECT * FROM {PROTECTED_SQL}")
@@ -88,13 +91,13 @@ def r2(spark, sf):
     f"SELECT doc_id, upper(sha256(text)) AS first_sha256, upper(sha256(text)) AS second_sha256, true AS pass FROM {OUTPUT_SQL}",
 )
 def r3(spark, sf):
-    docs, spans_ = protection(spark, sf)
+    docs, spans_ = protection(spark, sf, shared=True)
     return projection.derivations_agree(projection.project_documents(docs, spans_), projection.project_by_tokens(docs, spans_))
 
 
 @check("r4_inverse_replay", f"SELECT doc_id, upper(sha256(text)) AS first_sha256, upper(sha256(text)) AS second_sha256, true AS pass FROM {V_DOCS}")
 def r4(spark, sf):
-    docs, spans_ = protection(spark, sf)
+    docs, spans_ = protection(spark, sf, shared=True)
     trace = projection.projection_trace(docs, spans_)
     back = projection.replay_inverse(trace, projection.project_documents(docs, spans_))
     return projection.derivations_agree(docs, back)
@@ -108,7 +111,7 @@ def r4(spark, sf):
     WHERE w.is_word AND regexp_matches(w.run, '\\p{{Latin}}')""",
 )
 def r5(spark, sf):
-    docs, spans_ = protection(spark, sf)
+    docs, spans_ = protection(spark, sf, shared=True)
     trace = projection.projection_trace(docs, spans_)
     out = projection.project_documents(docs, spans_)
     return projection.latin_residuals(out, trace.where("protected"))
@@ -127,11 +130,26 @@ _UNIT_LIST = f"list_transform(regexp_extract_all(text, '{UNITS_RE2}', 1), lambda
 def a14(spark, sf):
     from corpusgate.operators.gates import census_gate
 
-    docs, spans_ = protection(spark, sf)
+    docs, spans_ = protection(spark, sf, shared=True)
     out = projection.project_documents(docs, spans_)
     return census_gate(projection.unit_census(out), projection.unit_census(docs), ["doc_id", "unit"])
 
 
+@check(
+    "r_projection_gates",
+    f"""WITH w AS (SELECT count(*) AS n FROM {runs_sql(OUTPUT_SQL)} w WHERE is_word AND regexp_matches(run, '\\p{{Latin}}')),
+    c AS (SELECT count(*) AS n FROM {runs_sql(OUTPUT_SQL)} w JOIN {_merge_sql(f'(SELECT doc_id, out_start AS start, out_end AS "end" FROM {TRACE_SQL} WHERE protected)')} r
+      ON r.doc_id = w.doc_id AND r.start <= w.off AND w.off + length(w.run) <= r."end" WHERE w.is_word AND regexp_matches(w.run, '\\p{{Latin}}'))
+    SELECT 'two_derivations_agree' AS code, 0 AS failures, true AS pass UNION ALL SELECT 'inverse_replay', 0, true UNION ALL SELECT 'units_survive', 0, true
+    UNION ALL SELECT 'no_unprotected_latin', w.n - c.n, w.n = c.n FROM w, c""",
+)
+def all_gates(spark, sf):
+    docs, spans_ = protection(spark, sf, shared=True)
+    docs = docs.select("doc_id", "text")
+    done = Projection(spans_, projection.project_documents(docs, spans_), projection.projection_trace(docs, spans_))
+    return projection_gates(docs, done)
+
+
 # ---- token maps ---------------------------------------------------------------------------------------------------
 
 TOKEN_MAP = {"the": "tha", "The": "Tha", "de": "di", "la": "lo", "und": "unt", "les": "lo", "and": "ant"}

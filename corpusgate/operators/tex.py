@@ -161,14 +161,16 @@ def _dollars(solid: DataFrame, key: Sequence[str]) -> DataFrame:
     return d.where("_i % 2 = 1").select(*key, "pos", "off", "run", "c_off", "c_run")
 
 
-def structure_errors(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
+def structure_errors(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text", lexemes: DataFrame | None = None) -> DataFrame:
     """``key, off, code`` of every unmatched, mismatched or unclosed brace, environment and math delimiter."""
-    lex = lex_tex(docs, key, text)
+    lex = lex_tex(docs, key, text) if lexemes is None else lexemes
     rows = lex.where("kind IN ('open', 'close')").withColumn("n", F.length("run"))
     brace = _pairs(rows, key, F.when(F.col("kind") == "open", 1).otherwise(-1), [*key])
 
     def errors(d: DataFrame, code: Column) -> DataFrame:
-        return d.select(*key, "off", code.alias("code")).where(F.col("code").isNotNull())
+        # A mismatch is noticed at the closer, everything else at the delimiter itself.
+        at = F.when(F.startswith("code", F.lit("mismatched")) & F.col("c_off").isNotNull(), F.col("c_off")).otherwise(F.col("off"))
+        return d.withColumn("code", code).where(F.col("code").isNotNull()).select(*key, at.alias("off"), "code")
 
     env = _environments(lex, key)
     sym = _symbols(lex, key)
@@ -246,7 +248,11 @@ def role_spans(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY)
 def paint_roles(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """``key, start, end, run, kind, role``: an opaque span decides over all inside it, else the innermost span does;
     a text argument is visible prose of mathematics only where mathematics surrounds it."""
-    marks, args = role_spans(lexemes, policy, key)
+    return paint(lexemes, *role_spans(lexemes, policy, key), key)
+
+
+def paint(lexemes: DataFrame, marks: DataFrame, args: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """:func:`paint_roles` from role spans and arguments at hand."""
     runs = lexemes.select(*key, F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end"), "run", "kind")
     hit = spans.overlaps(runs.select(*key, "start", "end"), marks, key, ["paint", "opaque"])
     hit = hit.where((F.col("r_start") <= F.col("start")) & (F.col("end") <= F.col("r_end")))
@@ -294,7 +300,10 @@ def project_tex(segments: DataFrame, key: Sequence[str] = KEY, text: str = "text
 
 def unknown_commands(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Commands with arguments that no policy covers; they are held, not guessed."""
-    args = role_spans(lexemes, policy, key)[1]
+    return unknown_arguments(role_spans(lexemes, policy, key)[1], key)
+
+
+def unknown_arguments(args: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     return args.where("unknown").select(*key, F.col("owner").alias("command")).distinct()
 
 

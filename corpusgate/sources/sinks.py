@@ -38,12 +38,17 @@ def table_digest(df: DataFrame) -> DataFrame:
 
 def verify_written(expected: DataFrame, written: DataFrame) -> DataFrame:
     """One gate row: row counts and digests of what should be there and what is."""
-    e = table_digest(expected).select(F.lit(1).alias("_k"), F.col("rows").alias("expected_rows"), F.col("digest").alias("_e"))
-    w = table_digest(written.select(*expected.columns)).select(
-        F.lit(1).alias("_k"), F.col("rows").alias("written_rows"), F.col("digest").alias("_w")
+    def side(d: DataFrame, name: str) -> DataFrame:
+        return table_digest(d).select(F.lit(name).alias("side"), "rows", "digest")
+
+    both = side(expected, "e").unionByName(side(written.select(*expected.columns), "w"))
+    pick = lambda c, s: F.max(F.when(F.col("side") == s, F.col(c)))
+    d = both.agg(
+        pick("rows", "e").alias("expected_rows"), pick("rows", "w").alias("written_rows"),
+        (pick("digest", "e") == pick("digest", "w")).alias("_same"),
     )
-    same = (F.col("expected_rows") == F.col("written_rows")) & (F.col("_e") == F.col("_w"))
-    return e.join(w, "_k").select("expected_rows", "written_rows", same.alias("pass"))
+    same = (F.col("expected_rows") == F.col("written_rows")) & F.col("_same")
+    return d.select("expected_rows", "written_rows", same.alias("pass"))
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
