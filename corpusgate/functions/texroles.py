@@ -27,15 +27,14 @@ IDENTITY_ONE = (
 )
 IDENTITY_TWO = ("setlength", "addtolength", "setcounter", "addtocounter", "rule")
 # --- fixed values: commands around foreign text, read even inside mathematics ---
-FOREIGN_COMMANDS = ("foreign", "isvforeign", "foreignlanguage")
+FOREIGN_COMMANDS = ("foreign", "foreignlanguage")
 # --- fixed values: commands whose groups differ in role ---
 MIXED_ROLES = {
-    "foreign": ("protected_foreign",), "isvforeign": ("protected_foreign",),
+    "foreign": ("protected_foreign",),
     "foreignlanguage": ("protected_foreign", "protected_foreign"),
     "mcell": ("protected_math",), "diagbox": ("protected_math", "protected_math"),
     "srcfn": ("protected_identity_arg", "visible_prose"), "tocline": ("visible_prose", "protected_identity_arg"),
     "tocsec": ("protected_identity_arg", "visible_prose", "protected_identity_arg"),
-    "noethpIIsrcfnmark": ("protected_identity_arg",), "noethpIIsrcfntext": ("protected_identity_arg", "visible_prose"),
     "addcontentsline": ("protected_identity_arg", "protected_identity_arg", "visible_prose"),
     "href": ("protected_identity_arg", "visible_prose"), "texorpdfstring": ("visible_metadata", "visible_metadata"),
     "newtheorem": ("protected_identity_arg", "visible_metadata"), "newtheorem*": ("protected_identity_arg", "visible_metadata"),

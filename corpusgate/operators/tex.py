@@ -205,7 +205,7 @@ def _read_arguments(args: DataFrame, maths: DataFrame, key: Sequence[str]) -> Da
     )
     j = args.join(per, [*key, "start"], "left")
     in_math = F.col("_m").isNotNull() & F.coalesce(F.col("_t") < F.col("_m"), F.lit(True))
-    special = F.col("owner").isin(*r.MATH_TEXT_COMMANDS, *r.FOREIGN_COMMANDS, "\\") | F.startswith("owner", F.lit("env:"))
+    special = F.col("owner").isin(*r.MATH_TEXT_COMMANDS, *r.FOREIGN_COMMANDS, "\\") | (F.col("role") == "protected_foreign") | F.startswith("owner", F.lit("env:"))
     return j.where(~F.coalesce("_in_raw", F.lit(False)) & (~in_math | special)).drop("_m", "_t", "_in_raw")
 
 
@@ -307,5 +307,8 @@ def unknown_arguments(args: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     return args.where("unknown").select(*key, F.col("owner").alias("command")).distinct()
 
 
-def policy_table(spark) -> DataFrame:
-    return spark.createDataFrame(r.argument_policy(), "command string, arg_no int, role string")
+def policy_table(spark, extra: Sequence[tuple[str, int, str]] = ()) -> DataFrame:
+    """The built-in policy and the rows an edition adds for commands of its own (argument 0 is the bracket)."""
+    added = {c for c, _, _ in extra}
+    rows = [row for row in r.argument_policy() if row[0] not in added]
+    return spark.createDataFrame([*rows, *extra], "command string, arg_no int, role string")

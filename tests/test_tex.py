@@ -97,3 +97,11 @@ def test_error_codes(spark):
 def test_cases_are_well_formed(spark):
     docs = spark.createDataFrame([(i, c[1]) for i, c in enumerate(CASES)], "doc_id long, text string")
     assert tex.structure_errors(docs).collect() == []
+
+
+def test_an_edition_adds_its_own_commands(spark):
+    docs = spark.createDataFrame([(1, doc("\\tajna{Dom}{qwx} \\(\\ostrov{qwx}\\)"))], "doc_id long, text string")
+    policy = tex.policy_table(spark, [("tajna", 1, "visible_prose"), ("tajna", 2, "protected_identity_arg"), ("ostrov", 1, "protected_foreign")])
+    lex = tex.lex_tex(docs)
+    assert tex.project_tex(tex.text_segments(tex.paint_roles(lex, policy))).first().text == doc("\\tajna{Дом}{qwx} \\(\\ostrov{qwx}\\)")
+    assert tex.unknown_commands(lex, policy).collect() == []
