@@ -6,10 +6,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from checks import harness
+from checks import harness, registry
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES  # filled by the entry module
 
 
 @pytest.fixture(scope="module")
