@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def slices(batches, nbytes: int = 4 << 20, column: str = "text"):
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = size = 0
         for i, n in enumerate(lengths):
             if i > start and size + n > nbytes:
@@ -40,3 +41,11 @@ def slices(batches, nbytes: int = 4 << 20, column: str = "text"):
                 start, size = i, 0
             size += n
         yield batch.slice(start)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while (name := f"_{name}").lower() in taken:
+        pass
+    return name

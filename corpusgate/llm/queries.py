@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import chat, url_filter, warc
+from . import chat, langid, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,13 @@ RULES = (
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = url_filter.train(url_filter.labelled_urls())
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), model, RULES)
+
+
+# ---- language ---------------------------------------------------------------------------------------------------
+
+
+@register("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.predict(rows, langid.train(docs), ["doc_id", "held_out"])
