@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import chat, langid, url_filter, warc
+from . import chat, langid, quality, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
     return langid.predict(rows, langid.train(docs), ["doc_id", "held_out"])
+
+
+# ---- quality rules ------------------------------------------------------------------------------------------------
+
+
+@register("op10_quality_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
