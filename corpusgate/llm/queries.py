@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, langid, quality, url_filter, warc
+from . import bpe, chat, langid, pii, quality, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = bpe.Tokenizer.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.encode(table(spark, sf_dir, "documents"), tokenizer, ["doc_id"], with_ids=False)
+
+
+# ---- personal data --------------------------------------------------------------------------------------------------
+
+
+@register("op8_personal_data")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans")
