@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, langid, pii, quality, url_filter, warc
+from . import bpe, chat, decontaminate, langid, pii, quality, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,3 +132,31 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"), ["doc_id"])
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base"), 256).alias("base_sha256"), "spans")
+
+
+# ---- benchmark decontamination --------------------------------------------------------------------------------------
+
+_LEAK_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+LEAK_SQL = f"""
+WITH d AS (SELECT doc_id, {_LEAK_WORDS} AS w FROM documents), b AS (SELECT item_id::VARCHAR AS item, {_LEAK_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT item, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+grams AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d JOIN (SELECT DISTINCT k FROM win) ON len(w) >= k)),
+hit AS (SELECT doc_id, i, k, item FROM grams JOIN win USING (g, k)),
+n AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
+@register("op3_decontamination", LEAK_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
