@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, decontaminate, langid, pii, quality, url_filter, warc
+from . import bpe, chat, decontaminate, langid, minhash, pii, quality, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +160,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+# ---- near duplicates ------------------------------------------------------------------------------------------------
+
+
+@register("op2_minhash_near_duplicates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
