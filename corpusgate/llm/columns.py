@@ -29,14 +29,14 @@ def keyed_texts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def slices(batches, nbytes: int = 4 << 20, column: str = "text"):
-    """Arrow record batches cut so that the texts of one slice stay near ``nbytes`` (one row at least)."""
+    """Arrow record batches cut so that a slice has about ``nbytes`` of text, one row at least and 30,000 at most."""
     for batch in batches:
         if not batch.num_rows:
             continue
         lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = size = 0
         for i, n in enumerate(lengths):
-            if i > start and size + n > nbytes:
+            if i > start and (size + n > nbytes or i - start >= 30_000):
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += n

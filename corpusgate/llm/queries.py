@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, decontaminate, langid, minhash, pii, quality, url_filter, warc
+from . import bpe, chat, decontaminate, langid, minhash, pii, quality, suffix, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -168,3 +168,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_minhash_near_duplicates")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# ---- repeated strings -------------------------------------------------------------------------------------------------
+
+
+@register("op1_suffix_array_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return stripped.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
