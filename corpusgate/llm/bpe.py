@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import fresh, slices
+from .columns import fresh, quoted, slices
 
 #: Words a task keeps, and bytes of words that one recursive query takes.
 CACHE, QUERY_BYTES = 250_000, 200_000
@@ -214,8 +214,8 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, keep: list[str], *, text: str
     """
     held = docs.sparkSession.sparkContext.broadcast(tokenizer)  # as large as the vocabulary, whatever the corpus
     hidden = fresh(docs, "text")
-    source = docs.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias(hidden))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    source = docs.select(*quoted(keep), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(hidden))
+    fields = [f"{q} {f.dataType.simpleString()}" for q, f in zip(quoted(keep), source.schema.fields, strict=False)]
     names, kinds = (("ids", "decoded"), (pa.string(), pa.binary())) if with_ids else (("ids_sha256", "decoded_sha256"), (pa.string(), pa.string()))
     key = str(id(held))
 

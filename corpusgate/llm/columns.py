@@ -49,3 +49,8 @@ def fresh(df: DataFrame, name: str) -> str:
     while (name := f"_{name}").lower() in taken:
         pass
     return name
+
+
+def quoted(names) -> list[str]:
+    """Column names that are taken literally, whatever characters they hold."""
+    return [f"`{n.replace('`', '``')}`" for n in names]

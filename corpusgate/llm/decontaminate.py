@@ -143,3 +143,12 @@ def mark_documents(docs: DataFrame, items: DataFrame, *, size: int = 10, key: st
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     return out.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.col("items"), F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"))
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, *, size: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The same columns, without the documents in which any window of an item occurs."""
+    hits = materialise(phrase_matches(keyed(docs, key, text), item_windows(items, size)).select(*KEY))
+    body = docs[text].cast("string")
+    name = F.coalesce(docs[key].cast("string"), F.lit(""))
+    doc, text_hash = F.coalesce(docs[key].cast("long"), F.lit(0)), F.xxhash64(name, F.coalesce(body, F.lit("")))
+    return docs.join(hits, (doc == hits["_doc"]) & (text_hash == hits["_text_hash"]), "left_anti")

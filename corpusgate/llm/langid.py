@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .columns import fresh, slices
+from .columns import fresh, quoted, slices
 
 UNKNOWN = "und"
 WINDOW, EMBED, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
@@ -163,10 +163,10 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str], *, te
     letters = F.when(F.col(text).cast("string").rlike(r"\p{L}"), F.col(text).cast("string"))
     pred, score = names
     if model is None:
-        return docs.select(*keep, F.lit(UNKNOWN).alias(pred), F.lit(0.0).alias(score))
+        return docs.select(*quoted(keep), F.lit(UNKNOWN).alias(pred), F.lit(0.0).alias(score))
     hidden = fresh(docs, "text")
-    source = docs.select(*keep, letters.alias(hidden))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    source = docs.select(*quoted(keep), letters.alias(hidden))
+    fields = [f"{q} {f.dataType.simpleString()}" for q, f in zip(quoted(keep), source.schema.fields, strict=False)]
 
     def label(batches):
         for b in slices(batches, 2 << 20, hidden):
@@ -189,3 +189,10 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str], *, te
             yield pa.RecordBatch.from_arrays([*kept, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*b.schema.names[:-1], pred, score])
 
     return source.mapInArrow(label, ", ".join([*fields, f"`{pred}` string", f"`{score}` double"]))
+
+
+def keep_known(docs: DataFrame, model: LanguageModel | None, *, text: str = "text", least: float = 0.0) -> DataFrame:
+    """The same columns, without the rows whose language is unknown or whose probability is below ``least``."""
+    label, score = fresh(docs, "label"), fresh(docs, "score")
+    found = predict(docs, model, docs.columns, text=text, names=(label, score))
+    return found.where((F.col(label) != UNKNOWN) & (F.col(score) >= least)).select(*quoted(docs.columns))

@@ -132,8 +132,8 @@ def _sketch_rows(batches):
             digests.append((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(digests[0]), pa.array(digests[1]), lists],
-            ["doc_id", "n_shingles", "d1", "d2", "bands"])
+            [b.column("doc_id"), b.column("th"), pa.array(sizes.astype(np.int64)), pa.array(digests[0]), pa.array(digests[1]), lists],
+            ["doc_id", "th", "n_shingles", "d1", "d2", "bands"])
 
 
 def _set_rows(batches):
@@ -235,9 +235,12 @@ def near_links(members: DataFrame, docs: DataFrame, least: tuple[int, int]) -> D
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least: tuple[int, int] = (75, 100)) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row: links where under * intersection >= over * union."""
-    named = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = materialise(named.mapInArrow(_sketch_rows, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"))
+    """``doc_id, n_shingles, component_id, kept, th`` for every row: links where under * intersection >= over * union.
+
+    ``th`` is the 64-bit hash of the text, which with the key names a row.
+    """
+    named = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("th"), F.col(text).cast("string").alias("text"))
+    rows = materialise(named.mapInArrow(_sketch_rows, "doc_id long, th long, n_shingles long, d1 long, d2 long, bands array<long>"))
     real = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["d1", "d2", "n_shingles"]
     nodes = materialise(real.groupBy(*same).agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands")))
@@ -250,6 +253,14 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         found = materialise(components(links))
         classes = classes.join(found.withColumnRenamed("node", "component_id"), "component_id", "left").select(
             *same, F.coalesce("component", "component_id").alias("component_id"))
-    out = rows.select("doc_id", *same).join(classes, same, "left")
+    out = rows.select("doc_id", "th", *same).join(classes, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "th")
+
+
+def keep_one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least: tuple[int, int] = (75, 100)) -> DataFrame:
+    """The same columns, one document of each component left: the one with the smallest key."""
+    dropped = near_duplicates(docs, key=key, text=text, least=least).where("NOT kept")
+    dropped = materialise(dropped.select(F.col("doc_id").alias("_dropped"), F.col("th").alias("_dropped_th")).distinct())
+    same = (docs[key].cast("long") == dropped["_dropped"]) & (F.xxhash64(docs[text].cast("string")) == dropped["_dropped_th"])
+    return docs.join(dropped, same, "left_anti")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import fresh, slices
+from .columns import fresh, quoted, slices
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -342,8 +342,8 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 def _mapped(docs: DataFrame, keep: list[str], text: str, fields: list[tuple[str, str, pa.DataType]], row) -> DataFrame:
     hidden = fresh(docs, "text")
-    source = docs.select(*keep, F.col(text).cast("string").alias(hidden))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    source = docs.select(*quoted(keep), F.col(text).cast("string").alias(hidden))
+    kept = [f"{q} {f.dataType.simpleString()}" for q, f in zip(quoted(keep), source.schema.fields, strict=False)]
 
     def run(batches):
         for b in slices(batches, 8 << 20, hidden):
@@ -379,4 +379,4 @@ def redact(docs: DataFrame, *, text: str = "text", model: SpanModel | None = Non
     name = fresh(docs, "redacted")
     others = [c for c in docs.columns if c != text]
     done = _mapped(docs, others, text, [(name, "string", pa.string())], row)
-    return done.select(*(F.col(name).alias(text) if c == text else c for c in docs.columns))
+    return done.select(*(F.col(name).alias(text) if c == text else q for c, q in zip(docs.columns, quoted(docs.columns), strict=True)))

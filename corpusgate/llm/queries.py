@@ -167,7 +167,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op2_minhash_near_duplicates")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("th")
 
 
 # ---- repeated strings -------------------------------------------------------------------------------------------------
