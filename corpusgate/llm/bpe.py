@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import fresh, quoted, slices
+from .columns import map_texts, slices
 
 #: Words a task keeps, and bytes of words that one recursive query takes.
 CACHE, QUERY_BYTES = 250_000, 200_000
@@ -213,16 +213,13 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, keep: list[str], *, text: str
     Without ``with_ids`` the last two are replaced by their SHA-256, ``ids_sha256`` and ``decoded_sha256``.
     """
     held = docs.sparkSession.sparkContext.broadcast(tokenizer)  # as large as the vocabulary, whatever the corpus
-    hidden = fresh(docs, "text")
-    source = docs.select(*quoted(keep), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(hidden))
-    fields = [f"{q} {f.dataType.simpleString()}" for q, f in zip(quoted(keep), source.schema.fields, strict=False)]
     names, kinds = (("ids", "decoded"), (pa.string(), pa.binary())) if with_ids else (("ids_sha256", "decoded_sha256"), (pa.string(), pa.string()))
     key = str(id(held))
 
     def run(batches):
         known = _table_of(key, held)
-        for b in slices(batches, 1 << 20, hidden):
-            split = [tokenizer_split(t) for t in b.column(hidden).to_pylist()]
+        for b in slices(batches, 1 << 20, "_text"):
+            split = [held.value.split(t) for t in b.column("_text").to_pylist()]
             known.learn(set().union(*split))
             counts, first, second = [], [], []
             for words in split:
@@ -230,12 +227,8 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, keep: list[str], *, text: str
                 counts.append(ids.count(" ") + 1 if words else 0)
                 first.append(ids if with_ids else hashlib.sha256(ids.encode()).hexdigest())
                 second.append(data if with_ids else hashlib.sha256(data).hexdigest())
-            kept = [b.column(c) for c in range(b.num_columns - 1)]
-            values = [pa.array(counts, pa.int64()), pa.array(first, kinds[0]), pa.array(second, kinds[1])]
-            yield pa.RecordBatch.from_arrays([*kept, *values], [*b.schema.names[:-1], "n_tokens", *names])
-
-    def tokenizer_split(t):
-        return held.value.split(t)
+            yield b, [pa.array(counts, pa.int64()), pa.array(first, kinds[0]), pa.array(second, kinds[1])]
 
     spark_kinds = ("string", "binary") if with_ids else ("string", "string")
-    return source.mapInArrow(run, ", ".join([*fields, "n_tokens long", *(f"{n} {k}" for n, k in zip(names, spark_kinds, strict=True))]))
+    made = [("n_tokens", "long"), *zip(names, spark_kinds, strict=True)]
+    return map_texts(docs, keep, F.coalesce(F.col(text).cast("string"), F.lit("")), made, run)

@@ -54,3 +54,22 @@ def fresh(df: DataFrame, name: str) -> str:
 def quoted(names) -> list[str]:
     """Column names that are taken literally, whatever characters they hold."""
     return [f"`{n.replace('`', '``')}`" for n in names]
+
+
+def map_texts(docs: DataFrame, keep: list[str], text: Column, made: list[tuple[str, str]], run) -> DataFrame:
+    """``keep`` and the columns ``made`` (name, type) that ``run`` computes from Arrow batches.
+
+    In the batches the kept columns go by position and the text, the last one, as ``_text``, whatever the table calls its
+    columns.  ``run`` gives for each batch a record batch and the list of its new arrays.
+    """
+    inner = [f"_k{i}" for i in range(len(keep))]
+    source = docs.select(*(F.col(q).alias(k) for q, k in zip(quoted(keep), inner, strict=True)), text.alias("_text"))
+
+    def batches_of(batches):
+        for b, arrays in run(batches):
+            kept = [b.column(i) for i in range(len(inner))]
+            yield pa.RecordBatch.from_arrays([*kept, *arrays], [*inner, *(n for n, _ in made)])
+
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + [f"{quoted([n])[0]} {t}" for n, t in made]
+    out = source.mapInArrow(batches_of, ", ".join(fields))
+    return out.select(*(F.col(k).alias(n) for k, n in zip(inner, keep, strict=True)), *quoted(n for n, _ in made))

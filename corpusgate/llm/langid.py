@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .columns import fresh, quoted, slices
+from .columns import fresh, map_texts, quoted, slices
 
 UNKNOWN = "und"
 WINDOW, EMBED, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
@@ -164,14 +164,10 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str], *, te
     pred, score = names
     if model is None:
         return docs.select(*quoted(keep), F.lit(UNKNOWN).alias(pred), F.lit(0.0).alias(score))
-    hidden = fresh(docs, "text")
-    source = docs.select(*quoted(keep), letters.alias(hidden))
-    fields = [f"{q} {f.dataType.simpleString()}" for q, f in zip(quoted(keep), source.schema.fields, strict=False)]
-
     def label(batches):
-        for b in slices(batches, 2 << 20, hidden):
+        for b in slices(batches, 2 << 20, "_text"):
             labels, scores = [UNKNOWN] * b.num_rows, [0.0] * b.num_rows
-            datas = [x if x is None else x.encode("utf-8", "surrogatepass") for x in b.column(hidden).to_pylist()]
+            datas = [x if x is None else x.encode("utf-8", "surrogatepass") for x in b.column("_text").to_pylist()]
             rows = [i for i, x in enumerate(datas) if x is not None]
             if rows:
                 parts = [windows_of(datas[i]) for i in rows]
@@ -185,10 +181,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str], *, te
                 for i, t in zip(rows, total, strict=True):
                     best = int(t.argmax())
                     labels[i], scores[i] = model.labels[best], float(min(1.0, t[best]))
-            kept = [b.column(c) for c in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(labels, pa.string()), pa.array(scores, pa.float64())], [*b.schema.names[:-1], pred, score])
+            yield b, [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
 
-    return source.mapInArrow(label, ", ".join([*fields, f"`{pred}` string", f"`{score}` double"]))
+    return map_texts(docs, keep, letters, [(pred, "string"), (score, "double")], label)
 
 
 def keep_known(docs: DataFrame, model: LanguageModel | None, *, text: str = "text", least: float = 0.0) -> DataFrame:

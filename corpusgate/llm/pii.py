@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import fresh, quoted, slices
+from .columns import fresh, map_texts, quoted, slices
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -341,17 +341,12 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def _mapped(docs: DataFrame, keep: list[str], text: str, fields: list[tuple[str, str, pa.DataType]], row) -> DataFrame:
-    hidden = fresh(docs, "text")
-    source = docs.select(*quoted(keep), F.col(text).cast("string").alias(hidden))
-    kept = [f"{q} {f.dataType.simpleString()}" for q, f in zip(quoted(keep), source.schema.fields, strict=False)]
-
     def run(batches):
-        for b in slices(batches, 8 << 20, hidden):
-            made = list(zip(*map(row, b.column(hidden).to_pylist()), strict=True))
-            columns = [pa.array(v, t) for v, (_, _, t) in zip(made, fields, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), *columns], [*b.schema.names[:-1], *(n for n, _, _ in fields)])
+        for b in slices(batches, 8 << 20, "_text"):
+            made = zip(*map(row, b.column("_text").to_pylist()), strict=True)
+            yield b, [pa.array(v, t) for v, (_, _, t) in zip(made, fields, strict=True)]
 
-    return source.mapInArrow(run, ", ".join([*kept, *(f"`{n}` {t}" for n, t, _ in fields)]))
+    return map_texts(docs, keep, F.col(text).cast("string"), [(n, t) for n, t, _ in fields], run)
 
 
 def personal_data(docs: DataFrame, keep: list[str], *, text: str = "text", model: SpanModel | None = None) -> DataFrame:

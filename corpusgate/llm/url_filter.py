@@ -53,7 +53,7 @@ ALLOWED_PATHS = ("/", "/en/734", "/de/12/", "/fr/5.html", "/es/901", "/about/tea
 
 def labelled_urls() -> list[tuple[str, int]]:
     """``(url, 1 for block)``: each listed host below some subdomains and domains, with the paths dealt in turn."""
-    rows = []
+    rows = [("", 0)]  # no host tells nothing against a page
     for label, hosts, paths in ((1, BLOCKED_HOSTS, BLOCKED_PATHS), (0, ALLOWED_HOSTS, ALLOWED_PATHS)):
         n = 0
         for host in hosts:
