@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .columns import map_texts, slices
 
 #: Words a task keeps, and bytes of words that one recursive query takes.
-CACHE, QUERY_BYTES = 250_000, 200_000
+CACHE, QUERY_BYTES = 800_000, 200_000
 
 #: A contraction changes only the rows of the pair and the row before it; the others keep their rank.
 CONTRACT = """
