@@ -244,7 +244,7 @@ def a11(spark, sf):
 
 @check(
     "a21_span_census",
-    f"""SELECT page_id, tag, count(*) AS n, sum("end" - start)::BIGINT AS scalars, min(upper(sha256(substring(html, start + 1, "end" - start)))) AS least_sha256
+    f"""SELECT page_id, tag, count(*) AS n, sum("end" - start)::BIGINT AS scalars, string_agg(upper(sha256(substring(html, start + 1, "end" - start))), ',' ORDER BY start) AS sha256
     FROM {PAIR_SQL} JOIN pages USING (page_id) WHERE state = 'PAIRED' AND tag IN ('nav', 'div', 'a') GROUP BY ALL""",
 )
 def a21(spark, sf):
@@ -253,7 +253,7 @@ def a21(spark, sf):
     rows = spans.surfaces(pages, p.select("page_id", "start", "end", "tag"), ["page_id"], "html", ["tag"])
     return rows.groupBy("page_id", "tag").agg(
         F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("scalars"),
-        F.min(fx.sha256_upper(F.col("surface"))).alias("least_sha256"),
+        F.array_join(F.array_sort(F.collect_list(F.struct("start", fx.sha256_upper(F.col("surface")).alias("h"))))["h"], ",").alias("sha256"),
     )
 
 

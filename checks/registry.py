@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgate.functions import tables as t
-from corpusgate.sources.scan import spread
+from corpusgate.sources.scan import read_corpus
+
+#: Session setting of the bench: how many partitions one small text file is dealt to.  Unset, scans stay as they are.
+SCAN_PARTITIONS = "corpusgate.scan.partitions"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,12 +29,18 @@ def check(name: str, sql: str | None = None):
     return register
 
 
+# Words that announce a numbered label in the language of the corpus; a star ends a stem.
+LABEL_WORDS = (
+    "Glava", "Teorem*", "Definicij*", "Lem*", "Satz", "Čest", "čest", "tom", "Tom", "poglavj*", "odděl*", "děl", "Děl", "kniga",
+    "svezok", "aksiom*", "dokaz", "Dokaz", "formula", "Formula", "§",
+)
+
 TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    wanted = spark.conf.get(SCAN_PARTITIONS, None) if name in TEXT_TABLES else None
+    return read_corpus(spark, f"{sf_dir}/{name}.parquet", partitions=wanted and int(wanted))
 
 
 # A second form of each text, made from its key, that holds what the tables lack: numerals, names, units, labels,
@@ -42,7 +51,7 @@ VARIANT = """CASE doc_id % 6
  WHEN 2 THEN concat(text, ' слово mešaнo q. e. d. V. I) teorem X (I) M. Karl Weber')
  WHEN 3 THEN concat('V ', text, ' vidi IX. Stopnja \u212a, VI, 5 pt ne 5pt; ſtara A. Novak, tom I ')
  WHEN 4 THEN text
- ELSE concat(text, ' przęd śẃiat II X, 9em5 ')
+ ELSE concat(text, ' przęd śẃiat II X, 9em5 I', chr(92), ';-V tu I;-V ')
 END"""
 
 # A later edition of each text, for everything that compares versions.

@@ -9,6 +9,7 @@ from corpusgate.plans.projection import Projection, materialise, projection_gate
 
 from .joins import ISSUES_SQL, structural_issues
 from .registry import (
+    LABEL_WORDS,
     L, LATER, LATER_DOCS, V_DOCS, blocked_sql, check, later_docs, lines_sql, project_text_sql, roman_sql, runs_sql,
     script_sql, table, unmapped_sql, variant_docs, words_sql,
 )
@@ -58,7 +59,7 @@ def protection(spark, sf, units=True, shared=False):
     """Variant texts and their protected spans; ``shared`` keeps the spans as a table for several readers."""
     docs = variant_docs(spark, sf)
     names = matches.name_spans(docs, ["doc_id"], *matches.NAME_SUBTYPES[0])
-    letters = inventory.one_letter_inventory(docs, names, letters=("A", "I", "V", "M"))
+    letters = inventory.one_letter_inventory(docs, names, inventory.label_rules(LABEL_WORDS), letters=("A", "I", "V", "M"))
     rows = names.withColumn("disposition", F.lit("PROTECT_COMPLETE_UNINFLECTED_IDENTITY")).select("doc_id", "start", "end", "disposition")
     rows = rows.unionByName(letters.select("doc_id", F.col("off").alias("start"), "end", "disposition"))
     held = tokens.tokenise(docs).where(F.col("is_word") & ~fx.is_projectable(F.col("run"))).select(
@@ -212,7 +213,7 @@ _LOCATED = f"""(SELECT doc_id, line_no, o + 1 AS col_no, line_off + o AS start,
   FROM (SELECT doc_id, line_no, line_off, unnest(r) AS run, generate_subscripts(r, 1) AS pos FROM (SELECT doc_id, line_no, line_off,
     regexp_extract_all(line, '[{L}]+|[^{L}]+') AS r FROM {lines_sql()}))) WHERE regexp_matches(run, '^[{L}]') AND length(run) >= 9)"""
 _EDIT_COLS = """doc_id, CASE WHEN col_no % 11 = 0 THEN line_no + 100000 ELSE line_no END AS line_no, col_no,
-  CASE WHEN col_no % 7 = 0 THEN concat(word, '~') ELSE word END AS old, concat(substring(word, 1, 3), '-', substring(word, 4, 40)) AS new"""
+  CASE WHEN col_no % 7 = 0 THEN concat(word, '~') ELSE word END AS old, concat(substring(word, 1, 3), '-', substring(word, 4)) AS new"""
 _EDITS_SQL = f"(SELECT {_EDIT_COLS}, start, CASE WHEN col_no % 11 = 0 THEN 'NO_LINE' WHEN col_no % 7 = 0 THEN 'DRIFT' ELSE 'APPLIES' END AS state FROM {_LOCATED})"
 _EDITED_SQL = f"""(SELECT d.doc_id, string_agg(coalesce(e.new, r.run), '' ORDER BY r.pos) AS text FROM documents d JOIN {runs_sql()} r USING (doc_id)
   LEFT JOIN (SELECT * FROM {_EDITS_SQL} WHERE state = 'APPLIES') e ON e.doc_id = r.doc_id AND e.start = r.off GROUP BY d.doc_id)"""
@@ -227,7 +228,7 @@ def _resolved(spark, sf):
 def _split_cols(text):
     return ["doc_id", "CASE WHEN col_no % 11 = 0 THEN line_no + 100000 ELSE line_no END AS line_no", "col_no",
             "CASE WHEN col_no % 7 = 0 THEN concat(word, '~') ELSE word END AS old",
-            "concat(substring(word, 1, 3), '-', substring(word, 4, 40)) AS new"]
+            "concat(substring(word, 1, 3), '-', substring(word, 4)) AS new"]
 
 
 @check("r9_locator_edits", f"SELECT doc_id, text FROM {_EDITED_SQL}")
@@ -255,13 +256,13 @@ def r10(spark, sf):
 @check(
     "r11_declared_counts",
     f"""WITH a AS (SELECT old, new, count(*) AS n FROM {_EDITS_SQL} WHERE state = 'APPLIES' GROUP BY ALL),
-    d AS (SELECT word AS old, concat(substring(word, 1, 3), '-', substring(word, 4, 40)) AS new, count(*) AS n FROM {words_sql()} WHERE length(word) >= 9 GROUP BY ALL)
+    d AS (SELECT word AS old, concat(substring(word, 1, 3), '-', substring(word, 4)) AS new, count(*) AS n FROM {words_sql()} WHERE length(word) >= 9 GROUP BY ALL)
     SELECT old, new, coalesce(a.n, 0) AS applied, coalesce(d.n, 0) AS declared, coalesce(a.n, 0) = coalesce(d.n, 0) AS pass FROM a FULL OUTER JOIN d USING (old, new)""",
 )
 def r11(spark, sf):
     docs, resolved = _resolved(spark, sf)
     declared = tokens.surface_counts(docs, []).where(F.length("word") >= 9).selectExpr(
-        "word AS old", "concat(substring(word, 1, 3), '-', substring(word, 4, 40)) AS new", "n"
+        "word AS old", "concat(substring(word, 1, 3), '-', substring(word, 4)) AS new", "n"
     )
     return edits.declared_counts_gate(resolved, declared)
 

@@ -34,10 +34,6 @@ FATAL_PHRASES = (
     "TeX capacity exceeded", "Missing character:", "There were undefined references",
     "There were undefined citations",
 )
-# --- fixed values: fragments a published member name may not contain ---
-FORBIDDEN_FRAGMENTS = (
-    "token.md", "github tokens", "new zenodo token", "__pycache__", ".git/", "codex/attachments",
-)
 # --- fixed values: secret-like patterns ---
 SECRET_PATTERNS = (
     ("ghp", r"ghp_[A-Za-z0-9]{20,}"),
@@ -48,11 +44,7 @@ SECRET_PATTERNS = (
 # --- fixed values: personal-name grammar ---
 NAME_CAPITAL = "[A-ZÀ-ÖØ-ÞČĆĐĚĽĹŃŇŘŚŠŤŹŽÅȦÉÜÖÄÆŒ]"
 NAME_PARTICLES = "(?:van|von|der|de|des|du|della|di|la|le)"
-# --- fixed values: words and neighbours that make a lone I, V or M a label ---
-LABEL_LEFT = (
-    r"(?:Glava|Teorem[\p{L}\p{N}_]*|Definicij[\p{L}\p{N}_]*|Lem[\p{L}\p{N}_]*|Satz|Čest|čest|tom|Tom|poglavj[\p{L}\p{N}_]*|odděl[\p{L}\p{N}_]*|"
-    r"děl|Děl|kniga|svezok|aksiom[\p{L}\p{N}_]*|dokaz|Dokaz|formula|Formula|§)"
-)
+# --- fixed values: what may stand beside a lone I, V or M that is a label ---
 LABEL_INITIALS = "[A-ZÀ-ÖØ-ÞČĆĐĚŠŽ]"
 ROMAN_DIGITS = "[IVXLCDM]"
 DASHES = "(?:---|--|–|-|,|/)"

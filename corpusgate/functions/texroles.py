@@ -32,9 +32,7 @@ FOREIGN_COMMANDS = ("foreign", "foreignlanguage")
 MIXED_ROLES = {
     "foreign": ("protected_foreign",),
     "foreignlanguage": ("protected_foreign", "protected_foreign"),
-    "mcell": ("protected_math",), "diagbox": ("protected_math", "protected_math"),
-    "srcfn": ("protected_identity_arg", "visible_prose"), "tocline": ("visible_prose", "protected_identity_arg"),
-    "tocsec": ("protected_identity_arg", "visible_prose", "protected_identity_arg"),
+    "diagbox": ("protected_math", "protected_math"),
     "addcontentsline": ("protected_identity_arg", "protected_identity_arg", "visible_prose"),
     "href": ("protected_identity_arg", "visible_prose"), "texorpdfstring": ("visible_metadata", "visible_metadata"),
     "newtheorem": ("protected_identity_arg", "visible_metadata"), "newtheorem*": ("protected_identity_arg", "visible_metadata"),
@@ -80,5 +78,5 @@ def argument_policy() -> list[tuple[str, int, str]]:
     return rows
 
 
-def known_commands() -> tuple[str, ...]:
-    return tuple(sorted({c for c, _, _ in argument_policy()} | set(SWITCHES) | {"item", "footnotemark"}))
+#: Commands that a policy need not list: they take no argument, or only a bracket.
+WITHOUT_ARGUMENT = (*SWITCHES, "item", "footnotemark")

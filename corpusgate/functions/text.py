@@ -179,7 +179,7 @@ def warning_summary(text: Column) -> list[Column]:
 
 # ---- member names and fields -------------------------------------------------------------------------------------
 
-def is_forbidden_name(path: Column, fragments: Sequence[str] = t.FORBIDDEN_FRAGMENTS) -> Column:
+def is_forbidden_name(path: Column, fragments: Sequence[str]) -> Column:
     return F.size(phrase_hits(path, fragments)) > 0
 
 

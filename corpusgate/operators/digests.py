@@ -30,11 +30,13 @@ def corpus_digest(digests: DataFrame, key: str, digest: str = "digest", levels:
     Each level hashes the ordered digests of at most ``2**12`` neighbouring keys; ``levels`` of 12 bits each must cover
     the key's range (6 cover 72 bits, so any bigint).
     """
-    d = digests.select(F.col(key).alias("_id"), F.col(digest).alias("_d"), F.lit(1).cast("bigint").alias("_n"))
+    sound = F.when(F.col(key) < 0, F.raise_error(F.lit("a negative key"))).otherwise(F.col(key))
+    d = digests.select(sound.cast("bigint").alias("_id"), F.col(digest).alias("_d"), F.lit(1).cast("bigint").alias("_n"))
     for _ in range(levels):
         d = d.groupBy(F.shiftright("_id", GROUP_BITS).alias("_up")).agg(
-            F.array_sort(F.collect_list(F.struct("_id", "_d"))).alias("_all"), F.sum("_n").alias("_n")
+            F.array_sort(F.collect_list(F.struct("_id", "_d"))).alias("_all"), F.sum("_n").alias("_n"), F.count_distinct("_id").alias("_keys")
         )
+        d = d.withColumn("_n", F.when(F.col("_keys") < F.size("_all"), F.raise_error(F.lit("a repeated key"))).otherwise(F.col("_n")))
         d = d.select(F.col("_up").alias("_id"), sha256_upper(F.array_join("_all._d", "\n")).alias("_d"), "_n")
     return d.select(F.col("_n").alias("members"), F.col("_d").alias("digest"))
 

@@ -16,7 +16,6 @@ from .projection import replace_spans
 from .tokens import tokenise, words
 
 KEY = ("doc_id",)
-IN_ROW_LIMIT = 200
 
 
 def _as_map(mapping: Mapping[str, str]):
@@ -26,8 +25,8 @@ def _as_map(mapping: Mapping[str, str]):
 def substitute_tokens(docs: DataFrame, mapping: Mapping[str, str] | DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
     """Replace whole words by an exact, case-sensitive map.
 
-    A short hand-written map is applied inside the row.  A long one comes as a table ``old, new`` and is joined to the
-    distinct words only through the tokens; the changed spans are then put back into their documents.
+    A map written by hand is applied inside the row, however long.  One that is data comes as a table ``old, new`` and is
+    joined to the tokens on their word; the changed spans are then put back into their documents.
     """
     if isinstance(mapping, DataFrame):
         tok = tokenise(docs, key, text).where("is_word").select(*key, "off", "run")
@@ -35,8 +34,6 @@ def substitute_tokens(docs: DataFrame, mapping: Mapping[str, str] | DataFrame, k
         hit = tok.join(one, F.col("run") == F.col("old"))
         edits = hit.select(*key, F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end"), "new")
         return replace_spans(docs, edits, key, text)
-    if len(mapping) > IN_ROW_LIMIT:
-        raise ValueError("give a long map as a table")
     if not mapping:
         return docs.select(*key, text)
     table = _as_map(mapping)

@@ -88,7 +88,13 @@ def locate_manifest(rows: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc
     points = rows.select(*key, F.col("start").alias("off"), F.col("end").alias("stop"))
     j = spans.locate(points, table, key, cols)
     col0 = F.col("off") - F.col("_s_start")
-    surface = F.substring("win", F.col("off") - F.col("win_off") + 1, F.col("stop") - F.col("off"))
+    # Most spans end within the window of their line; the others take their surface from the text itself.
+    inside = F.coalesce(F.col("stop") <= F.col("win_off") + F.length("win"), F.lit(True))
+    near = F.substring("win", F.col("off") - F.col("win_off") + 1, F.col("stop") - F.col("off"))
+    far = j.where(~inside).join(docs.select(*key, F.col(text).alias("_whole")), list(key))
+    whole = F.substring("_whole", F.col("off") + 1, F.col("stop") - F.col("off"))
+    j = j.where(inside).withColumn("_surface", near).unionByName(far.withColumn("_surface", whole).drop("_whole"))
+    surface = F.col("_surface")
     return j.select(
         *key, F.col("off").alias("start"), F.col("stop").alias("end"),
         surface.alias("surface"),
@@ -115,17 +121,18 @@ def stale_locators(manifest: DataFrame, docs: DataFrame, key: Sequence[str] = ("
 def companions(
     decisions: DataFrame, sidecars: DataFrame, key: str, suffix: str, suffixes: Sequence, value: Column
 ) -> DataFrame:
-    """Sidecars of each decision, one column per known suffix; missing ones are NULL.
+    """Sidecars of each decision, one column per known suffix (NULL if missing), and how many have an unlisted suffix.
 
     The suffix list is closed, so each decision keeps a fixed number of values however many sidecar rows name it.
     """
+    listed = F.coalesce(F.col(suffix).isin(*suffixes), F.lit(False))
     per = sidecars.groupBy(key).agg(*[
         F.max(F.when(F.col(suffix) == s, value)).alias(f"companion_{s}") for s in suffixes
-    ])
+    ], F.count_if(~listed).alias("unlisted"))
     names = [f"companion_{s}" for s in suffixes]
     j = decisions.join(per, key, "left")
     count = sum((F.col(n).isNotNull().cast("bigint") for n in names), F.lit(0).cast("bigint"))
-    return j.withColumn("companion_count", count)
+    return j.withColumns({"companion_count": count, "unlisted": F.coalesce("unlisted", F.lit(0))})
 
 
 def reconcile_counts(before: DataFrame, after: DataFrame, key: Sequence[str]) -> DataFrame:

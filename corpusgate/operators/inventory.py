@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +16,6 @@ from . import matches, spans
 
 KEY = ("doc_id",)
 _S = f"[{t.SPACE}]"
-_GAP = rf"(?:{_S}|~|\\,|\;)*"
 COVERED = "PRESERVE_COVERED_BY_ALLOWED_LETTER_FOREIGN_RANGE"
 CITATION = "PRESERVE_FOREIGN_INITIAL_OR_CITATION_ABBREVIATION"
 DOTTED = "PRESERVE_DOTTED_INITIAL_OR_ROMAN_ORDINAL"
@@ -21,36 +23,58 @@ LABEL = "PRESERVE_STRUCTURAL_ROMAN_LABEL"
 LEXICAL = "PROJECT_LEXICAL_WORD"
 
 
-def one_letter_disposition(surface: Column, before: Column, after: Column, covered: Column, exact: Column | None = None) -> Column:
-    """Ordered cascade; the first rule that holds decides."""
-    lead = F.regexp_replace(after, f"^{_S}+", "")
-    trail = F.regexp_replace(before, f"{_S}+\\z", "")
-    rules = F.when(exact, LABEL) if exact is not None else F.when(F.lit(False), LABEL)
-    return (
-        rules.when(covered, COVERED)
-        .when(surface == "M", CITATION)
-        .when(after.rlike(rf"^\.{t.TEX_SPACE}*(?:\\foreign\{{)?{t.LABEL_INITIALS}"), DOTTED)
-        .when(lead.rlike(r"^[.:)\]]"), LABEL)
-        .when(before.rlike(rf"{t.LABEL_LEFT}{_S}*(?:\\(?:emph|textit|textbf)\{{)?{_S}*\z"), LABEL)
-        .when(
-            after.rlike(rf"^{_GAP}(?:---|--|–|-|,|/|i){_S}*{t.ROMAN_DIGITS}")
-            | before.rlike(rf"{t.ROMAN_DIGITS}{_GAP}{t.DASHES}{_S}*\z"),
-            LABEL,
-        )
-        .when(trail.rlike(r"[(\[{]\z") & lead.rlike(r"^[)\].:]"), LABEL)
-        .when(before.rlike(rf"\\item\[{_S}*\z") & lead.rlike(r"^[.\]]"), LABEL)
-        .otherwise(LEXICAL)
-    )
+@dataclass(frozen=True)
+class NeighbourRule:
+    """Gives ``disposition`` to a lone letter if all its patterns hold.
+
+    ``letter`` is the letter itself; ``before`` must match at the end of the text before it, ``after`` at the start of the
+    text after it.
+    """
+
+    disposition: str
+    letter: str | None = None
+    before: str | None = None
+    after: str | None = None
+
+    def holds(self, letter: Column, before: Column, after: Column) -> Column:
+        tests = [letter == self.letter] if self.letter else []
+        tests += [before.rlike(f"(?:{self.before})\\z")] if self.before else []
+        tests += [after.rlike(f"^(?:{self.after})")] if self.after else []
+        return reduce(and_, tests, F.lit(True))
+
+
+def first_rule(letter: Column, before: Column, after: Column, rules: Sequence[NeighbourRule], default: str) -> Column:
+    """Disposition of the first rule that holds."""
+    found = [F.when(r.holds(letter, before, after), F.lit(r.disposition)) for r in rules]
+    return F.coalesce(*found, F.lit(default))
+
+
+def label_rules(label_words: Sequence[str]) -> list[NeighbourRule]:
+    """Rules for numbering letters, given the words of a language that announce a label; ``*`` ends a stem."""
+    def pattern(word: str) -> str:
+        return f"\\Q{word.removesuffix('*')}\\E" + (r"[\p{L}\p{N}_]*" if word.endswith("*") else "")
+
+    gap = rf"(?:{_S}|~|\\[,;])*"
+    numeral = t.ROMAN_DIGITS
+    announced = rf"(?:{'|'.join(map(pattern, label_words))}){_S}*(?:\\(?:emph|textit|textbf)\{{)?{_S}*"
+    return [
+        NeighbourRule(CITATION, letter="M"),
+        NeighbourRule(DOTTED, after=rf"\.{t.TEX_SPACE}*(?:\\foreign\{{)?{t.LABEL_INITIALS}"),
+        NeighbourRule(LABEL, after=rf"{_S}*[.:)\]]"),
+        *([NeighbourRule(LABEL, before=announced)] if label_words else []),
+        NeighbourRule(LABEL, after=rf"{gap}(?:{t.DASHES}|i){_S}*{numeral}"),
+        NeighbourRule(LABEL, before=rf"{numeral}{gap}{t.DASHES}{_S}*"),
+    ]
 
 
 def one_letter_inventory(
-    docs: DataFrame, protected: DataFrame, *, letters: Sequence[str] = ("I", "V", "M"), key: Sequence[str] = KEY,
-    exact: DataFrame | None = None,
+    docs: DataFrame, protected: DataFrame, rules: Sequence[NeighbourRule], *, letters: Sequence[str] = ("I", "V", "M"),
+    key: Sequence[str] = KEY, exact: DataFrame | None = None, default: str = LEXICAL,
 ) -> DataFrame:
     """Lone letters with their disposition: ``key, off, surface, disposition``.
 
     ``protected`` holds ranges in any order and overlap; ``exact`` holds locators ``key, off, surface`` that are
-    labels whatever stands around them.
+    labels whatever stands around them.  Of the rest ``rules`` decide, the first that holds.
     """
     # The window may end with the line feed put after the text: it can only trail, and every rule ignores that.
     tok = matches.lone_letters(docs, key, letters, (120, 121))
@@ -60,13 +84,12 @@ def one_letter_inventory(
     )
     # One character lies inside some range exactly when it lies inside their union.
     tok = spans.flag_covered(tok, spans.merge_ranges(protected, key), key, start="off", end="end")
-    is_exact = None
+    rule = F.coalesce(
+        F.when(F.col("covered"), F.lit(COVERED)), first_rule(F.col("surface"), F.col("before"), F.col("after"), rules, default)
+    )
     if exact is not None:
         tok = tok.join(exact.select(*key, "off", "surface", F.lit(True).alias("exact")).distinct(), [*key, "off", "surface"], "left")
-        is_exact = F.coalesce(F.col("exact"), F.lit(False))
-    rule = one_letter_disposition(
-        F.col("surface"), F.col("before"), F.col("after"), F.col("covered"), is_exact
-    )
+        rule = F.coalesce(F.when(F.col("exact"), F.lit(LABEL)), rule)
     return tok.select(*key, "off", "end", "surface", rule.alias("disposition"))
 
 

@@ -76,22 +76,30 @@ def append_only_violations(old: DataFrame, new: DataFrame, ordinal: str, digest:
 
 # ---- JSON ----------------------------------------------------------------------------------------------------------
 
-class DepthExceeded(RuntimeError):
-    pass
+def nesting(value: Column) -> Column:
+    """How many objects and arrays stand inside one another in a variant."""
+    marks = F.regexp_replace(F.regexp_replace(F.to_json(value), r'"(?:[^"\\\\]|\\\\.)*+"', ""), r"[^\[\]{}]+", "")
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc, mark):
+        now = acc["now"] + F.when(mark.isin("{", "["), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return F.aggregate(F.filter(F.split(marks, ""), lambda c: c != ""), zero, step, lambda acc: acc["most"])
 
 
 def walk_json(
     rows: DataFrame, id_cols: Sequence[str], value: str, is_hit: Callable[[Column, Column], Column], *,
-    root: str = "$", max_depth: int = 8,
+    root: str = "$",
 ) -> DataFrame:
     """Every member that ``is_hit(key, value)`` accepts, at any depth, as ``path, value``; nothing below a hit.
 
-    Each level is one more generator over the same row stream: no shuffle, no recursion over data, one scan.  Members
-    still open after ``max_depth`` levels come back as ``TOO_DEEP`` rather than being dropped.
+    Each level is one more generator over the same row stream: no shuffle, no recursion over data, one scan.  How many
+    levels there are is measured first, so nothing is too deep.
     """
     spark = rows.sparkSession
     d = rows.select(*id_cols, F.lit(root).alias("path"), F.col(value).alias("node"), F.lit(False).alias("hit"))
-    for _ in range(max_depth):
+    for _ in range(rows.agg(F.max(nesting(F.col(value)))).first()[0] or 0):
         inner = F.when(~F.col("hit"), F.col("node"))
         d = d.withColumn("_open", inner).lateralJoin(spark.tvf.variant_explode_outer(F.col("_open").outer()))
         step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).otherwise(
@@ -104,11 +112,7 @@ def walk_json(
             F.when(moved, F.col("value")).otherwise(F.col("node")).alias("node"),
             F.when(moved, F.coalesce(is_hit(F.col("key"), F.col("value")), F.lit(False))).otherwise(F.col("hit")).alias("hit"),
         )
-    open_still = ~F.col("hit") & F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)")
-    d = d.where(F.col("hit") | open_still)
-    return d.select(
-        *id_cols, "path", F.to_json("node").alias("value"), F.when(F.col("hit"), "HIT").otherwise("TOO_DEEP").alias("state")
-    )
+    return d.where("hit").select(*id_cols, "path", F.to_json("node").alias("value"))
 
 
 def alternative_fields(rows: DataFrame, id_cols: Sequence[str], value: str, root: str = "$") -> DataFrame:
@@ -122,7 +126,7 @@ def pin_records(rows: DataFrame, id_cols: Sequence[str], value: str) -> DataFram
         return F.try_variant_get(v, f"$.{name}", kind)
 
     hit = lambda k, v: field(v, "path", "string").isNotNull() & field(v, "sha256", "string").isNotNull()
-    d = walk_json(rows, id_cols, value, hit).where("state = 'HIT'")
+    d = walk_json(rows, id_cols, value, hit)
     v = F.parse_json("value")
     return d.select(
         *id_cols, F.col("path").alias("at"), field(v, "path", "string").alias("path"),
@@ -152,10 +156,15 @@ def ledger_summary(rows: DataFrame, id_col: str, value: str, companion: str) ->
 
 def source_change_declared(v: Column) -> Column:
     """A change is declared by a truthy ``source_change``, a truthy ``claims.source_changes``, or any ``result`` key
-    that names a source."""
+    that names a source.  Truth goes by type: any text but the empty one is true, whatever it spells."""
     def truthy(path: str) -> Column:
-        s = F.try_variant_get(v, path, "string")
-        return F.coalesce(~s.isin("", "0", "0.0", "false", "[]", "{}"), F.lit(False))
+        member = F.try_variant_get(v, path, "variant")
+        kind, s = F.regexp_extract(F.schema_of_variant(member), "^[A-Z]+", 0), F.to_json(member)
+        empty = (
+            F.when(kind == "STRING", s == '""').when(kind == "BOOLEAN", s == "false")
+            .when(kind.isin("OBJECT", "ARRAY"), s.isin("{}", "[]")).when(kind == "VOID", True).otherwise(s.try_cast("double") == 0)
+        )
+        return F.coalesce(~empty, F.lit(False))
 
     result = F.try_variant_get(v, "$.result", "map<string,variant>")
     named = F.coalesce(F.exists(F.map_keys(result), lambda k: F.contains(F.lower(k), F.lit("source"))), F.lit(False))

@@ -63,7 +63,7 @@ def lex_tex(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> Da
     d = d.withColumn("kind", kind)
     name = (
         F.when(F.col("kind").isin("begin", "end"), F.regexp_extract("run", r"\{([^{}]*)\}", 1))
-        .when(F.col("kind").isin("word", "symbol"), F.substring("run", 2, 10**6))
+        .when(F.col("kind").isin("word", "symbol"), F.expr("substring(run, 2)"))
     )
     return d.withColumn("name", name)
 
@@ -127,7 +127,9 @@ def bind_groups(solid: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -
         "_bare": F.first((p1["kind"] == "word") & (p2["kind"] == "word") & p2["name"].isin(definer)).over(cw),
     })
     j = g.join(policy.withColumnRenamed("command", "owner"), ["owner", "arg_no"], "left")
-    known = F.col("owner").isin(*r.known_commands()) | F.startswith("owner", F.lit("env:"))
+    listed = policy.select(F.col("command").alias("owner"), F.lit(True).alias("_listed")).distinct()
+    j = j.join(listed, "owner", "left")
+    known = F.coalesce("_listed", F.lit(False)) | F.col("owner").isin(*r.WITHOUT_ARGUMENT, *r.EMPTY_GROUP) | F.startswith("owner", F.lit("env:"))
     empty = F.col("off") + 1 == F.col("c_off")
     role = (
         F.when(F.col("owner").isin(*r.EMPTY_GROUP) & (F.col("kind") == "open"), F.when(empty, "protected_structure").otherwise("ambiguous_command_arg"))
@@ -204,7 +206,7 @@ def _read_arguments(args: DataFrame, maths: DataFrame, key: Sequence[str]) -> Da
         innermost("math").alias("_m"), innermost("text").alias("_t"), F.bool_or(F.col("_what") == "raw").alias("_in_raw")
     )
     j = args.join(per, [*key, "start"], "left")
-    in_math = F.col("_m").isNotNull() & F.coalesce(F.col("_t") < F.col("_m"), F.lit(True))
+    in_math = F.col("_m").isNotNull() & F.coalesce(F.col("_t") <= F.col("_m"), F.lit(True))
     special = F.col("owner").isin(*r.MATH_TEXT_COMMANDS, *r.FOREIGN_COMMANDS, "\\") | (F.col("role") == "protected_foreign") | F.startswith("owner", F.lit("env:"))
     return j.where(~F.coalesce("_in_raw", F.lit(False)) & (~in_math | special)).drop("_m", "_t", "_in_raw")
 
@@ -262,7 +264,7 @@ def paint(lexemes: DataFrame, marks: DataFrame, args: DataFrame, key: Sequence[s
         F.max(F.when(F.col("paint") == "math_text", F.col("r_start"))).alias("_text"),
     )
     j = runs.join(per, [*key, "start"], "left")
-    in_text = F.coalesce((F.col("_base.paint") == "protected_math") & (F.col("_text") >= F.col("_base.r_start")), F.lit(False))
+    in_text = F.coalesce((F.col("_base.paint") == "protected_math") & (F.col("_text") > F.col("_base.r_start")), F.lit(False))
     ctx = F.coalesce("_raw", F.when(in_text, "visible_math_text").otherwise(F.col("_base.paint")), F.lit("visible_prose"))
     j = j.withColumn("_ctx", ctx)
     shown = F.col("_ctx").isin(*t.VISIBLE_ROLES, "ambiguous_command_arg")

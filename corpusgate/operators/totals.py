@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 FANOUT_BITS = 16
 
 
-def global_running_total(df: DataFrame, key: str, value: str, out: str, levels: int = 3) -> DataFrame:
+def global_running_total(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Exclusive running total of ``value`` in order of a unique, non-negative integer key.
 
     Keys are grouped by their high bits, level by level; a window never spans more than ``2**16`` rows, and the total
-    of everything before a group is added on the way down.  ``levels`` of 16 bits each must cover the key's range.
+    of everything before a group is added on the way down.  The number of levels follows from the largest key.
     """
+    low, high = df.agg(F.min(key), F.max(key)).first()
+    if low is not None and low < 0:
+        raise ValueError(f"a negative key: {low}")
+    levels = max(1, -(-int(high or 0).bit_length() // FANOUT_BITS))
     rungs = [df.select(F.col(key).alias("_id0"), F.col(value).cast("bigint").alias("_v"))]
     for level in range(1, levels):
         prev = rungs[-1]

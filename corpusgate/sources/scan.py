@@ -10,20 +10,14 @@ from pyspark.sql import functions as F
 from ..functions.text import sha256_upper
 
 
-def read_corpus(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Document table from parquet; order is whatever key the caller sorts by, never row order."""
-    df = spark.read.parquet(path)
-    return spread(df.select(*columns) if columns else df)
-
+def read_corpus(spark: SparkSession, path: str, *columns: str, partitions: int | None = None) -> DataFrame:
+    """Document table from parquet; order is whatever key the caller sorts by, never row order.
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows round-robin when a scan yields far fewer partitions than there are cores.
-
-    Text work is bound by CPU, and a few unsplittable files would leave most cores idle.  A scan that already has
-    enough partitions, as any large corpus does, is returned untouched.
+    Rows stay in the partitions of the scan unless the caller asks for a number, as for one small file on many cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    df = spark.read.parquet(path)
+    df = df.select(*columns) if columns else df
+    return df.repartition(partitions) if partitions else df
 
 
 def read_tree(

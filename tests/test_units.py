@@ -270,16 +270,24 @@ def test_sinks_refuse_to_overwrite(spark):
     assert sinks.write_once(d, path) == "WRITTEN" and sinks.write_once(d, path) == "IDENTICAL"
     with pytest.raises(sinks.OverwriteRefused):
         sinks.write_once(d.where("id > 0"), path)
+    for other in (d.withColumn("id", F.col("id").cast("int")), d.withColumn("v", F.lit("b"))):
+        with pytest.raises(sinks.OverwriteRefused):
+            sinks.write_once(other, path)
+    moment, at = scratch_dir(spark), spark.sql("SELECT timestamp_micros(1) AS at")
+    assert sinks.write_once(at, moment) == "WRITTEN"
+    with pytest.raises(sinks.OverwriteRefused):
+        sinks.write_once(spark.sql("SELECT timestamp_micros(2) AS at"), moment)
+    assert spark.read.parquet(moment).collect() == at.collect()
     gate = spark.createDataFrame([("a", True), ("b", False)], "code string, pass boolean")
     assert sinks.publish_if_passed(d, gate, scratch_dir(spark)) == "BLOCKED"
     assert sinks.publish_if_passed(d, gate.where("pass"), scratch_dir(spark)) == "WRITTEN"
 
 
-def test_json_walk_flags_what_is_too_deep(spark):
-    deep = '{"a":' * 12 + "1" + "}" * 12
+def test_json_walk_has_no_deepest_level(spark):
+    deep = '{"a":' * 12 + '{"rejected": "{[{"}' + "}" * 12
     df = spark.createDataFrame([(1, deep), (2, '{"x":[{"reject":{"rejected":1}}]}')], "i int, j string").withColumn("v", F.parse_json("j"))
-    got = {(r.i, r.path, r.state) for r in ledger.alternative_fields(df, ["i"], "v").collect()}
-    assert got == {(1, "$" + ".a" * 8, "TOO_DEEP"), (2, "$.x[0].reject", "HIT")}
+    got = {(r.i, r.path) for r in ledger.alternative_fields(df, ["i"], "v").collect()}
+    assert got == {(1, "$" + ".a" * 12 + ".rejected"), (2, "$.x[0].reject")}
 
 
 def test_functions_work_on_a_stream(spark, tmp_path):
@@ -289,3 +297,28 @@ def test_functions_work_on_a_stream(spark, tmp_path):
     q = stream.select("doc_id", fx.project_text(F.col("text")).alias("text")).writeStream.format("memory").queryName("out").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert {r.doc_id: r.text for r in spark.table("out").collect()} == {1: "Дом qa", 2: "мој"}
+
+
+def test_failed_read_back_leaves_the_target_untouched(spark, monkeypatch):
+    path, d = scratch_dir(spark), spark.range(5)
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "verify_written", lambda *_: spark.createDataFrame([(False,)], "pass boolean"))
+        with pytest.raises(sinks.ReadBackMismatch):
+            sinks.write_once(d, path)
+    assert sinks.write_once(d, path) == "WRITTEN"
+
+
+def test_running_totals_of_any_key(spark):
+    d = spark.createDataFrame([(1, 5), (1 << 49, 7), (1 << 50, 9), ((1 << 62) + 3, 2)], "k long, v long")
+    got = {r.k: r.t for r in totals.global_running_total(d, "k", "v", "t").collect()}
+    assert got == {1: 0, 1 << 49: 5, 1 << 50: 12, (1 << 62) + 3: 21}
+    with pytest.raises(ValueError):
+        totals.global_running_total(d.withColumn("k", -F.col("k")), "k", "v", "t")
+
+
+def test_numbering_letters_by_rules(spark):
+    cases = [(r"I\;-V", "label"), ("I;-V", "word"), (r"I\,-V", "label"), ("I-V", "label"), ("Kap I tu", "label"), ("kap I tu", "word"), ("Kapitel I tu", "label"), ("I) tu", "label")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    rows = inventory.one_letter_inventory(docs, spark.createDataFrame([], "doc_id long, start long, end long"), inventory.label_rules(["Kap*"]), letters=("I",)).collect()
+    got = {r.doc_id: "word" if r.disposition == inventory.LEXICAL else "label" for r in rows if r.surface == "I"}
+    assert got == {i: kind for i, (_, kind) in enumerate(cases)}
