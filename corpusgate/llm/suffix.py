@@ -17,20 +17,24 @@ nothing elsewhere.  Rows that share a key are told apart by their text and never
 
 from __future__ import annotations
 
+import gc
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.projection import materialise
+from ..session import scratch_dir
 from .columns import slices
 from .minhash import mix
 
 GRAM = 20
+#: The grams are worked off in so many shares, one after another, so that the disk holds one share of their fragments.
+SHARES = 4
 #: Bytes of text whose grams meet in one bucket, and bytes of fragments that one suffix array covers.
-BUCKET_BYTES, BLOCK_BYTES = 64 << 20, 1 << 20
+BUCKET_BYTES, BLOCK_BYTES = 64 << 20, 1 << 17
 LAST = (1 << 63) - 1
 _TABLE = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -109,7 +113,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     if not len(sample):
         return np.arange(n)
     triple = _packed(padded[sample], padded[sample + 1], padded[sample + 2])
-    order = np.argsort(triple, kind="stable")
+    order = np.argsort(triple)
     ranked = triple[order]
     names = np.empty(len(sample), np.int64)
     names[order] = np.cumsum(np.append(True, ranked[1:] != ranked[:-1]))
@@ -121,7 +125,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     sampled = sample[order]
     sampled = sampled[sampled < n]
     rest = np.arange(0, n, 3)
-    rest = rest[np.argsort(_packed(padded[rest], rank[rest + 1]), kind="stable")]
+    rest = rest[np.argsort(_packed(padded[rest], rank[rest + 1]))]
     one, two = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
     both = np.concatenate([one, rest])
     key = _packed(padded[both], rank[both + 1])
@@ -160,6 +164,20 @@ def classes(frags: list[bytes], keys: np.ndarray, length: int) -> list[np.ndarra
     return [best[b : b + n - length + 1] for b, n in zip(base, sizes, strict=True)]
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A table in the shared scratch folder, small on disk.
+
+    The shuffle files behind it are of no more use; the driver's garbage collection lets Spark's cleaner drop them now, not
+    after half an hour, so that each step has the disk to itself.
+    """
+    spark, path, schema = df.sparkSession, scratch_dir(df.sparkSession), df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
 # ---- Spark ----------------------------------------------------------------------------------------------------------
 
 
@@ -233,7 +251,7 @@ def shared_grams(named: DataFrame, length: int) -> DataFrame:
 
     dealt = named.select("k", "th", "text").mapInArrow(deal, "bucket long, ks binary, ths binary, doc binary, grams binary")
     met = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "k long, th long, grams binary")
-    return materialise(met).groupBy("k", "th").agg(F.collect_list("grams").alias("grams"))
+    return stored(met).groupBy("k", "th").agg(F.collect_list("grams").alias("grams"))
 
 
 def occurrences(named: DataFrame, grams: DataFrame, length: int) -> DataFrame:
@@ -267,32 +285,50 @@ def smallest_keys(distinct: DataFrame, length: int) -> DataFrame:
     """
 
     def run(batches):
-        held, size, gram = [], 0, None
-
-        def solved():
-            frags = [f for _, f, _ in held]
-            least = classes(frags, np.array([k for _, _, k in held], np.int64), length)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([m for m, _, _ in held], pa.int64()), pa.array(frags, pa.binary()), pa.array([x.tobytes() for x in least], pa.binary())],
-                ["m", "frag", "least"])
-
-        for b in batches:
-            for m, frag, k in zip(b.column("m").to_pylist(), b.column("frag").to_pylist(), b.column("k").to_pylist(), strict=True):
-                if size >= BLOCK_BYTES and m != gram:
-                    yield solved()
-                    held, size = [], 0
-                gram = m
-                held.append((m, frag, k))
-                size += len(frag) + 1
-        if held:
-            yield solved()
+        def table(rows):
+            names = ["m", "frag", "least"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], names)
+
+        def solved(rows):
+            least = classes([f for _, f, _ in rows], np.array([k for _, _, k in rows], np.int64), length)
+            return table([(m, f, x.tobytes()) for (m, f, _), x in zip(rows, least, strict=True)])
+
+        def by_gram():
+            group: list = []
+            for b in batches:
+                for row in zip(b.column("m").to_pylist(), b.column("frag").to_pylist(), b.column("k").to_pylist(), strict=True):
+                    if group and group[0][0] != row[0]:
+                        yield group
+                        group = []
+                    group.append(row)
+            if group:
+                yield group
+
+        block, size, alone = [], 0, []
+        for group in by_gram():
+            if len(group) == 1:  # one fragment in all documents: nothing to sort it among
+                m, frag, k = group[0]
+                alone.append((m, frag, np.full(len(frag) - length + 1, k, np.int64).tobytes()))
+            else:
+                block += group
+                size += sum(len(f) + 1 for _, f, _ in group)
+            if size >= BLOCK_BYTES:
+                yield solved(block)
+                block, size = [], 0
+            if len(alone) >= 5000:
+                yield table(alone)
+                alone = []
+        if block:
+            yield solved(block)
+        if alone:
+            yield table(alone)
 
     ordered = distinct.repartition("m").sortWithinPartitions("m").select("m", "frag", "k")
     return ordered.mapInArrow(run, "m long, frag binary, least binary").select("m", F.xxhash64("frag").alias("fp"), "least")
 
 
 def removed_ranges(found: DataFrame, length: int) -> DataFrame:
-    """``k, th, ranges`` (binary pairs of start and end): what a document loses, joined where ranges touch."""
+    """``k, th, s, e``: where strings start in a fragment that a smaller key has as well, as ranges of removed bytes."""
     def own(batches):
         for b in batches:
             ks, ths, begin, end = [], [], [], []
@@ -308,17 +344,20 @@ def removed_ranges(found: DataFrame, length: int) -> DataFrame:
                         end.append(start + int(gone[z]) + length)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ks, ths, begin, end)], ["k", "th", "s", "e"])
 
-    return found.mapInArrow(own, "k long, th long, s long, e long").groupBy("k", "th").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
+    return found.mapInArrow(own, "k long, th long, s long, e long")
 
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = 50) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) for every row."""
     named = _named(docs, key, text)
-    found = materialise(occurrences(named, shared_grams(named, length), length).withColumn("fp", F.xxhash64("frag")))
-    distinct = found.groupBy("m", "fp", "frag").agg(F.min("k").alias("k"))
-    least = materialise(smallest_keys(distinct, length))
-    marked = found.select("m", "fp", "k", "th", "start").join(least, ["m", "fp"])
-    ranges = materialise(removed_ranges(marked, length))
+    found = stored(occurrences(named, shared_grams(named, length), length))
+    shares = []
+    for share in range(SHARES):
+        some = found.where(F.col("m") % SHARES == share)
+        least = stored(smallest_keys(some.groupBy("m", "frag").agg(F.min("k").alias("k")), length))
+        marked = some.select("m", F.xxhash64("frag").alias("fp"), "k", "th", "start").join(least, ["m", "fp"])
+        shares.append(stored(removed_ranges(marked, length)))
+    ranges = stored(reduce(DataFrame.unionByName, shares).groupBy("k", "th").agg(F.collect_list(F.struct("s", "e")).alias("ranges")))
 
     def strip(batches):
         for b in slices(batches, 4 << 20):
