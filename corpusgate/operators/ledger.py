@@ -78,7 +78,7 @@ def append_only_violations(old: DataFrame, new: DataFrame, ordinal: str, digest:
 
 def nesting(value: Column) -> Column:
     """How many objects and arrays stand inside one another in a variant."""
-    marks = F.regexp_replace(F.regexp_replace(F.to_json(value), r'"(?:[^"\\\\]|\\\\.)*+"', ""), r"[^\[\]{}]+", "")
+    marks = F.regexp_replace(F.regexp_replace(F.to_json(value), r'"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]+", "")
     zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(acc, mark):

@@ -1,6 +1,7 @@
 """Word rules, offsets, spans, gates and sinks on small inputs."""
 
 import itertools
+import json
 import random
 import re
 
@@ -290,6 +291,15 @@ def test_json_walk_has_no_deepest_level(spark):
     assert got == {(1, "$" + ".a" * 12 + ".rejected"), (2, "$.x[0].reject")}
 
 
+@pytest.mark.parametrize("text", ["a\nb", 'say "x"', "back\\", "\\\"{", "\u0001", "a\tb" * 5000])
+def test_json_walk_goes_below_escaped_strings(spark, text):
+    row = json.dumps({"t": text, text: 0, "deep": {"x": {"u": text, "rejected": [], "pin": {"path": text, "sha256": "AB"}}}})
+    df = spark.createDataFrame([(1, row)], "i int, j string").withColumn("v", F.parse_json("j"))
+    assert df.select(ledger.nesting(F.col("v"))).first()[0] == 4
+    assert [r.path for r in ledger.alternative_fields(df, ["i"], "v").collect()] == ["$.deep.x.rejected"]
+    assert [(r.at, r.path) for r in ledger.pin_records(df, ["i"], "v").collect()] == [("$.deep.x.pin", text)]
+
+
 def test_functions_work_on_a_stream(spark, tmp_path):
     src = str(tmp_path / "in")
     spark.createDataFrame([(1, "Dom qa"), (2, "moj")], "doc_id long, text string").write.parquet(src)
