@@ -7,9 +7,12 @@ after one, and the share of equal coordinates concentrates around the similarity
 
 Bands of ``ROWS`` coordinates make buckets.  Documents with equal sets are one node from the start.  All members of a
 bucket are first compared with one of them, the one that meets most others (twice), and members that are connected by then are settled.
-What is left, members of one bucket in different components, is matched inside the join by signature, so that only pairs
-that look alike leave it, and these are verified on their full sets.  Every pair of a bucket is thus compared unless both ends are
-connected already.  A link of similarity 0.75 shares no bucket with probability 2e-5, and one above 0.8 with 2e-7.
+What is left, members of one bucket in different components, is matched inside the join by signature, so that pairs that look
+alike are verified on their full sets first.  Bands miss a link of similarity 0.75 with probability 2e-5, and signatures with 1.2e-5.
+
+So neither decides: a last turn finds every link between components that are still apart.  Two linked sets share one of their
+rarest shingles (a quarter of each set and one more, in one order for the whole corpus), and those that more than one set has are
+buckets too.  Their pairs are verified in full unless the sizes or the parities of the sets prove that they are no link.
 
 Documents without words have an empty set and stand alone.  A null key stands alone with a null component and is kept.
 Rows that share a key are named alike: each goes by its own text.  Extra columns are ignored.
@@ -28,12 +31,15 @@ from .columns import slices
 SHINGLE = 5
 BANDS, ROWS = 40, 5
 #: One bit of every coordinate makes the signature of a set.  Two sets of similarity 0.75 differ in an eighth of the bits;
-#: pairs that differ in more than four and a half deviations above that (probability 3e-6) are not compared in full.
+#: pairs that differ in more than four and a half deviations above that (probability 1.2e-5) wait for the last turn.
 COORDINATES = 512
 WORDS = COORDINATES // 64
 DEVIATIONS = 4.5
+#: Shingles that meet in one bucket when the sets that have them are counted.
+BUCKET_SHINGLES = 4 << 20
 
 _BYTE = np.random.default_rng(20240901).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PARITY = 0x3C79AC492BA7B653
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -125,6 +131,26 @@ def signatures(sketch: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(bits).view(np.int64)
 
 
+def parities(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each of 512 bins, modulo two, packed like signatures.
+
+    A shingle that only one of two sets has changes one bit, so sets differ in no more bits than shingles.
+    """
+    n = len(sizes)
+    bins = np.repeat(np.arange(n), sizes) * COORDINATES + (mix(h ^ np.uint64(_PARITY)) >> np.uint64(32)).astype(np.int64) % COORDINATES
+    bits = np.packbits((np.bincount(bins, minlength=n * COORDINATES) & 1).astype(np.uint8).reshape(n, COORDINATES), axis=1)
+    return np.ascontiguousarray(bits).view(np.int64)
+
+
+def _digests(h: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Two numbers that name each set."""
+    bounds, out = np.concatenate([[0], np.cumsum(sizes)]), []
+    for salt in (1, 2):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(salt * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)), dtype=np.uint64)])
+        out.append((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
+    return out
+
+
 def _encoded(column) -> list[bytes]:
     return [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in column.to_pylist()]
 
@@ -133,17 +159,13 @@ def _sketch_rows(batches):
     for b in slices(batches, 2 << 20):
         h, sizes = shingle_sets(_encoded(b.column("text")))
         sketch = sketches(h, sizes)
-        bands, signs = bands_of(sketch), signatures(sketch)
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        digests = []
-        for salt in (1, 2):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h ^ np.uint64(salt * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)), dtype=np.uint64)])
-            digests.append((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
-        lists, signed = (
-            pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel())) for x in (bands, signs))
+        digests = _digests(h, sizes)
+        lists = [
+            pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
+            for x in (bands_of(sketch), signatures(sketch), parities(h, sizes))]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("th"), pa.array(sizes.astype(np.int64)), pa.array(digests[0]), pa.array(digests[1]), lists, signed],
-            ["doc_id", "th", "n_shingles", "d1", "d2", "bands", "signs"])
+            [b.column("doc_id"), b.column("th"), pa.array(sizes.astype(np.int64)), pa.array(digests[0]), pa.array(digests[1]), *lists],
+            ["doc_id", "th", "n_shingles", "d1", "d2", "bands", "signs", "parity"])
 
 
 def _set_rows(batches):
@@ -208,7 +230,7 @@ def _with_component(members: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 def alike(least: tuple[int, int]) -> str:
-    """SQL over two members (r: the other one): sizes and signatures allow a link.  Links that do not fit are rarer than 3e-6."""
+    """SQL over two members (r: the other one): sizes allow a link and signatures make it likely.  Of links at the threshold, 1.2e-5 do not fit."""
     over, under = least
     differ = (1 - over / under) / 2
     most = COORDINATES * differ + DEVIATIONS * (COORDINATES * differ * (1 - differ)) ** 0.5
@@ -216,20 +238,137 @@ def alike(least: tuple[int, int]) -> str:
     return f"{under} * least(n, rn) >= {over} * greatest(n, rn) AND {bits} <= {int(most)}"
 
 
-def near_links(members: DataFrame, signs: DataFrame, docs: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Verified links that connect all linked members of the buckets.
+def possible(least: tuple[int, int]) -> str:
+    """SQL over two members: sizes and parities do not rule a link out.  Every link fits."""
+    over, under = least
+    bits = " + ".join(f"bit_count(signs[{i}] ^ rsigns[{i}])" for i in range(WORDS))
+    return f"{under} * least(n, rn) >= {over} * greatest(n, rn) AND {under + over} * ({bits}) <= {under - over} * (n + rn)"
+
+
+def rare_shingles(docs: DataFrame, total: int, least: tuple[int, int]) -> DataFrame:
+    """``d1, d2, n_shingles, rare`` for every set: those of its rarest shingles that another set has as well.
 
-    ``members``: bucket, node, n (size of its set); ``signs``: node, signs.  Three turns: two with one member of each bucket against
-    the others, the last with all that are still apart.
+    Linked sets have at least ``least`` of the larger one in common, so in any order of all shingles they share one of the first
+    n - ceil(least * n) + 1 of each.  The order is by the number of sets that have a shingle; those that one set alone has come
+    first and meet nothing.  Shingles go by 48 bits: where two of a set coincide, the same number of first ones is still enough.
+    """
+    buckets, (over, under) = max(8, -(-total // BUCKET_SHINGLES)), least
+
+    def deal(batches):
+        for b in slices(batches, 4 << 20):
+            h, sizes = shingle_sets(_encoded(b.column("text")))
+            if not len(h):
+                continue
+            d1, d2 = _digests(h, sizes)
+            m, owner = h >> np.uint64(16), np.repeat(np.arange(len(sizes)), sizes)
+            new = np.append(True, (m[1:] != m[:-1]) | (owner[1:] != owner[:-1]))
+            m, owner = m[new], owner[new]
+            t = np.bincount(owner, minlength=len(sizes))
+            bucket = ((m >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            rows = []
+            for i in np.flatnonzero(np.diff(bounds)):
+                at = order[bounds[i] : bounds[i + 1]]
+                used, local = np.unique(owner[at], return_inverse=True)
+                about = np.stack([d1[used], d2[used], sizes[used], t[used]]).tobytes()
+                rows.append((int(i), about, local.astype(np.int32).tobytes(), m[at].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()))
+            types = (pa.int64(), *[pa.binary()] * 3)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["bucket", "about", "owner", "shingles"])
+
+    def counted(held):
+        sets = [np.frombuffer(r[0], np.int64).reshape(4, -1) for r in held]
+        offset = np.concatenate([[0], np.cumsum([x.shape[1] for x in sets])[:-1]])
+        owner = np.concatenate([np.frombuffer(r[1], np.int32) + o for r, o in zip(held, offset, strict=True)])
+        six = np.frombuffer(b"".join(r[2] for r in held), np.uint8).reshape(-1, 6)
+        m = np.zeros((len(six), 8), np.uint8)
+        m[:, :6] = six
+        m = m.view(np.uint64).ravel()
+        about = np.concatenate(sets, axis=1)
+        # Equal sets are one.
+        order = np.lexsort(about[2::-1])
+        about = about[:, order]
+        new = np.append(True, (about[:3, 1:] != about[:3, :-1]).any(axis=0))
+        name = np.empty(len(new), np.int64)
+        name[order] = np.cumsum(new) - 1
+        about, first = about[:, new], np.zeros(len(new), bool)
+        first[order[new]] = True
+        m, owner = m[first[owner]], name[owner[first[owner]]]
+        order = np.argsort(m)
+        m, owner = m[order], owner[order]
+        start = np.flatnonzero(np.append(True, m[1:] != m[:-1]))
+        used = np.repeat(np.diff(np.append(start, len(m))), np.diff(np.append(start, len(m))))
+        m, owner, used = m[used > 1], owner[used > 1], used[used > 1]
+        order = np.argsort(owner, kind="stable")
+        m, owner, used = m[order], owner[order], used[order].astype(np.int32)
+        ends = np.searchsorted(owner, np.arange(about.shape[1] + 1))
+        some = np.flatnonzero(np.diff(ends))
+        lists = [[x[ends[i] : ends[i + 1]].tobytes() for i in some.tolist()] for x in (m, used)]
+        return pa.RecordBatch.from_arrays([*(pa.array(x[some]) for x in about), *(pa.array(x, pa.binary()) for x in lists)], ["d1", "d2", "n_shingles", "t", "m", "used"])
+
+    def meet(batches):
+        bucket, held = None, []
+        for b in batches:
+            for row in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if row[0] != bucket:
+                    if held:
+                        yield counted(held)
+                    bucket, held = row[0], []
+                held.append(row[1:])
+        if held:
+            yield counted(held)
+
+    def rarest(batches):
+        for b in batches:
+            out = []
+            for n, t, parts in zip(b.column("n_shingles").to_pylist(), b.column("t").to_pylist(), b.column("parts").to_pylist(), strict=True):
+                m = np.frombuffer(b"".join(p["m"] for p in parts), np.int64)
+                used = np.frombuffer(b"".join(p["used"] for p in parts), np.int32)
+                out.append(m[np.lexsort((m, used))[: max(0, n + over * n // -under + 1 - (t - len(m)))]])
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+            rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *out])))
+            yield pa.RecordBatch.from_arrays([b.column("d1"), b.column("d2"), b.column("n_shingles"), rare], ["d1", "d2", "n_shingles", "rare"])
+
+    dealt = docs.select("text").mapInArrow(deal, "bucket long, about binary, owner binary, shingles binary")
+    met = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "d1 long, d2 long, n_shingles long, t long, m binary, used binary")
+    whole = met.groupBy("d1", "d2", "n_shingles", "t").agg(F.collect_list(F.struct("m", "used")).alias("parts"))
+    return whole.mapInArrow(rarest, "d1 long, d2 long, n_shingles long, rare array<long>")
+
+
+def _buckets(placed: DataFrame) -> DataFrame:
+    """The rows of ``bucket, node, n`` whose bucket has more than one member."""
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
+    return materialise(placed.join(shared, "bucket", "left_semi"))
+
+
+def _apart(members: DataFrame, links: DataFrame | None, signs: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, with component, size of the bucket and signs."""
+    state = _with_component(members, links)
+    apart = state.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.sum("k").alias("size"), F.count("*").alias("parts"))
+    return materialise(state.join(apart.where("parts > 1").select("bucket", "size"), "bucket").join(signs, "node"))
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    return materialise(docs.join(nodes, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_set_rows, "node long, shingles binary"))
+
+
+def _others(open_: DataFrame) -> DataFrame:
+    return open_.select("bucket", F.col("node").alias("r"), F.col("n").alias("rn"), F.col("c").alias("rc"), F.col("signs").alias("rsigns"))
+
+
+def near_links(members: DataFrame, signs: DataFrame, rare: DataFrame, parities: DataFrame, docs: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Verified links that connect all linked nodes.
+
+    ``members``: bucket, node, n (size of its set); ``signs``: node, signs; ``rare``: like ``members``, each linked pair in one
+    bucket at least; ``parities``: node, signs.  Four turns: two with one member of each bucket against the others, one with
+    those that are still apart and look alike, the last with all of ``rare`` that are still apart.
     """
     fits, links, tested = F.expr(alike(least)), None, None
     involved = materialise(members.select(F.col("node").alias("doc_id")).distinct())
-    sets = materialise(docs.join(involved, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_set_rows, "node long, shingles binary"))
+    sets = _sets_of(docs, involved)
     own = materialise(signs.join(involved.withColumnRenamed("doc_id", "node"), "node", "left_semi"))
     for turn in range(3):
-        state = _with_component(members, links)
-        apart = state.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.sum("k").alias("size"), F.count("*").alias("parts"))
-        open_ = materialise(state.join(apart.where("parts > 1").select("bucket", "size"), "bucket").join(own, "node"))
+        open_ = _apart(members, links, own)
         if turn < 2:
             # The member that meets most others in all its buckets is the likeliest centre of its group.
             met = open_.groupBy("node").agg(F.sum("size").alias("met"))
@@ -238,7 +377,7 @@ def near_links(members: DataFrame, signs: DataFrame, docs: DataFrame, least: tup
             other = one.select("bucket", F.col("m.node").alias("r"), F.col("m.n").alias("rn"), F.col("m.c").alias("rc"), F.col("m.signs").alias("rsigns"))
             meet = F.col("c") != F.col("rc")
         else:
-            other = open_.select("bucket", F.col("node").alias("r"), F.col("n").alias("rn"), F.col("c").alias("rc"), F.col("signs").alias("rsigns"))
+            other = _others(open_)
             meet = F.col("c") < F.col("rc")
         pairs = open_.join(other, "bucket").where(meet & fits).select(F.least("node", "r").alias("a"), F.greatest("node", "r").alias("b")).distinct()
         if tested is not None:
@@ -247,7 +386,12 @@ def near_links(members: DataFrame, signs: DataFrame, docs: DataFrame, least: tup
         found = verify(pairs, sets, least)
         links = materialise(found if links is None else links.union(found))
         tested = pairs if tested is None else tested.union(pairs)
-    return links
+    open_ = _apart(rare, links, parities)
+    meet = (F.col("c") < F.col("rc")) & F.expr(possible(least))
+    pairs = open_.join(_others(open_), "bucket").where(meet).select(F.least("node", "r").alias("a"), F.greatest("node", "r").alias("b")).distinct()
+    pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"))
+    sets = _sets_of(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    return links.union(materialise(verify(pairs, sets, least)))
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -256,14 +400,16 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     ``th`` is the 64-bit hash of the text, which with the key names a row.
     """
     named = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("th"), F.col(text).cast("string").alias("text"))
-    rows = materialise(named.mapInArrow(_sketch_rows, "doc_id long, th long, n_shingles long, d1 long, d2 long, bands array<long>, signs array<long>"))
+    rows = materialise(named.mapInArrow(_sketch_rows, "doc_id long, th long, n_shingles long, d1 long, d2 long, bands array<long>, signs array<long>, parity array<long>"))
     real = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["d1", "d2", "n_shingles"]
-    nodes = materialise(real.groupBy(*same).agg(F.min("doc_id").alias("node"), F.min_by(F.struct("bands", "signs"), "doc_id").alias("x")).select(*same, "node", "x.*"))
+    nodes = materialise(real.groupBy(*same).agg(F.min("doc_id").alias("node"), F.min_by(F.struct("bands", "signs", "parity"), "doc_id").alias("x")).select(*same, "node", "x.*"))
     placed = nodes.select(F.explode("bands").alias("bucket"), "node", F.col("n_shingles").alias("n"))
-    shared = placed.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
-    members = materialise(placed.join(shared, "bucket", "left_semi"))
-    found = materialise(components(near_links(members, nodes.select("node", "signs"), named, least)))
+    total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
+    rare = rare_shingles(named.where("doc_id IS NOT NULL"), total, least).join(nodes.select(*same, "node"), same)
+    rare = _buckets(materialise(rare.select(F.explode("rare").alias("bucket"), "node", F.col("n_shingles").alias("n"))))
+    signs, parity = nodes.select("node", "signs"), nodes.select("node", F.col("parity").alias("signs"))
+    found = materialise(components(near_links(_buckets(placed), signs, rare, parity, named, least)))
     classes = nodes.select(*same, "node").join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
     out = rows.select("doc_id", "th", *same).join(classes, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

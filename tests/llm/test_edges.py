@@ -94,6 +94,28 @@ def test_near_components_with_chains_and_large_groups(spark):
     assert got == plain.near_components(docs)
 
 
+def test_a_link_without_a_common_band_is_found(spark):
+    x = " ".join(f"w502x{j}" for j in range(7))
+    docs = [(1, x), (2, x + " w502x7"), (3, "something else entirely")]  # similarity 3/4, and no band in common
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_signatures_decide_nothing(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "alike", lambda least: "false")
+    monkeypatch.setattr(minhash, "BUCKET_SHINGLES", 50)
+    rng, docs = random.Random(3), []
+    for g in range(30):
+        words = [f"w{g}x{rng.randrange(40)}" for _ in range(rng.choice([3, 7, 8, 20, 60, 300]))]
+        for _ in range(6):
+            v = list(words)
+            for _ in range(rng.randrange(1 + len(v) // 20)):
+                v[rng.randrange(len(v))] = f"v{rng.randrange(3)}"
+            docs.append((len(docs), " ".join(v[rng.randrange(2) :] + ["end"] * rng.randrange(2))))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert got == plain.near_components(docs) and len({c for _, c in got.values()}) < 120
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 7)]
     got = {r.node: r.component for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
