@@ -9,6 +9,8 @@ suffix of the corpus would shuffle a row per byte, so the suffixes are dealt fir
 * Equal fragments are counted once, with the smallest key that has them, before they are brought together by gram.
 * ``classes`` builds the suffix array of the fragments of a task in blocks: sample the suffixes at positions 1 and 2 of every
   three, sort their triples, recurse on the names, merge the remaining suffixes, and compare the prefixes of neighbours.  Every class of equal strings gets its smallest key.
+* A gram with very many bytes of fragments, such as one at the edge of a common phrase, is split by its strings instead, so no
+  task holds it whole.
 * That comes back to each occurrence by gram and fragment, and a document gathers its removed ranges.
 
 A null text has no bytes; texts shorter than ``length`` lose nothing.  A null key counts as larger than any other and removes
@@ -35,6 +37,8 @@ GRAM = 20
 SHARES = 4
 #: Bytes of text whose grams meet in one bucket, and bytes of fragments that one suffix array covers.
 BUCKET_BYTES, BLOCK_BYTES = 64 << 20, 1 << 17
+#: A gram with more bytes of fragments than this is split, and a string of it comes back in so many parts.
+HOT_BYTES, SALTS = 4 << 20, 16
 LAST = (1 << 63) - 1
 _TABLE = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -327,6 +331,29 @@ def smallest_keys(distinct: DataFrame, length: int) -> DataFrame:
     return ordered.mapInArrow(run, "m long, frag binary, least binary").select("m", F.xxhash64("frag").alias("fp"), "least")
 
 
+def hot_grams(found: DataFrame) -> DataFrame:
+    """``m`` of the grams whose fragments are too many for one task."""
+    return found.groupBy("m").agg(F.sum(F.octet_length("frag")).alias("n")).where(F.col("n") > HOT_BYTES).select("m")
+
+
+def smallest_keys_split(distinct: DataFrame, length: int) -> DataFrame:
+    """The same as ``smallest_keys`` for grams of any size: strings are grouped as they are, and those that two fragments have
+    come back to each by string and salt."""
+
+    def packed(batches):
+        for b in batches:
+            least = [np.array(v, np.int64).tobytes() for v in b.column("v").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("m"), b.column("fp"), pa.array(least, pa.binary())], ["m", "fp", "least"])
+
+    cut = F.expr(f"transform(sequence(1, length(frag) - {length} + 1), i -> substring(frag, i, {length}))")
+    strings = distinct.select("m", F.xxhash64("frag").alias("fp"), "k", F.posexplode(cut).alias("at", "string"))
+    shared = strings.groupBy("string").agg(F.min("k").alias("least"), F.count("*").alias("n")).where("n > 1")
+    shared = shared.select("string", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    both = strings.withColumn("salt", F.pmod("fp", F.lit(SALTS)).cast("int")).join(shared, ["string", "salt"], "left")
+    rows = both.groupBy("m", "fp").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("least", "k").alias("v")))).alias("x"))
+    return rows.select("m", "fp", F.col("x.v").alias("v")).mapInArrow(packed, "m long, fp long, least binary")
+
+
 def removed_ranges(found: DataFrame, length: int) -> DataFrame:
     """``k, th, s, e``: where strings start in a fragment that a smaller key has as well, as ranges of removed bytes."""
     def own(batches):
@@ -351,10 +378,16 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) for every row."""
     named = _named(docs, key, text)
     found = stored(occurrences(named, shared_grams(named, length), length))
-    shares = []
+    hot = stored(hot_grams(found))
+    any_hot, shares = not hot.isEmpty(), []
     for share in range(SHARES):
         some = found.where(F.col("m") % SHARES == share)
-        least = stored(smallest_keys(some.groupBy("m", "frag").agg(F.min("k").alias("k")), length))
+        distinct = some.groupBy("m", "frag").agg(F.min("k").alias("k"))
+        if any_hot:
+            split = smallest_keys_split(distinct.join(hot, "m", "left_semi"), length)
+            least = stored(smallest_keys(distinct.join(hot, "m", "left_anti"), length).unionByName(split))
+        else:
+            least = stored(smallest_keys(distinct, length))
         marked = some.select("m", F.xxhash64("frag").alias("fp"), "k", "th", "start").join(least, ["m", "fp"])
         shares.append(stored(removed_ranges(marked, length)))
     ranges = stored(reduce(DataFrame.unionByName, shares).groupBy("k", "th").agg(F.collect_list(F.struct("s", "e")).alias("ranges")))

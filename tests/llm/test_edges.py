@@ -53,6 +53,25 @@ def test_repeats_on_hard_texts(spark):
     assert got == plain.repeats(docs)
 
 
+def test_a_common_phrase_is_in_no_task_whole(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "HOT_BYTES", 1500)
+    largest, whole = [], suffix.smallest_keys
+
+    def watched(distinct, length):
+        largest.append(distinct.groupBy("m").agg(F.sum(F.octet_length("frag")).alias("n")).agg(F.max("n")).first()[0] or 0)
+        return whole(distinct, length)
+
+    monkeypatch.setattr(suffix, "smallest_keys", watched)
+    rng = random.Random(6)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    phrase, tails = some(45), [some(40) for _ in range(5)]
+    docs = [(i, some(60) + phrase + rng.choice([*tails, some(30)])) for i in range(80)] + [(80, "a" * 300), (81, "ba" * 90 + "a" * 70)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, plain.sha(bytes(r.kept))) for r in suffix.remove_repeats(df).collect()}
+    assert got == plain.repeats(docs) and sum(x[1] for x in got.values()) > 1000
+    assert max(largest) <= 1500
+
+
 def test_repeats_on_odd_rows(odd_docs, no_docs):
     got = by_id(suffix.remove_repeats(odd_docs))
     assert sum(map(len, got.values())) == odd_docs.count()
