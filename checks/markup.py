@@ -343,3 +343,38 @@ def tex_projection(spark, sf):
 def tex_errors(spark, sf):
     tex, docs = _tex_docs(spark, sf)
     return tex.structure_errors(docs)
+
+
+# One document in twenty is broken; the others keep their escaped characters, and constructs nest by key.
+_BROKEN = "doc_id % 20 = 7"
+
+
+def _nested(clean, shown, dom):
+    """SQL of a document: ``shown`` where words are visible, ``clean`` where they are protected."""
+    return f"""concat('\\newtheorem{{s}}{{{dom}}}', chr(10), '\\begin{{document}}', chr(10), CASE doc_id % 4
+      WHEN 0 THEN concat('\\emph{{', {shown}, ' \\textbf{{', {shown}, '}} \\foreign{{', {clean}, ' \\emph{{', {clean}, '}}}} ', {shown}, '}}')
+      WHEN 1 THEN concat('\\(', {clean}, ' \\text{{', {shown}, ' \\(', {clean}, '\\) ', {shown}, '}} ', {clean}, '\\) ', {shown})
+      WHEN 2 THEN concat('\\emph{{\\emph{{\\emph{{', {shown}, '}} \\(', {clean}, '\\)}} ', {shown}, '}} \\tajna{{', {clean}, '}}')
+      ELSE concat('\\begin{{align}}', {clean}, ' \\text{{', {shown}, '}}', chr(10), '\\end{{align}} \\emph{{', {shown}, '}}') END,
+      CASE WHEN {_BROKEN} THEN CASE doc_id % 3 WHEN 0 THEN '}}' WHEN 1 THEN '\\begin{{align}}x\\end{{equation}}' ELSE '\\[' END ELSE '' END,
+      chr(10), '\\end{{document}}', chr(10))"""
+
+
+def _nested_sql():
+    from .registry import project_text_sql
+
+    # Words stand between the same characters before and after escapes, so they are projected first.
+    escaped = lambda x: f"regexp_replace({x}, '([%${{}}])', '\\\\\\1', 'g')"
+    return f"""(SELECT doc_id, {_nested(escaped("clean"), escaped("shown"), "Дом")} AS text FROM
+      (SELECT doc_id, clean, {project_text_sql("clean")} AS shown FROM (SELECT doc_id, regexp_replace(text, '[\\\\\\[\\]]', ' ', 'g') AS clean FROM documents)))"""
+
+
+@check("g7_tex_projection_nested", f"SELECT doc_id, text FROM {_nested_sql()} WHERE NOT {_BROKEN}")
+def tex_projection_nested(spark, sf):
+    from corpusgate.operators import tex
+    from corpusgate.plans.tex import project_tex_corpus
+
+    clean = F.regexp_replace(F.regexp_replace("text", r"[\\\[\]]", " "), r"([%${}])", r"\\$1")
+    body = F.expr(_nested("clean", "clean", "Dom").replace("\\", "\\\\"))
+    docs = table(spark, sf, "documents").select("doc_id", clean.alias("clean")).select("doc_id", body.alias("text"))
+    return project_tex_corpus(docs, tex.policy_table(spark)).output
