@@ -6,7 +6,7 @@ from corpusgate.functions import text as fx
 from corpusgate.operators import digests, gates, identity, inventory, matches, textqa, tokens
 
 from .registry import (
-    LABEL_WORDS,
+    ANNOUNCING,
     LATER_DOCS, V_DOCS, blocked_sql, check, later_docs, reasons_sql, roman_sql, script_sql, simplify_sql, table,
     unmapped_sql, variant_docs, words_sql,
 )
@@ -75,7 +75,7 @@ def a5(spark, sf):
 def a6(spark, sf):
     docs = variant_docs(spark, sf)
     names = matches.name_spans(docs, ["doc_id"], *matches.NAME_SUBTYPES[0])
-    return inventory.summarise(inventory.one_letter_inventory(docs, names, inventory.label_rules(LABEL_WORDS), letters=("A", "I", "V", "M")))
+    return inventory.summarise(inventory.one_letter_inventory(docs, names, inventory.label_rules(ANNOUNCING), letters=("A", "I", "V", "M")))
 
 
 _SIGNATURE = f"""SELECT lang, word, reasons, count(*) AS n FROM (SELECT lang, word, {reasons_sql('word')} AS reasons

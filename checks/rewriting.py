@@ -9,7 +9,7 @@ from corpusgate.plans.projection import Projection, materialise, projection_gate
 
 from .joins import ISSUES_SQL, structural_issues
 from .registry import (
-    LABEL_WORDS,
+    ANNOUNCING,
     L, LATER, LATER_DOCS, V_DOCS, blocked_sql, check, later_docs, lines_sql, project_text_sql, roman_sql, runs_sql,
     script_sql, table, unmapped_sql, variant_docs, words_sql,
 )
@@ -59,7 +59,7 @@ def protection(spark, sf, units=True, shared=False):
     """Variant texts and their protected spans; ``shared`` keeps the spans as a table for several readers."""
     docs = variant_docs(spark, sf)
     names = matches.name_spans(docs, ["doc_id"], *matches.NAME_SUBTYPES[0])
-    letters = inventory.one_letter_inventory(docs, names, inventory.label_rules(LABEL_WORDS), letters=("A", "I", "V", "M"))
+    letters = inventory.one_letter_inventory(docs, names, inventory.label_rules(ANNOUNCING), letters=("A", "I", "V", "M"))
     rows = names.withColumn("disposition", F.lit("PROTECT_COMPLETE_UNINFLECTED_IDENTITY")).select("doc_id", "start", "end", "disposition")
     rows = rows.unionByName(letters.select("doc_id", F.col("off").alias("start"), "end", "disposition"))
     held = tokens.tokenise(docs).where(F.col("is_word") & ~fx.is_projectable(F.col("run"))).select(

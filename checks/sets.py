@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from corpusgate.operators import digests, gates, identity, inventory, spans, tokens
 
 from .joins import APPROVALS_SQL, ISSUES_SQL, MERGED_SQL, long_word_ranges, reviewed, structural_issues
-from .registry import LABEL_WORDS, LATER_DOCS, V_DOCS, check, later_docs, table, variant_docs, words_sql
+from .registry import ANNOUNCING, LATER_DOCS, V_DOCS, check, later_docs, table, variant_docs, words_sql
 from .windows import BOTH_NAMES_SQL, name_candidates
 from .scalars import ONE_LETTER_SQL
 
@@ -48,7 +48,7 @@ def u1(spark, sf):
     docs = variant_docs(spark, sf)
     names = name_candidates(docs).drop("rank").withColumn("kind", F.lit("name_candidate"))
     guard = names.where("subtype = 'initial_plus_surname'").select("doc_id", "start", "end")
-    letters = inventory.one_letter_inventory(docs, guard, inventory.label_rules(LABEL_WORDS), letters=("A", "I", "V", "M"))
+    letters = inventory.one_letter_inventory(docs, guard, inventory.label_rules(ANNOUNCING), letters=("A", "I", "V", "M"))
     letters = letters.withColumnRenamed("off", "start").withColumn("kind", F.lit("one_letter"))
     return names.unionByName(letters, allowMissingColumns=True)
 
