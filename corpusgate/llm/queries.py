@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, decontaminate, langid, minhash, pii, quality, suffix, url_filter, warc
+from . import bpe, chat, decontaminate, langid, merkle, minhash, pii, quality, suffix, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -177,3 +177,61 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     stripped = suffix.remove_repeats(table(spark, sf_dir, "documents"))
     return stripped.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# ---- Merkle manifest --------------------------------------------------------------------------------------------------
+
+_CRC_TABLE = "SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({s}) + 1), lambda i: ascii(substr({s}, i, 1))::BIGINT)), "
+    "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+)
+
+
+def _field(x: str) -> str:
+    return f"coalesce(strlen({x})::VARCHAR || ':' || {x}, '-')"
+
+
+def _tree_sql(name: str, part: str, heights: int) -> str:
+    """Levels ``{name}0`` (given: part, i, d) to ``{name}{heights}``, each with the node's siblings and how many nodes there are."""
+    out = []
+    for h in range(heights):
+        out.append(f"""{name}{h}s AS MATERIALIZED (SELECT {part}, i, d, count(*) OVER (PARTITION BY {part}) AS n,
+  list(d) OVER (PARTITION BY {part}, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run FROM {name}{h}),
+{name}{h}p AS MATERIALIZED (SELECT {part}, i, d, n, CASE WHEN n > 1 THEN array_to_string(run[:(i % 16)::INT], '') ELSE '' END AS l,
+  CASE WHEN n > 1 THEN array_to_string(run[(i % 16)::INT + 2:], '') ELSE '' END AS r FROM {name}{h}s),
+{name}{h + 1} AS MATERIALIZED (SELECT {part}, i // 16 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY i)) ELSE any_value(d) END AS d
+  FROM {name}{h}p GROUP BY {part}, i // 16)""")
+    return ",\n".join(out)
+
+
+_HEIGHTS, _TOP_HEIGHTS = 6, 4  # 16.7 million rows of one source, 65,536 sources
+
+
+def _merkle_sql() -> str:
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    head = " || ".join(_field(c) for c in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR"))
+    folds, last = [], "f0"
+    for k, (name, h) in enumerate([("a", h) for h in range(_HEIGHTS)] + [("z", h) for h in range(_TOP_HEIGHTS)]):
+        place = f"p.src = q.src AND p.at // {16**h} = q.i" if name == "a" else f"p.src_at // {16**h} = q.i"
+        folds.append(f"""f{k + 1} AS MATERIALIZED (SELECT p.* EXCLUDE (fold, proof), CASE WHEN n > 1 THEN sha256(l || fold || r) ELSE fold END AS fold, proof || l || r AS proof
+  FROM f{k} p JOIN {name}{h}p q ON {place})""")
+        last = f"f{k + 1}"
+    return f"""
+WITH crc AS ({_CRC_TABLE}),
+leaves AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS src, sha256({head} || {_field('text')}) AS leaf,
+  CASE WHEN {_CRC.format(s="coalesce(doc_id::VARCHAR, '')")} % 5 = 0 THEN sha256({head} || {_field(lower)}) END AS changed FROM documents, crc),
+a0 AS MATERIALIZED (SELECT src, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, doc_id, leaf AS d, leaf, changed FROM leaves),
+{_tree_sql('a', 'src', _HEIGHTS)},
+sub AS MATERIALIZED (SELECT src, d, row_number() OVER (ORDER BY src) - 1 AS src_at FROM a{_HEIGHTS}),
+z0 AS MATERIALIZED (SELECT 0 AS one, src_at AS i, d FROM sub),
+{_tree_sql('z', 'one', _TOP_HEIGHTS)},
+f0 AS MATERIALIZED (SELECT a0.doc_id, a0.src, a0.i AS at, src_at, leaf, sub.d AS subroot, coalesce(changed, leaf) AS fold, '' AS proof FROM a0 JOIN sub USING (src)),
+{', '.join(folds)}
+SELECT doc_id, leaf, subroot, whole.d AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = whole.d AS verified FROM {last}, z{_TOP_HEIGHTS} whole"""
+
+
+@register("op13_merkle_manifest", _merkle_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proofs = merkle.verify(merkle.build(merkle.leaves(table(spark, sf_dir, "documents"))))
+    return proofs.withColumnRenamed("key", "doc_id")
