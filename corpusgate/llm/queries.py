@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, chat, decontaminate, langid, merkle, minhash, pii, quality, suffix, url_filter, warc
+from . import bpe, chat, decontaminate, langid, merkle, minhash, pii, quality, recompression, subword, suffix, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -235,3 +235,23 @@ SELECT doc_id, leaf, subroot, whole.d AS root, sha256(proof) AS proof_sha256, fo
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     proofs = merkle.verify(merkle.build(merkle.leaves(table(spark, sf_dir, "documents"))))
     return proofs.withColumnRenamed("key", "doc_id")
+
+
+# ---- periodic runs ----------------------------------------------------------------------------------------------------
+
+
+@register("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    tail = F.when(h % 10 == 0, F.floor(h / 10))
+    return recompression.collapse_runs(table(spark, sf_dir, "documents"), ["doc_id"], tail=tail, digests=True)
+
+
+# ---- quality classifier -----------------------------------------------------------------------------------------------
+
+
+@register("op12_quality_classifier")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = subword.train(docs, table(spark, sf_dir, "labels"))
+    return subword.predict(docs.select("doc_id", subword.held_out(F.col("doc_id")).alias("held_out"), "text"), model, ["doc_id", "held_out"])
