@@ -20,7 +20,7 @@ from .windows import names_sql
 # Names are protected, one-letter words follow their disposition, blocked words are approved identities, and units are
 # kept; what is left over must project without residue.
 
-_UNITS_SQL = f"""(SELECT doc_id, e - n AS start, e AS "end" FROM (SELECT doc_id, hit, n, sum(n) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS e FROM (
+UNITS_SQL = f"""(SELECT doc_id, e - n AS start, e AS "end" FROM (SELECT doc_id, hit, n, sum(n) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS e FROM (
     SELECT doc_id, i, piece LIKE chr(1) || '%' AS hit, length(piece) - 2 * (piece LIKE chr(1) || '%')::INT AS n FROM (
       SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM (SELECT doc_id, regexp_extract_all(
         regexp_replace(text, '([0-9])((?i:(?:true[ \\t]*)?(?:{t.UNIT_ALTERNATION})))([^{L}\\p{{Nd}}_]|$)', '\\1' || chr(1) || '\\2' || chr(2) || '\\3', 'g'),
@@ -36,7 +36,7 @@ def _merge_sql(ranges):
 
 PROTECTED_SQL = _merge_sql(f"""(SELECT doc_id, start, "end" FROM {names_sql(matches.INITIAL_NAME, 0, 'x')}
   UNION ALL SELECT doc_id, off, off + 1 FROM ({ONE_LETTER_SQL}) WHERE disposition LIKE 'PRESERVE%'
-  UNION ALL SELECT * FROM {_BLOCKED_SQL} UNION ALL SELECT * FROM {_UNITS_SQL})""")
+  UNION ALL SELECT * FROM {_BLOCKED_SQL} UNION ALL SELECT * FROM {UNITS_SQL})""")
 
 
 def _trace_sql(protected):
