@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusgate.functions import tables as t
 from corpusgate.functions import text as fx
-from corpusgate.operators import digests, inventory, lines, markup, spans, tokens
+from corpusgate.operators import digests, inventory, lines, markup, pieces, spans, tokens
 
 from .registry import L, check, lines_sql, runs_sql, table, words_sql
 
@@ -35,7 +35,7 @@ def lexemes(spark, sf):
 
 
 def painted(spark, sf):
-    return markup.paint_roles(lexemes(spark, sf), ROLES)
+    return pieces.paint_pages(table(spark, sf, "pages"), ROLES)
 
 
 _ROLE_CASE = "CASE tag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ROLES.items()) + " END"

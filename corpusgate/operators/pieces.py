@@ -209,7 +209,7 @@ def piece_table(
     pages: DataFrame, roles: markup.Roles, reviewed: DataFrame | None = None, *, letters: Sequence[str] = ("I", "V", "M"),
     rules: Sequence[inventory.NeighbourRule] = (), hold_blocked: bool = True, key: Sequence[str] = KEY, html: str = "html",
 ) -> DataFrame:
-    """``key, pieces``: for each text the array of ``start, run, kind, role, held, out, out_start``, gap-free and in order.
+    """``key, pieces``: for each text the array of ``start, run, kind, role, held, out``, gap-free and in order.
 
     ``kind`` is markup, name, literal, unit, word, blocked, held_letter or other.  Visible words are projected; a piece is ``held``
     if it is visible and stays as it is by its kind or because a ``reviewed`` range (``key, start, end``) covers it.
@@ -218,28 +218,24 @@ def piece_table(
     d = walked(pages, roles, PIECE, key, html)
     d = d.withColumn("_len", F.transform("_runs", lambda r: F.length(r)))
     d = d.withColumn("_at", starts_of("_len"))
-    codes = F.transform("_codes", lambda c, i: _role(F.get("_marks", i), c, roles, "visible_prose"))
-    kinds = F.transform("_runs", lambda r, i: F.when(F.get("_marks", i).isNotNull(), "markup").otherwise(_kind(i, letters, rules)))
-    d = d.withColumns({"_role": codes, "_kind": kinds})
-    if reviewed is None:
-        d = d.withColumn("_cut", F.transform("_runs", lambda r, i: F.struct(i.alias("i"), F.lit(0).alias("a"), F.get("_len", i).alias("n"), F.lit(False).alias("held"))))
-    else:
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    ranges = none
+    if reviewed is not None:
         merged = spans.merge_ranges(reviewed, key).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_ranges"))
-        d = d.join(merged, list(key), "left")
-        none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-        d = d.withColumn("_cut", cut_at("_at", "_len", F.coalesce("_ranges", none)))
+        d, ranges = d.join(merged, list(key), "left"), F.coalesce("_ranges", none)
+    d = d.withColumn("_cut", cut_at("_at", "_len", ranges))
+    own = [k for k in HELD if hold_blocked or k != "blocked"]
 
+    # The loop reads arrays made below the walks only; one made beside it would be written into it and made for every piece.
     def part(c: Column) -> Column:
-        i, whole = c["i"], F.get("_runs", c["i"])
-        run = F.when(c["n"] == F.length(whole), whole).otherwise(F.substring(whole, c["a"] + 1, c["n"]))
-        kind = F.get("_kind", i)
+        i, whole, mark = c["i"], F.get("_runs", c["i"]), F.get("_marks", c["i"])
+        uncut = c["n"] == F.length(whole)
+        run = F.when(uncut, whole).otherwise(F.substring(whole, c["a"] + 1, c["n"]))
         # A part of a word is judged anew; what is an identity as a whole stays one in its parts.
-        anew = (c["n"] != F.length(whole)) & (kind == "word")
-        kind = F.when(~anew | fx.is_projectable(run), kind).otherwise("blocked")
-        return F.struct((F.get("_at", i) + c["a"]).alias("start"), run.alias("run"), kind.alias("kind"), F.get("_role", i).alias("role"), c["held"].alias("held"))
-
-    d = d.select(*key, F.transform("_cut", part).alias("_p"))
-    own = [k for k in HELD if hold_blocked or k != "blocked"]
+        kind = _kind(i, letters, rules)
+        kind = F.when(mark.isNotNull(), "markup").when(uncut, kind).when((kind == "word") & ~fx.is_projectable(run), "blocked").otherwise(kind)
+        role = _role(mark, F.get("_codes", i), roles, "visible_prose")
+        return F.struct((F.get("_at", i) + c["a"]).alias("start"), run.alias("run"), kind.alias("kind"), role.alias("role"), c["held"].alias("held"))
 
     def judged(p: Column) -> Column:
         visible = p["role"].isin(*t.VISIBLE_ROLES)
@@ -248,9 +244,7 @@ def piece_table(
             p["start"].alias("start"), p["run"].alias("run"), p["kind"].alias("kind"), p["role"].alias("role"),
             (visible & (p["held"] | p["kind"].isin(*own))).alias("held"), F.when(stays, p["run"]).otherwise(fx.project_word(p["run"])).alias("out"))
 
-    d = d.select(*key, F.transform("_p", judged).alias("_p"))
-    d = d.withColumn("_o", starts_of(F.transform("_p", lambda p: F.length(p["out"]))))
-    return d.select(*key, F.zip_with("_p", "_o", lambda p, o: p.withField("out_start", o)).alias("pieces"))
+    return d.select(*key, F.transform(F.transform("_cut", part), judged).alias("pieces"))
 
 
 # ---- what is read from it -------------------------------------------------------------------------------------------------
@@ -266,7 +260,8 @@ def source_of(table: DataFrame, key: Sequence[str] = KEY, html: str = "html") ->
 
 def held_trace(table: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Held pieces with their spans in both texts and the hash of what stands there."""
-    d = table.select(*key, F.inline(F.filter("pieces", lambda p: p["held"])))
+    d = table.withColumn("_o", starts_of(F.transform("pieces", lambda p: F.length(p["out"]))))
+    d = d.select(*key, F.inline(F.filter(F.zip_with("pieces", "_o", lambda p, o: p.withField("out_start", o)), lambda p: p["held"])))
     return d.select(
         *key, "kind", F.col("start").alias("in_start"), (F.col("start") + F.length("run")).alias("in_end"),
         F.col("out_start"), (F.col("out_start") + F.length("out")).alias("out_end"), fx.sha256_upper(F.col("out")).alias("surface_sha256"))
