@@ -81,7 +81,8 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, lists: int = 3) -> DataF
     ``docs`` as from ``keyed``.
     """
     anchors = materialise(rarest_terms(docs, windows, lists))
-    index = postings(docs, anchors)
+    # Dealt by document before each posting meets its windows: the starts of a document then agree where they are made.
+    index = postings(docs, anchors).repartition(*KEY)
     moved = index.join(_offsets(anchors), "term").withColumn("start", F.col("pos") - F.col("offset")).where("start >= 0")
     agreed = moved.groupBy(*KEY, "start", "_w").agg(
         F.bit_or(F.expr("shiftleft(1, n)")).alias("seen"), F.first("lists").alias("lists"),
