@@ -36,7 +36,7 @@ COORDINATES = 512
 WORDS = COORDINATES // 64
 DEVIATIONS = 4.5
 #: Shingles that meet in one bucket when the sets that have them are counted.
-BUCKET_SHINGLES = 4 << 20
+BUCKET_SHINGLES = 1 << 20
 
 _BYTE = np.random.default_rng(20240901).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PARITY = 0x3C79AC492BA7B653
@@ -279,28 +279,31 @@ def rare_shingles(docs: DataFrame, total: int, least: tuple[int, int]) -> DataFr
     def counted(held):
         sets = [np.frombuffer(r[0], np.int64).reshape(4, -1) for r in held]
         offset = np.concatenate([[0], np.cumsum([x.shape[1] for x in sets])[:-1]])
-        owner = np.concatenate([np.frombuffer(r[1], np.int32) + o for r, o in zip(held, offset, strict=True)])
-        six = np.frombuffer(b"".join(r[2] for r in held), np.uint8).reshape(-1, 6)
-        m = np.zeros((len(six), 8), np.uint8)
-        m[:, :6] = six
+        owner = np.concatenate([np.frombuffer(r[1], np.int32) + np.int32(o) for r, o in zip(held, offset, strict=True)])
+        m = np.zeros((len(owner), 8), np.uint8)
+        m[:, :6] = np.frombuffer(b"".join(r[2] for r in held), np.uint8).reshape(-1, 6)
+        held.clear()
         m = m.view(np.uint64).ravel()
         about = np.concatenate(sets, axis=1)
         # Equal sets are one.
         order = np.lexsort(about[2::-1])
         about = about[:, order]
         new = np.append(True, (about[:3, 1:] != about[:3, :-1]).any(axis=0))
-        name = np.empty(len(new), np.int64)
+        name = np.empty(len(new), np.int32)
         name[order] = np.cumsum(new) - 1
         about, first = about[:, new], np.zeros(len(new), bool)
         first[order[new]] = True
-        m, owner = m[first[owner]], name[owner[first[owner]]]
-        order = np.argsort(m)
+        kept = first[owner]
+        m, owner = m[kept], name[owner[kept]]
+        order = np.argsort(m).astype(np.int32)
         m, owner = m[order], owner[order]
         start = np.flatnonzero(np.append(True, m[1:] != m[:-1]))
-        used = np.repeat(np.diff(np.append(start, len(m))), np.diff(np.append(start, len(m))))
-        m, owner, used = m[used > 1], owner[used > 1], used[used > 1]
-        order = np.argsort(owner, kind="stable")
-        m, owner, used = m[order], owner[order], used[order].astype(np.int32)
+        sizes = np.diff(np.append(start, len(m)))
+        used = np.repeat(sizes.astype(np.int32), sizes)
+        shared = used > 1
+        m, owner, used = m[shared], owner[shared], used[shared]
+        order = np.argsort(owner, kind="stable").astype(np.int32)
+        m, owner, used = m[order], owner[order], used[order]
         ends = np.searchsorted(owner, np.arange(about.shape[1] + 1))
         some = np.flatnonzero(np.diff(ends))
         lists = [[x[ends[i] : ends[i + 1]].tobytes() for i in some.tolist()] for x in (m, used)]
