@@ -106,6 +106,12 @@ class Tokenizer:
         with open(path, "rb") as f:
             return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, f) if a}, pattern)
 
+    @functools.cached_property
+    def digest(self) -> str:
+        """Names the vocabulary and the pattern, in whatever process they are."""
+        listed = "".join(f"{t.hex()} {r}\n" for t, r in sorted(self.ranks.items()))
+        return hashlib.sha256(f"{self.pattern}\n{listed}".encode()).hexdigest()
+
     @functools.cached_property
     def splitter(self):
         return regex.compile(self.pattern)
@@ -214,7 +220,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer, keep: list[str], *, text: str
     """
     held = docs.sparkSession.sparkContext.broadcast(tokenizer)  # as large as the vocabulary, whatever the corpus
     names, kinds = (("ids", "decoded"), (pa.string(), pa.binary())) if with_ids else (("ids_sha256", "decoded_sha256"), (pa.string(), pa.string()))
-    key = str(id(held))
+    key = tokenizer.digest
 
     def run(batches):
         known = _table_of(key, held)
