@@ -65,10 +65,8 @@ def long_word_ranges(tok):
     WHERE t.is_word GROUP BY ALL""",
 )
 def j3(spark, sf):
-    tok = tokens.tokenise(table(spark, sf, "documents"))
-    merged = spans.merge_ranges(long_word_ranges(tok))
-    words = tok.where("is_word").select("doc_id", "off", (F.col("off") + F.length("run")).alias("stop"))
-    flagged = spans.flag_covered(words, merged, start="off", end="stop")
+    docs = table(spark, sf, "documents")
+    flagged = spans.words_covered(docs, long_word_ranges(tokens.tokenise(docs)))
     return flagged.groupBy("doc_id", "covered").agg(F.count("*").alias("n"), F.sum("off").alias("offsets"))
 
 

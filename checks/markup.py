@@ -155,10 +155,9 @@ def f17(spark, sf):
     ON s.page_id = w.page_id AND s.start <= w.off AND w.off < s."end" WHERE w.is_word GROUP BY ALL""",
 )
 def j5(spark, sf):
-    pages = table(spark, sf, "pages")
-    points = tokens.tokenise(pages, ["page_id"], "html").where("is_word").select("page_id", "off")
-    roles = spans.locate(points, markup.segments(painted(spark, sf)), ["page_id"], ["role"], how="inner")
-    return roles.groupBy("page_id", "role").agg(F.count("*").alias("n"), F.sum("off").alias("offsets"))
+    """Words never reach over a lexeme's edge, so they are cut inside it and take its role along."""
+    words = tokens.tokenise(painted(spark, sf), ["page_id", "start", "role"], "run").where("is_word")
+    return words.groupBy("page_id", "role").agg(F.count("*").alias("n"), F.sum(F.col("start") + F.col("off")).alias("offsets"))
 
 
 _VISIBLE_WORDS = words_sql(f"(SELECT * FROM {PAINT_SQL} WHERE role IN ({VISIBLE}))", "page_id, start", "run")

@@ -219,10 +219,14 @@ _EDITED_SQL = f"""(SELECT d.doc_id, string_agg(coalesce(e.new, r.run), '' ORDER
   LEFT JOIN (SELECT * FROM {_EDITS_SQL} WHERE state = 'APPLIES') e ON e.doc_id = r.doc_id AND e.start = r.off GROUP BY d.doc_id)"""
 
 
-def _resolved(spark, sf):
+def _edit_sets(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     loc = lines.token_locators(docs, keep_line=False).where(F.length("word") >= 9)
-    return docs, edits.resolve_locators(docs, loc.selectExpr(*_split_cols(_EDIT_COLS)))
+    return edits.edit_sets(docs, loc.selectExpr(*_split_cols(_EDIT_COLS)))
+
+
+def _resolved(spark, sf):
+    return _edit_sets(spark, sf).select("doc_id", F.inline("edits"))
 
 
 def _split_cols(text):
@@ -233,7 +237,7 @@ def _split_cols(text):
 
 @check("r9_locator_edits", f"SELECT doc_id, text FROM {_EDITED_SQL}")
 def r9(spark, sf):
-    return edits.apply_locator_edits(*_resolved(spark, sf))
+    return edits.apply_sets(_edit_sets(spark, sf))
 
 
 @check(
@@ -241,7 +245,7 @@ def r9(spark, sf):
     f"SELECT doc_id, line_no, col_no, old, new, state FROM {_EDITS_SQL} WHERE state <> 'APPLIES'",
 )
 def r9_refused(spark, sf):
-    return _resolved(spark, sf)[1].where("state <> 'APPLIES'").select("doc_id", "line_no", "col_no", "old", "new", "state")
+    return _resolved(spark, sf).where("state <> 'APPLIES'").select("doc_id", "line_no", "col_no", "old", "new", "state")
 
 
 @check(
@@ -260,7 +264,7 @@ def r10(spark, sf):
     SELECT old, new, coalesce(a.n, 0) AS applied, coalesce(d.n, 0) AS declared, coalesce(a.n, 0) = coalesce(d.n, 0) AS pass FROM a FULL OUTER JOIN d USING (old, new)""",
 )
 def r11(spark, sf):
-    docs, resolved = _resolved(spark, sf)
+    docs, resolved = table(spark, sf, "documents"), _resolved(spark, sf)
     declared = tokens.surface_counts(docs, []).where(F.length("word") >= 9).selectExpr(
         "word AS old", "concat(substring(word, 1, 3), '-', substring(word, 4)) AS new", "n"
     )
@@ -298,12 +302,12 @@ def r12(spark, sf):
     FROM {_EDITED_SQL} e JOIN documents d USING (doc_id)""",
 )
 def r13(spark, sf):
-    docs, resolved = _resolved(spark, sf)
-    good = resolved.where("state = 'APPLIES'").select("doc_id", "start", "end", "old", "new")
-    forward = projection.replace_spans(docs, good)
-    back = projection.replace_spans(forward, projection.inverse_edits(good))
-    j = projection.derivations_agree(docs, back).drop("first_sha256").withColumnRenamed("second_sha256", "reverse_sha256")
-    return j.join(forward.select("doc_id", fx.sha256_upper(F.col("text")).alias("forward_sha256")), "doc_id")
+    """Forward and back in one row: a text meets its edits once, and the inverse is made from them, not looked up."""
+    told = _edit_sets(spark, sf).withColumn("source_sha256", fx.sha256_upper(F.col("text")))
+    undone = edits.invert_sets(told, keep=["source_sha256"]).withColumn("forward_sha256", fx.sha256_upper(F.col("text")))
+    back = edits.apply_sets(undone, keep=["source_sha256", "forward_sha256"])
+    reverse = fx.sha256_upper(F.col("text"))
+    return back.select("doc_id", "forward_sha256", reverse.alias("reverse_sha256"), F.coalesce(reverse == F.col("source_sha256"), F.lit(False)).alias("pass"))
 
 
 @check(

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import chain
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tables as t
 from ..functions import text as fx
+from ..functions.arrays import line_starts, reached_before, slices_of, starts_of
 from . import spans
 from .lines import line_table
 from .projection import replace_spans
@@ -79,30 +80,83 @@ def structure_gate(before: DataFrame, after: DataFrame, key: Sequence[str] = KEY
     return j.select(*key, F.coalesce(same, F.lit(False)).alias("pass"))
 
 
-def resolve_locators(docs: DataFrame, edits: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
-    """Locator edits ``key, line_no, col_no, old, new`` with their scalar span and ``state``.
+_EDITS = "array<struct<start:bigint,end:bigint,line_no:bigint,col_no:bigint,old:string,new:string,state:string>>"
+
+
+def edit_sets(docs: DataFrame, edits: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
+    """``key, text, edits, given``: every document with its locator edits ``line_no, col_no, old, new`` as one ordered value.
 
-    APPLIES, or why the edit is refused: NO_LINE, DRIFT (the line holds something else there), DUPLICATE (the
-    locator is edited twice) or OVERLAP (an earlier edit reaches into it).  Only edited lines are read further.
+    Each edit has its scalar span and ``state``: APPLIES, or why it is refused: NO_LINE, DRIFT (the line holds something else
+    there), DUPLICATE (the locator is edited twice) or OVERLAP (an earlier edit reaches into it).  Texts meet their edits
+    once; lines are measured in the row.  ``given`` is false for edits of a document that is not there.
     """
-    twice = edits.groupBy(*key, "line_no", "col_no").agg(
-        F.count("*").alias("_n"), F.min("old").alias("old"), F.min("new").alias("new")
-    )
-    touched = docs.join(edits.select(*key).distinct(), list(key), "left_semi")
-    table = line_table(touched, key, text).select(*key, "line_no", "line_off", "line")
-    j = twice.join(table, [*key, "line_no"], "left")
-    start = (F.col("line_off") + F.col("col_no") - 1).cast("bigint")
-    j = j.withColumns({"start": start, "end": start + F.length("old")})
-    here = F.substring("line", F.col("col_no").cast("bigint"), F.length("old").cast("bigint"))
-    j = j.withColumn(
-        "state",
-        F.when(F.col("line").isNull(), "NO_LINE").when(F.col("_n") > 1, "DUPLICATE").when(here != F.col("old"), "DRIFT")
-        .otherwise("APPLIES"),
-    )
-    w = Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max(F.when(F.col("state") == "APPLIES", F.col("end"))).over(w)
-    state = F.when((F.col("state") == "APPLIES") & (reach > F.col("start")), "OVERLAP").otherwise(F.col("state"))
-    return j.withColumn("state", state).select(*key, "line_no", "col_no", "start", "end", "old", "new", "state")
+    one = edits.groupBy(*key, F.col("line_no").cast("bigint").alias("line_no"), F.col("col_no").cast("bigint").alias("col_no")).agg(
+        F.count("*").alias("n"), F.min("old").alias("old"), F.min("new").alias("new"))
+    per = one.groupBy(*key).agg(F.collect_list(F.struct("line_no", "col_no", "n", "old", "new")).alias("_e"))
+    d = docs.select(*key, F.col(text).alias("_text"), F.lit(True).alias("_given")).join(per, list(key), "full_outer")
+    d = d.withColumn("_e", F.coalesce("_e", F.array().cast("array<struct<line_no:bigint,col_no:bigint,n:bigint,old:string,new:string>>")))
+    sizes = F.transform(F.regexp_extract_all("_text", F.lit(t.PHYSICAL_LINE), F.lit(0)), lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("b")))
+    d = d.withColumns({"_starts": line_starts(sizes), "_size": F.length("_text").cast("bigint")})
+
+    def begin(line: Column) -> Column:
+        return F.when(line >= 1, F.get("_starts", (line - 1).cast("int"))["at"])
+
+    def low(e: Column) -> Column:
+        return begin(e["line_no"]) + e["col_no"] - 1
+
+    here = slices_of("_text", F.transform("_e", low), F.transform("_e", lambda e: low(e) + F.length(e["old"])))
+    d = d.withColumn("_here", here)
+
+    def judged(e: Column, i: Column) -> Column:
+        start, end = low(e), low(e) + F.length(e["old"])
+        # What stands there lies in one line if it holds no break and ends with the line at the latest.
+        line = (e["col_no"] >= 1) & (end <= F.coalesce(begin(e["line_no"] + 1), F.col("_size"))) & ~e["old"].rlike(f"[{t.BREAK}]")
+        state = F.when(start.isNull(), "NO_LINE").when(e["n"] > 1, "DUPLICATE").when(~(line & (F.get("_here", i) == e["old"])), "DRIFT").otherwise("APPLIES")
+        fields = {"start": start, "end": end, "line_no": e["line_no"], "col_no": e["col_no"], "old": e["old"], "new": e["new"], "state": state}
+        return F.struct(*(v.alias(k) for k, v in fields.items()))
+
+    d = d.select(*key, "_text", "_given", F.array_sort(F.transform("_e", judged)).alias("_r"))
+    d = d.withColumn("_reach", reached_before(F.transform("_r", lambda r: F.when(r["state"] == "APPLIES", r["end"]).otherwise(0).cast("bigint"))))
+    late = F.zip_with("_r", "_reach", lambda r, reach: r.withField("state", F.when((r["state"] == "APPLIES") & (reach > r["start"]), "OVERLAP").otherwise(r["state"])))
+    return d.select(*key, F.col("_text").alias(text), late.cast(_EDITS).alias("edits"), F.coalesce("_given", F.lit(False)).alias("given"))
+
+
+def _applied() -> Column:
+    return F.filter("edits", lambda e: e["state"] == "APPLIES")
+
+
+def _with_gaps(sets: DataFrame, text: str) -> tuple[DataFrame, Column]:
+    """The documents with the stretches between their edits, and the expression of the edited text."""
+    zero, size = F.array(F.lit(0).cast("bigint")), F.array(F.length(text).cast("bigint"))
+    ends, starts = F.transform(_applied(), lambda e: e["end"]), F.transform(_applied(), lambda e: e["start"])
+    d = sets.where("given").withColumn("_gaps", slices_of(text, F.concat(zero, ends), F.concat(starts, size)))
+    parts = F.transform(_applied(), lambda e, i: F.concat(e["new"], F.get("_gaps", i + 1)))
+    return d, F.when(F.col(text).isNotNull(), F.concat(F.get("_gaps", F.lit(0)), F.array_join(parts, "")))
+
+
+def apply_sets(sets: DataFrame, key: Sequence[str] = KEY, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``key, text`` (and ``keep``) of the documents with every applicable edit made; refused edits leave their place untouched."""
+    d, after = _with_gaps(sets, text)
+    return d.select(*key, after.alias(text), *keep)
+
+
+def invert_sets(sets: DataFrame, key: Sequence[str] = KEY, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """The edited documents with the edits that undo what was done: spans moved by what stands before them, old and new swapped."""
+    d, after = _with_gaps(sets, text)
+    d = d.withColumn("_shift", starts_of(F.transform(_applied(), lambda e: (F.length(e["new"]) - (e["end"] - e["start"])).cast("bigint"))))
+
+    def turned(e: Column, i: Column) -> Column:
+        at = e["start"] + F.get("_shift", i)
+        fields = {"start": at, "end": at + F.length(e["new"]), "line_no": e["line_no"], "col_no": e["col_no"], "old": e["new"], "new": e["old"], "state": F.lit("APPLIES")}
+        return F.struct(*(v.alias(k) for k, v in fields.items()))
+
+    return d.select(*key, after.alias(text), F.transform(_applied(), turned).cast(_EDITS).alias("edits"), "given", *keep)
+
+
+def resolve_locators(docs: DataFrame, edits: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
+    """Locator edits ``key, line_no, col_no, old, new`` as rows with span and ``state``, as in :func:`edit_sets`."""
+    d = edit_sets(docs, edits, key, text).select(*key, F.inline("edits"))
+    return d.select(*key, "line_no", "col_no", "start", "end", "old", "new", "state")
 
 
 def apply_locator_edits(docs: DataFrame, resolved: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import tables as t
 from ..functions import text as fx
-from ..functions.prefix import context_of
-from . import spans
-from .lines import line_table
+from ..functions.arrays import line_starts, place_of, slices_of
 
 
 def identity_table(df: DataFrame, path: Column, value: Column) -> DataFrame:
@@ -78,33 +77,40 @@ LOCATOR_FIELDS = ("surface", "surface_sha256", "line_no", "col_no", "byte_off",
 def locate_manifest(rows: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """What a text holds at each row's ``start, end``: surface, hashes, line, column, byte offset.
 
-    Rows meet the line they start in by ``(key, bin)``, so texts are cut once and never travel with the rows.
+    The rows of a text travel to it once, as one list; lines are measured, not shuffled, and everything a row asks for is a slice of
+    the text at a known place, however long.  Rows outside the text, or without one, keep nulls.
     """
-    table = line_table(docs, key, text, context=(80, 160)).select(
-        *key, "line_no", "line", "win", "win_off", "line_byte_off",
-        F.col("line_off").alias("start"), (F.col("line_off") + F.length("physical")).alias("end"),
-    )
-    cols = ["line_no", "line", "win", "win_off", "line_byte_off"]
-    points = rows.select(*key, F.col("start").alias("off"), F.col("end").alias("stop"))
-    j = spans.locate(points, table, key, cols)
-    col0 = F.col("off") - F.col("_s_start")
-    # Most spans end within the window of their line; the others take their surface from the text itself.
-    inside = F.coalesce(F.col("stop") <= F.col("win_off") + F.length("win"), F.lit(True))
-    near = F.substring("win", F.col("off") - F.col("win_off") + 1, F.col("stop") - F.col("off"))
-    far = j.where(~inside).join(docs.select(*key, F.col(text).alias("_whole")), list(key))
-    whole = F.substring("_whole", F.col("off") + 1, F.col("stop") - F.col("off"))
-    j = j.where(inside).withColumn("_surface", near).unionByName(far.withColumn("_surface", whole).drop("_whole"))
-    surface = F.col("_surface")
-    return j.select(
-        *key, F.col("off").alias("start"), F.col("stop").alias("end"),
-        surface.alias("surface"),
-        fx.sha256_upper(surface).alias("surface_sha256"),
-        "line_no",
-        (col0 + 1).alias("col_no"),
-        (F.col("line_byte_off") + F.octet_length(F.substring("line", F.lit(1).cast("bigint"), col0))).alias("byte_off"),
-        fx.sha256_upper(F.col("line")).alias("line_sha256"),
-        fx.sha256_upper(context_of(F.col("off"), 80, 160)).alias("context_sha256"),
-    )
+    span = F.struct(F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
+    per = rows.groupBy(*key).agg(F.array_sort(F.collect_list(span)).alias("_rows"))
+    d = per.join(docs.select(*key, F.col(text).alias("_text")), list(key), "left")
+    lines = F.regexp_extract_all("_text", F.lit(t.PHYSICAL_LINE), F.lit(0))
+    sizes = F.transform(lines, lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("b")))
+    d = d.select(*key, "_rows", "_text", line_starts(sizes).alias("_starts"), F.length("_text").cast("bigint").alias("_end"))
+    d = d.withColumn("_line", place_of(F.transform("_rows", lambda r: r["start"]), F.transform("_starts", lambda x: x["at"])))
+
+    def begin(n: Column) -> Column:
+        return F.get("_starts", n)["at"]
+
+    def at_row(f):
+        return F.transform("_rows", lambda r, i: f(r, F.get("_line", i)))
+
+    low = [at_row(f) for f in (lambda r, n: r["start"], lambda r, n: r["start"] - 80, lambda r, n: begin(n), lambda r, n: begin(n))]
+    high = [at_row(f) for f in (
+        lambda r, n: r["end"], lambda r, n: r["start"] + 160, lambda r, n: F.coalesce(begin(n + 1), F.col("_end")), lambda r, n: r["start"])]
+    d = d.withColumn("_s", slices_of("_text", F.concat(*low), F.concat(*high)))
+
+    def told(r: Column, i: Column) -> Column:
+        n, k = F.get("_line", i), F.size("_rows")
+        there = F.coalesce(r["start"] < F.col("_end"), F.lit(False)) & (n >= 0)
+        surface, near, line = F.get("_s", i), F.get("_s", i + k), F.regexp_replace(F.get("_s", i + 2 * k), rf"[{t.BREAK}]+\z", "")
+        before = F.octet_length(F.regexp_replace(F.get("_s", i + 3 * k), rf"[{t.BREAK}]+\z", ""))
+        fields = {
+            "surface": surface, "surface_sha256": fx.sha256_upper(surface), "line_no": (n + 1).cast("bigint"), "col_no": r["start"] - begin(n) + 1,
+            "byte_off": F.get("_starts", n)["byte"] + before, "line_sha256": fx.sha256_upper(line), "context_sha256": fx.sha256_upper(near),
+        }
+        return F.struct(r["start"].alias("start"), r["end"].alias("end"), *(F.when(there, v).alias(k_) for k_, v in fields.items()))
+
+    return d.select(*key, F.inline(F.transform("_rows", told)))
 
 
 def stale_locators(manifest: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc_id",)) -> DataFrame:

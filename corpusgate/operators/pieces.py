@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import tables as t
 from ..functions import text as fx
+from ..functions.arrays import lists, starts_of
 from . import inventory, markup, matches, spans
 
 KEY = ("page_id",)
@@ -75,10 +76,6 @@ def enclosing(tags: Sequence[tuple[int, str, int]], size: int, protected: dict[s
     return [s for s in stretches if s[0] < size] or [(0, None, False)]
 
 
-def _lists(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), values)
-
-
 def enclosing_codes(protected: dict[str, bool]):
     """``codes(tags, size)``: for each piece twice the number of its element in ``protected`` (from 1; 0: none), plus ``under``."""
     number = {None: 0, **{name: i + 1 for i, name in enumerate(protected)}}
@@ -93,21 +90,11 @@ def enclosing_codes(protected: dict[str, bool]):
             values = np.array([2 * number[s[1]] + s[2] for s in found], np.int32)
             out.append(np.repeat(values, np.diff(np.append(first, size))))
             lengths.append(size)
-        return _lists(pa.array(np.concatenate(out), pa.int32()), np.array(lengths, np.int64))
+        return lists(pa.array(np.concatenate(out), pa.int32()), np.array(lengths, np.int64))
 
     return codes
 
 
-@F.arrow_udf(T.ArrayType(T.LongType()))
-def starts_of(lengths: pa.Array) -> pa.Array:
-    """Running totals of the lengths of a row, each without its own."""
-    flat = lengths.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    sizes = np.array([len(x) if x is not None else 0 for x in lengths], np.int64)
-    ends = np.cumsum(flat)
-    before = np.repeat(np.append(0, ends)[np.cumsum(sizes) - sizes], sizes) if len(flat) else flat
-    return _lists(pa.array(ends - flat - before, pa.int64()), sizes)
-
-
 @F.arrow_udf(_CUT)
 def cut_at(starts: pa.Array, lengths: pa.Array, ranges: pa.Array) -> pa.Array:
     """The parts of a row's pieces between the edges of disjoint sorted ranges: piece, offset in it, length, inside a range."""
@@ -126,7 +113,7 @@ def cut_at(starts: pa.Array, lengths: pa.Array, ranges: pa.Array) -> pa.Array:
         sizes.append(len(edges))
     kinds = (pa.int32(), pa.int32(), pa.int32(), pa.bool_())
     flat = [pa.array(np.concatenate(c).astype(bool if k == pa.bool_() else np.int64), k) for c, k in zip(columns, kinds, strict=True)]
-    return _lists(pa.StructArray.from_arrays(flat, ["i", "a", "n", "held"]), np.array(sizes, np.int64))
+    return lists(pa.StructArray.from_arrays(flat, ["i", "a", "n", "held"]), np.array(sizes, np.int64))
 
 
 # ---- lexing -----------------------------------------------------------------------------------------------------------

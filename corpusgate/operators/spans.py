@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import tables as t
+from ..functions.arrays import inside, starts_of
 from ..functions.prefix import chunks, slice_chunks
 
 KEY = ("doc_id",)
@@ -75,6 +77,25 @@ def flag_covered(
     return j.withColumn(flag, F.coalesce(F.col(end) <= F.col("_s_end"), F.lit(False))).drop("_s_start", "_s_end")
 
 
+def words_covered(
+    docs: DataFrame, ranges: DataFrame, key: Sequence[str] = KEY, text: str = "text", flag: str = "covered",
+) -> DataFrame:
+    """``key, off, word`` of every word with ``flag``: does it lie wholly inside one merged range?
+
+    Ranges travel to their text once, as one ordered list, and words are tested in the row; no word is shuffled.
+    """
+    per = merge_ranges(ranges, key).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_r"))
+    d = docs.select(*key, F.col(text).alias("_text")).join(per, list(key), "left")
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    d = d.select(*key, F.regexp_extract_all("_text", F.lit(t.ANY_RUN), F.lit(0)).alias("_runs"), F.coalesce("_r", none).alias("_r"))
+    sizes = F.transform("_runs", lambda r: F.length(r).cast("bigint"))
+    d = d.withColumns({"_size": sizes, "_at": starts_of(sizes)})
+    low, high = F.transform("_r", lambda r: r["start"]), F.transform("_r", lambda r: r["end"])
+    d = d.select(*key, "_runs", "_at", inside("_at", "_size", low, high).alias("_in"))
+    d = d.select(*key, F.inline(F.arrays_zip("_at", "_runs", "_in"))).where(F.col("_runs").rlike(f"^[{t.LETTER}]"))
+    return d.select(*key, F.col("_at").alias("off"), F.col("_runs").alias("word"), F.col("_in").alias(flag))
+
+
 def overlaps(left: DataFrame, right: DataFrame, key: Sequence[str], right_columns: Sequence[str] = ()) -> DataFrame:
     """Every overlapping pair once: left columns, ``r_start``, ``r_end`` and the right columns."""
     r = _list_bins(right.select(*key, "start", "end", *right_columns)).select(
@@ -150,7 +171,7 @@ def coverage_report(segments: DataFrame, lengths: DataFrame, key: Sequence[str]
 
 def surfaces(docs: DataFrame, ranges: DataFrame, key: Sequence[str] = KEY, text: str = "text", columns: Sequence[str] = ()) -> DataFrame:
     """Ranges with the text they cover; a text meets its own ranges once, so it is not repeated per range."""
-    per = ranges.groupBy(*key).agg(F.collect_set(F.struct("start", "end", *columns)).alias("_r"))
+    per = ranges.groupBy(*key).agg(F.collect_list(F.struct("start", "end", *columns)).alias("_r"))
     d = docs.select(*key, text).join(per, list(key)).select(*key, "_r", chunks(F.col(text)).alias("_c"))
     cut = F.transform(
         "_r",
