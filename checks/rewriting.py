@@ -173,7 +173,7 @@ _BENCH_MAP = f"(SELECT DISTINCT word AS old, concat(word, 'x') AS new FROM {word
 def r7_table(spark, sf):
     w = tokens.words(table(spark, sf, "benchmark"), []).where(F.length("word") >= 3).distinct()
     mapping = w.select(F.col("word").alias("old"), F.concat("word", F.lit("x")).alias("new"))
-    return edits.substitute_tokens(table(spark, sf, "documents"), mapping)
+    return edits.substitute_tokens(table(spark, sf, "documents"), materialise(mapping))
 
 
 _TARGETS = sorted(set(TOKEN_MAP.values()))

@@ -91,3 +91,13 @@ def line_starts(sizes: pa.Array) -> pa.Array:
         ends = np.cumsum(size)
         columns.append(pa.array(ends - size - np.repeat(np.append(0, ends)[first], counts), pa.int64()))
     return lists(pa.StructArray.from_arrays(columns, ["at", "byte"]), counts)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def looked_up(items: pa.Array, old: pa.Array, new: pa.Array) -> pa.Array:
+    """The items of a row, those that the row's map ``old`` to ``new`` has replaced."""
+    out = []
+    for row, keys, values in zip(items.to_pylist(), old.to_pylist(), new.to_pylist(), strict=True):
+        known = dict(zip(keys or [], values or [], strict=True))
+        out.append(row if row is None else [known.get(x, x) for x in row])
+    return pa.array(out, pa.list_(pa.string()))

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import tables as t
 from ..functions import text as fx
-from ..functions.arrays import line_starts, reached_before, slices_of, starts_of
+from ..functions.arrays import line_starts, looked_up, reached_before, slices_of, starts_of
 from . import spans
 from .lines import line_table
 from .projection import replace_spans
-from .tokens import tokenise, words
+from .tokens import words
 
 KEY = ("doc_id",)
 
@@ -26,15 +26,18 @@ def _as_map(mapping: Mapping[str, str]):
 def substitute_tokens(docs: DataFrame, mapping: Mapping[str, str] | DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
     """Replace whole words by an exact, case-sensitive map.
 
-    A map written by hand is applied inside the row, however long.  One that is data comes as a table ``old, new`` and is
-    joined to the tokens on their word; the changed spans are then put back into their documents.
+    A map written by hand is applied inside the row, however long.  One that is data comes as a table ``old, new``: each text asks
+    for its distinct words only, so a word that makes up most of a text is one row of it, and a map that is measured to be
+    small needs no shuffle of them; what is found travels back to the text once, and its words are replaced in the row.
     """
     if isinstance(mapping, DataFrame):
-        tok = tokenise(docs, key, text).where("is_word").select(*key, "off", "run")
         one = mapping.groupBy("old").agg(F.min("new").alias("new"))
-        hit = tok.join(one, F.col("run") == F.col("old"))
-        edits = hit.select(*key, F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end"), "new")
-        return replace_spans(docs, edits, key, text)
+        runs = F.regexp_extract_all(F.col(text), F.lit(t.LETTER_RUN), F.lit(0))
+        asked = docs.select(*key, F.explode(F.array_distinct(runs)).alias("old"))
+        found = asked.join(one, "old").groupBy(*key).agg(F.collect_set(F.struct("old", "new")).alias("_m"))
+        d = docs.select(*key, text).join(found, list(key), "left")
+        every = F.regexp_extract_all(F.col(text), F.lit(t.ANY_RUN), F.lit(0))
+        return d.select(*key, F.array_join(looked_up(every, F.col("_m.old"), F.col("_m.new")), "").alias(text))
     if not mapping:
         return docs.select(*key, text)
     table = _as_map(mapping)
