@@ -6,6 +6,9 @@ with its square.  These take whole columns of lists and work on their flat value
 
 from __future__ import annotations
 
+import json
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -101,3 +104,50 @@ def looked_up(items: pa.Array, old: pa.Array, new: pa.Array) -> pa.Array:
         known = dict(zip(keys or [], values or [], strict=True))
         out.append(row if row is None else [known.get(x, x) for x in row])
     return pa.array(out, pa.list_(pa.string()))
+
+
+_JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*+"|[{}\[\],:]|[^\s{}\[\],:"]+', re.DOTALL)
+
+
+def members_of(text: str) -> list[dict]:
+    """Every member and element of a JSON text in order: ``path`` below the root, ``key`` (null for elements), and the value's span.
+
+    A stack of open containers runs over the tokens once, so depth costs nothing.
+    """
+    out: list[dict] = []
+    stack: list[list] = []  # path, next element's number (None in an object), key that waits for its value, member whose value this is
+
+    def value_at(low: int) -> dict | None:
+        if not stack:
+            return None
+        path, number, key, _ = stack[-1]
+        step = f"[{number}]" if number is not None else f".{key}"
+        out.append({"path": path + step, "key": key if number is None else None, "low": low, "high": low})
+        if number is not None:
+            stack[-1][1] += 1
+        return out[-1]
+
+    for m in _JSON_TOKEN.finditer(text):
+        token = m.group()
+        if token in "{[":
+            member = value_at(m.start())
+            stack.append([member["path"] if member else "", None if token == "{" else 0, None, member])
+        elif token in "}]":
+            member = stack.pop()[3]
+            if member:
+                member["high"] = m.end()
+        elif token == ",":
+            stack[-1][2] = None
+        elif token != ":":
+            if stack and stack[-1][1] is None and stack[-1][2] is None:
+                stack[-1][2] = json.loads(token)
+            elif member := value_at(m.start()):
+                member["high"] = m.end()
+    return out
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("key", T.StringType()), T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])))
+def json_members(texts: pa.Array) -> pa.Array:
+    kind = pa.list_(pa.struct([("path", pa.string()), ("key", pa.string()), ("low", pa.int64()), ("high", pa.int64())]))
+    return pa.array([None if x is None else members_of(x) for x in texts.to_pylist()], kind)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import json_members, reached_before, slices_of
 from ..functions.text import sha256_upper
 
 
@@ -94,25 +95,18 @@ def walk_json(
 ) -> DataFrame:
     """Every member that ``is_hit(key, value)`` accepts, at any depth, as ``path, value``; nothing below a hit.
 
-    Each level is one more generator over the same row stream: no shuffle, no recursion over data, one scan.  How many
-    levels there are is measured first, so nothing is too deep.
+    The text of a row is lexed once, with the path kept on a stack, so the plan is the same for every depth and no row decides over
+    another's; a hit hides the members whose span it covers.
     """
-    spark = rows.sparkSession
-    d = rows.select(*id_cols, F.lit(root).alias("path"), F.col(value).alias("node"), F.lit(False).alias("hit"))
-    for _ in range(rows.agg(F.max(nesting(F.col(value)))).first()[0] or 0):
-        inner = F.when(~F.col("hit"), F.col("node"))
-        d = d.withColumn("_open", inner).lateralJoin(spark.tvf.variant_explode_outer(F.col("_open").outer()))
-        step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).otherwise(
-            F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))
-        )
-        moved = F.col("pos").isNotNull()
-        d = d.where(F.col("hit") | moved).select(
-            *id_cols,
-            F.when(moved, F.concat("path", step)).otherwise(F.col("path")).alias("path"),
-            F.when(moved, F.col("value")).otherwise(F.col("node")).alias("node"),
-            F.when(moved, F.coalesce(is_hit(F.col("key"), F.col("value")), F.lit(False))).otherwise(F.col("hit")).alias("hit"),
-        )
-    return d.where("hit").select(*id_cols, "path", F.to_json("node").alias("value"))
+    d = rows.select(*id_cols, F.to_json(F.col(value)).alias("_j"))
+    d = d.withColumn("_m", json_members("_j"))
+    d = d.withColumn("_v", slices_of("_j", F.transform("_m", lambda m: m["low"]), F.transform("_m", lambda m: m["high"])))
+    hit = F.zip_with("_m", "_v", lambda m, v: F.coalesce(is_hit(m["key"], F.try_parse_json(v)), F.lit(False)))
+    d = d.withColumn("_h", hit)
+    d = d.withColumn("_b", reached_before(F.zip_with("_m", "_h", lambda m, h: F.when(h, m["high"]).otherwise(0).cast("bigint"))))
+    found = F.filter(F.arrays_zip("_m", "_v", "_h", "_b"), lambda x: x["_h"] & (x["_b"] <= x["_m"]["low"]))
+    d = d.select(*id_cols, F.inline(F.transform(found, lambda x: F.struct(F.concat(F.lit(root), x["_m"]["path"]).alias("path"), x["_v"].alias("value")))))
+    return d
 
 
 def alternative_fields(rows: DataFrame, id_cols: Sequence[str], value: str, root: str = "$") -> DataFrame:

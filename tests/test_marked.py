@@ -171,3 +171,13 @@ def test_repeated_ranges_keep_their_rows(spark):
     docs = spark.createDataFrame([(1, "abcdef")], "doc_id long, text string")
     rows = spans.surfaces(docs, spark.createDataFrame([(1, 1, 3), (1, 1, 3)], "doc_id long, start long, end long")).collect()
     assert [r.surface for r in rows] == ["bc", "bc"]
+
+
+def test_json_members_at_any_depth(spark):
+    from corpusgate.operators import ledger
+
+    deep = '{"k":' * 200 + '[{"rejected":[1,{"reject":2}]},"x",-1.5e3,{},[]]' + "}" * 200
+    rows = [(1, deep), (2, "7"), (3, '"s"'), (4, "{}"), (5, None), (6, '{"a\\"b":{"reject":null},"reject":{"reject":1}}'), (7, '[[{"reject":"{["}]]')]
+    df = spark.createDataFrame(rows, "i int, j string").withColumn("v", F.parse_json("j"))
+    got = {(r.i, r.path, r.value) for r in ledger.alternative_fields(df, ["i"], "v").collect()}
+    assert got == {(1, "$" + ".k" * 200 + "[0].rejected", '[1,{"reject":2}]'), (6, '$.a"b.reject', "null"), (6, "$.reject", '{"reject":1}'), (7, "$[0][0].reject", '"{["')}
