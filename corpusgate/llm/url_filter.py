@@ -33,33 +33,63 @@ class Rule:
         return self.host + self.path
 
 
-#: The small labelled URL table: hosts and paths of each kind, combined by ``labelled_urls``.
-BLOCKED_HOSTS = (
-    "cheap-pills", "pills-online", "best-pharma-deals", "viagra-shop", "casino-win", "casino-royal-bonus", "free-bets",
-    "bets-365", "poker-jackpot", "slots-win", "adult-x", "xxx-videos", "hot-adult-cams", "porn-tube", "spam-farm",
-    "link-farm", "seo-spam", "ads-track", "ad-click-track", "popup-ads", "payday-loans-fast", "replica-watches",
-    "win-free-prize", "torrent-warez", "crack-keygen",
-)
-ALLOWED_HOSTS = (
-    "news", "wikipedia", "library", "university-press", "weather", "museum", "docs", "python-guide", "garden-notes",
-    "recipes", "history", "city-council", "open-data", "travel-diary", "photo-journal", "science-daily", "music-school",
-    "thother", "thtion", "ringing", "tionsh", "therhe", "andre", "oning", "lately", "thewest",
-)
+#: The small labelled URL table: well-known kinds of hosts that are allowed, and hosts made of a blocked kind and a common partner.
+ALLOWED_HOSTS = tuple("""
+theguardian.com lemonde.fr spiegel.de elpais.com washingtonpost.com cnn.com npr.org apnews.com zeit.de lefigaro.fr economist.com ft.com
+wikipedia.org wiktionary.org britannica.com archive.org gutenberg.org openlibrary.org wikidata.org commons.wikimedia.org
+mit.edu harvard.edu berkeley.edu ox.ac.uk cam.ac.uk ethz.ch tum.de sorbonne-universite.fr uni-heidelberg.de caltech.edu
+nasa.gov noaa.gov nih.gov loc.gov europa.eu who.int un.org service-public.fr bund.de nationalarchives.gov.uk parliament.uk
+science.org arxiv.org plos.org cell.com springer.com jstor.org doi.org pubmed.ncbi.nlm.nih.gov openstreetmap.org ietf.org w3.org
+python.org apache.org kernel.org mozilla.org debian.org gnu.org rust-lang.org postgresql.org github.com gitlab.com stackoverflow.com
+readthedocs.io sqlite.org numpy.org docs.oracle.com developer.android.com learn.microsoft.com
+louvre.fr metmuseum.org moma.org britishmuseum.org rijksmuseum.nl smithsonianmag.com nationalgeographic.com
+allrecipes.com seriouseats.com bonappetit.com chefkoch.de marmiton.org gardeningknowhow.com houseplants.net weather.com wetter.de meteofrance.com
+lonelyplanet.com tripadvisor.com bahn.de sncf.com michelin.com booking.com airbnb.com goodreads.com imdb.com rottentomatoes.com
+spotify.com bandcamp.com soundcloud.com khanacademy.org coursera.org duolingo.com ted.com quora.com reddit.com medium.com wordpress.com
+ikea.com etsy.com target.com toyota.com bosch.de siemens.com philips.com lego.com nintendo.com uefa.com fifa.com olympics.com espn.com
+city-council.org public-library.org history-journal.net village-school.org music-teacher.net hiking-diary.com bird-watch.org river-photos.net
+open-data.net local-news.org family-letters.net old-maps.org tea-garden.com winter-sports.net street-theatre.org home-weather.net
+""".split())
+BLOCKED_KINDS = tuple("""
+casino poker slots roulette bets betting jackpot lottery viagra cialis pills pharma porn xxx sex adult cams escort nude torrent warez
+crack keygen serials replica payday loans spam seo ads click popup track prize giveaway
+""".split())
+PLAIN_KINDS = "garden chess school book bike tennis theatre bakery yoga weather travel kitchen science history orchestra".split()
+PARTNERS = tuple("online best royal hot cheap fast deals bonus 24 365 club king hub zone shop farm chat top live videos now star".split())
 SUBDOMAINS = ("", "www.", "m.", "blog.")
-DOMAINS = ("example.com", "example.org", "example.net")
-BLOCKED_PATHS = ("/", "/en/12", "/win/bonus", "/buy-cheap/pills", "/xxx/1.html")
-ALLOWED_PATHS = ("/", "/en/734", "/de/12/", "/fr/5.html", "/es/901", "/about/team", "/articles/2021/spring.html")
+DOMAINS = ("com", "net", "org", "tv", "info", "example.com", "example.org", "example.net")
+BLOCKED_PATHS = ("/", "/en/12", "/win/bonus", "/buy-cheap/pills", "/xxx/1.html", "/fr/8", "")
+ALLOWED_PATHS = ("/", "/en/734", "/de/12/", "/fr/5.html", "/es/901", "/about/team", "/articles/2021/spring.html", "/wiki/River", "")
 
 
-def labelled_urls() -> list[tuple[str, int]]:
-    """``(url, 1 for block)``: each listed host below some subdomains and domains, with the paths dealt in turn."""
+def _with_partners(kinds) -> list[str]:
+    """Each kind with seven partners, before or behind it, joined or not."""
+    forms = ("{k}-{p}.{d}", "{p}-{k}.{d}", "{k}{p}.{d}", "{p}{k}.{d}", "{p}-{k}.{d}", "{k}{p}.{d}", "{p}{k}.{d}")
+    return [
+        forms[j].format(k=kind, p=PARTNERS[(5 * i + 7 * j) % len(PARTNERS)], d=DOMAINS[(i + 3 * j) % len(DOMAINS)])
+        for i, kind in enumerate(kinds) for j in range(len(forms))
+    ]
+
+
+def blocked_hosts() -> list[str]:
+    return _with_partners(BLOCKED_KINDS)
+
+
+def allowed_hosts() -> list[str]:
+    """The listed hosts, their names below the domains in turn, and plain kinds with the same partners as the blocked ones: neither a
+    domain nor a partner tells much by itself."""
+    named = [f"{max(host.split('.')[:-1], key=len)}.{DOMAINS[(n + 3 * k) % len(DOMAINS)]}" for n, host in enumerate(ALLOWED_HOSTS) for k in range(2)]
+    return [*ALLOWED_HOSTS, *(h for h in named if h not in ALLOWED_HOSTS), *_with_partners(PLAIN_KINDS)]
+
+
+def labelled_urls(keep=lambda host: True) -> list[tuple[str, int]]:
+    """``(url, 1 for block)``: each listed host that ``keep`` accepts below some subdomains, with the paths dealt in turn."""
     rows = [("", 0)]  # no host tells nothing against a page
-    for label, hosts, paths in ((1, BLOCKED_HOSTS, BLOCKED_PATHS), (0, ALLOWED_HOSTS, ALLOWED_PATHS)):
-        n = 0
-        for host in hosts:
-            for sub in SUBDOMAINS:
-                rows.append((f"http://{sub}{host}.{DOMAINS[n % 3]}{paths[n % len(paths)]}", label))
-                n += 1
+    for label, hosts, paths in ((1, blocked_hosts(), BLOCKED_PATHS), (0, allowed_hosts(), ALLOWED_PATHS)):
+        for n, host in enumerate(hosts):
+            for k, sub in enumerate(SUBDOMAINS):
+                if keep(host):
+                    rows.append((f"http://{sub}{host}{paths[(n + 2 * k) % len(paths)]}", label))
     return rows
 
 
@@ -108,7 +138,7 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def train(
-    labelled: Sequence[tuple[str, int]], *, orders: tuple[int, ...] = (3, 4, 5), bits: int = 14, epochs: int = 400,
+    labelled: Sequence[tuple[str, int]], *, orders: tuple[int, ...] = (3, 4, 5), bits: int = 16, epochs: int = 400,
     rate: float = 0.5, ridge: float = 1e-4,
 ) -> UrlModel:
     """Full-batch gradient descent on the labelled table, which is small by definition and fits in memory."""
