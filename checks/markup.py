@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from corpusgate.functions import tables as t
 from corpusgate.functions import text as fx
 from corpusgate.operators import digests, inventory, lines, markup, pieces, spans, tokens
+from corpusgate.session import stored
 
 from .registry import L, check, lines_sql, runs_sql, table, words_sql
 
@@ -169,7 +170,7 @@ _ISLAND_WORDS = words_sql(f"(SELECT * FROM {PAINT_SQL} WHERE role = 'protected_f
     f"""SELECT page_id, start, word, count(*) AS n FROM {_VISIBLE_WORDS} WHERE length(word) >= 2 AND lower(word) IN (SELECT lower(word) FROM {_ISLAND_WORDS} WHERE length(word) >= 2) GROUP BY ALL""",
 )
 def j6(spark, sf):
-    p = painted(spark, sf)
+    p = stored(painted(spark, sf))
     visible = tokens.words(p.where(F.col("role").isin(*t.VISIBLE_ROLES)), ["page_id", "start"], "run")
     islands = tokens.words(p.where("role = 'protected_foreign'"), [], "run")
     hits = inventory.attested_words(visible, islands)
@@ -304,7 +305,7 @@ def _tex_docs(spark, sf):
     body = F.concat(
         F.lit("\\newtheorem{s}{Dom}\n\\begin{document}\n\\emph{"), clean, F.lit("} \\foreign{"), clean, F.lit("} \\("), clean,
         F.lit("\\text{"), clean, F.lit("}\\) \\tajna{"), clean, F.lit("}"),
-        F.expr("CASE doc_id % 4 WHEN 1 THEN '}' WHEN 2 THEN '\\\\begin{align}x\\\\end{equation}' WHEN 3 THEN '\\\\[' ELSE '' END"),
+        F.expr("CASE WHEN doc_id % 20 <> 7 THEN '' WHEN doc_id % 3 = 0 THEN '}' WHEN doc_id % 3 = 1 THEN '\\\\begin{align}x\\\\end{equation}' ELSE '\\\\[' END"),
         F.lit("\n\\end{document}\n"),
     )
     docs = table(spark, sf, "documents").select("doc_id", body.alias("text"))
@@ -320,11 +321,11 @@ def _tex_sql(show):
     c, p = "clean", project_text_sql("clean") if show else "clean"
     dom = "Дом" if show else "Dom"
     return f"""(SELECT doc_id, '\\newtheorem{{s}}{{{dom}}}' || chr(10) || '\\begin{{document}}' || chr(10) || '\\emph{{' || {p} || '}} \\foreign{{' || {c} || '}} \\(' || {c}
-      || '\\text{{' || {p} || '}}\\) \\tajna{{' || {c} || '}}' || CASE doc_id % 4 WHEN 1 THEN '}}' WHEN 2 THEN '\\begin{{align}}x\\end{{equation}}' WHEN 3 THEN '\\[' ELSE '' END
+      || '\\text{{' || {p} || '}}\\) \\tajna{{' || {c} || '}}' || CASE WHEN doc_id % 20 <> 7 THEN '' WHEN doc_id % 3 = 0 THEN '}}' WHEN doc_id % 3 = 1 THEN '\\begin{{align}}x\\end{{equation}}' ELSE '\\[' END
       || chr(10) || '\\end{{document}}' || chr(10) AS text FROM (SELECT doc_id, {_CLEAN} AS clean FROM documents))"""
 
 
-@check("g5_tex_projection", f"SELECT doc_id, text FROM {_tex_sql(True)} WHERE doc_id % 4 = 0")
+@check("g5_tex_projection", f"SELECT doc_id, text FROM {_tex_sql(True)} WHERE doc_id % 20 <> 7")
 def tex_projection(spark, sf):
     """Only structurally sound documents are projected; the others are left to the error report."""
     from corpusgate.plans.tex import project_tex_corpus
@@ -335,9 +336,9 @@ def tex_projection(spark, sf):
 
 @check(
     "g2_tex_errors",
-    f"""SELECT doc_id, (length(text) - CASE doc_id % 4 WHEN 1 THEN 17 WHEN 2 THEN 30 ELSE 18 END)::BIGINT AS off,
-      CASE doc_id % 4 WHEN 1 THEN 'unmatched_closing_brace' WHEN 2 THEN 'mismatched_environment_end' ELSE 'unclosed_math' END AS code
-    FROM {_tex_sql(False)} WHERE doc_id % 4 <> 0""",
+    f"""SELECT doc_id, (length(text) - CASE doc_id % 3 WHEN 0 THEN 17 WHEN 1 THEN 30 ELSE 18 END)::BIGINT AS off,
+      CASE doc_id % 3 WHEN 0 THEN 'unmatched_closing_brace' WHEN 1 THEN 'mismatched_environment_end' ELSE 'unclosed_math' END AS code
+    FROM {_tex_sql(False)} WHERE doc_id % 20 = 7""",
 )
 def tex_errors(spark, sf):
     tex, docs = _tex_docs(spark, sf)

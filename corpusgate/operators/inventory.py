@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tables as t
 from ..functions.prefix import context_of
+from ..session import stored
 from . import matches, spans
 
 KEY = ("doc_id",)
@@ -99,8 +100,12 @@ def keyword_context(locators: DataFrame, word: str, keyword: str) -> DataFrame:
 
 
 def surface_disposition(rows: DataFrame, policy: DataFrame, *, default: str, surface: str = "surface") -> DataFrame:
-    """Disposition of each row from a list of exact surfaces; the default where the list is silent."""
-    p = policy.groupBy("surface").agg(F.min("disposition").alias("_d")).withColumnRenamed("surface", "_surface")
+    """Disposition of each row from a list of exact surfaces; the default where the list is silent.
+
+    The list is stored first, so that Spark joins by its measured size: a small one leaves the rows where they are, and beside a large
+    one only rows of a common surface are split.
+    """
+    p = stored(policy.groupBy("surface").agg(F.min("disposition").alias("_d")).withColumnRenamed("surface", "_surface"))
     j = rows.join(p, F.col(surface) == F.col("_surface"), "left")
     return j.withColumn("disposition", F.coalesce("_d", F.lit(default))).drop("_d", "_surface")
 
@@ -123,8 +128,14 @@ def summarise(rows: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
 
 
 def attested_words(visible: DataFrame, islands: DataFrame, word: str = "word") -> DataFrame:
-    """Visible words of two or more letters that also occur, whatever their case, inside protected islands."""
+    """Visible words of two or more letters that also occur, whatever their case, inside protected islands.
+
+    The two vocabularies meet first, each word once, counted out where it stands; what they share is stored and measured, and only then
+    do the occurrences meet it.  So a stop word is one row of the vocabulary, and its occurrences are shuffled only if the shared
+    vocabulary is too large to be sent to them.
+    """
     low = F.lower(F.col(word)).alias("_low")
     lexicon = islands.where(F.length(word) >= 2).select(low).distinct()
+    shared = stored(visible.where(F.length(word) >= 2).select(low).distinct().join(lexicon, "_low", "left_semi"))
     v = visible.where(F.length(word) >= 2).withColumn("_low", F.lower(F.col(word)))
-    return v.join(lexicon, "_low", "left_semi").drop("_low")
+    return v.join(shared, "_low", "left_semi").drop("_low")

@@ -9,21 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import gates, projection
-from ..session import scratch_dir
+from ..session import stored
 from ..sources import sinks
 
 KEY = ("doc_id",)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a table to the shared scratch folder and read it back.
-
-    Cuts lineage in a way that survives the loss of executors, lets several readers share one computation, and gives
-    the optimizer a measured size to choose joins by.
-    """
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+materialise = stored
 
 
 @dataclass(frozen=True)
