@@ -79,6 +79,7 @@ def scan(pages: DataFrame, roles: markup.Roles, known: DataFrame, key: Sequence[
         F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("unknown_elements"), F.lit(0)).alias("unknown_elements"),
         F.coalesce(F.sum("structure_errors"), F.lit(0)).alias("structure_errors"), F.count_if(~F.col("gap_free")).alias("coverage_failures"),
         F.count_if(F.col("status") == BLOCKED).alias("blocked_files"))
-    corpus = over.agg(*_word_counts(over, ())).withColumn("_one", F.lit(1)).join(totals.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    both = over.agg(*_word_counts(over, ())).unionByName(totals, allowMissingColumns=True)  # two rows that are one
+    corpus = both.agg(*(F.max(c).alias(c) for c in both.columns))
     corpus = corpus.withColumn("status", F.when(F.col("blocked_files") > 0, BLOCKED).otherwise(READY))
     return BlockerScan(issues.select(*key, "off", "role", "word", F.array_join("_r", ",").alias("reasons")), files, corpus)
