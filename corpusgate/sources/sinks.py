@@ -98,7 +98,12 @@ def write_once(df: DataFrame, path: str) -> str:
     if not (same_types(written, df) and verify_written(df, written).first()["pass"]):
         _files(spark, staged).delete(_path(spark, staged), True)
         raise ReadBackMismatch(path)
-    if not _files(spark, path).rename(_path(spark, staged), _path(spark, path)):
+    files = _files(spark, path)
+    moved = files.rename(_path(spark, staged), _path(spark, path))
+    # A target that appeared meanwhile takes the staged folder in, or the rename fails: either way what was there first stays.
+    inside = _path(spark, f"{path.rstrip('/')}/{staged.rsplit('/', 1)[-1]}")
+    if not moved or files.exists(inside):
+        files.delete(inside if moved else _path(spark, staged), True)
         raise OverwriteRefused(path)
     return "WRITTEN"
 

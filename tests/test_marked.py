@@ -181,3 +181,16 @@ def test_json_members_at_any_depth(spark):
     df = spark.createDataFrame(rows, "i int, j string").withColumn("v", F.parse_json("j"))
     got = {(r.i, r.path, r.value) for r in ledger.alternative_fields(df, ["i"], "v").collect()}
     assert got == {(1, "$" + ".k" * 200 + "[0].rejected", '[1,{"reject":2}]'), (6, '$.a"b.reject', "null"), (6, "$.reject", '{"reject":1}'), (7, "$[0][0].reject", '"{["')}
+
+
+def test_a_target_that_appears_during_the_write_stays_as_it_is(spark, monkeypatch):
+    from corpusgate.session import scratch_dir
+    from corpusgate.sources import sinks
+
+    path = scratch_dir(spark)
+    first = spark.range(3)
+    assert sinks.write_once(first, path) == "WRITTEN"
+    monkeypatch.setattr(sinks, "_existing", lambda *_: None)
+    with pytest.raises(sinks.OverwriteRefused):
+        sinks.write_once(spark.range(9), path)
+    assert sorted(r.id for r in spark.read.option("recursiveFileLookup", "true").parquet(path).collect()) == [0, 1, 2]
