@@ -57,7 +57,8 @@ M_OUTPUT = f"(SELECT page_id, string_agg(out, '' ORDER BY start) AS html FROM {_
 
 
 def pages_of(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.expr(MARKED).alias("html"))
+    """Pages with anything in them: one without a lexeme has no pieces and no row."""
+    return table(spark, sf, "pages").select("page_id", F.expr(MARKED).alias("html")).where("html <> ''")
 
 
 def reviewed_of(pages):

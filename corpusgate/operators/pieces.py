@@ -26,10 +26,19 @@ LITERAL = "(?:" + "|".join(x.replace(".", r"\.") for x in t.IDENTITY_LITERALS) +
 _MARKUP = r"(?is:<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]+>)"
 _NOT_IN_WORD = rf"(?<![{t.LETTER}])"
 _UNIT = rf"(?:(?iu)(?<=[0-9])(?:true[ \t]*)?(?:{t.UNIT_ALTERNATION})(?![{t.LETTER}\p{{Nd}}_]))"
-#: Literals come before names, since a literal's capitals and points could begin one.
+_HERE = rf"{LITERAL}(?!\p{{L}})"
+# A literal may begin right behind a number sign, which else is part of a word.
+_WORD = rf"(?=[{t.LETTER}])(?:\p{{L}}++|[{t.LETTER}](?!{_HERE}))*+[{t.LETTER}]?+"
+
+
+def _of_words(name: str) -> str:
+    return name.replace(f"[{t.LETTER}]+", _WORD)
+
+
+#: A literal's capitals and points could begin a name; the literal comes first, and what is left of the name follows it.
 PIECE = (
-    rf"{_MARKUP}|(?<!\p{{L}}){LITERAL}(?!\p{{L}})|{_NOT_IN_WORD}{matches.INITIAL_NAME}|{_UNIT}|[{t.LETTER}]+"
-    rf"|[^<{t.LETTER}]+|<"
+    rf"{_MARKUP}|(?<!\p{{L}}){_HERE}|(?<=Q\. E\. D\.|Q\.E\.D\.){_of_words(matches.AFTER_INITIAL)}|{_NOT_IN_WORD}{_of_words(matches.INITIAL_NAME)}|{_UNIT}"
+    rf"|{_WORD}|[^<{t.LETTER}]+|<"
 )
 #: Pieces on either side that a lone letter is judged by.
 NEIGHBOURS, CONTEXT = 12, 120
@@ -102,7 +111,7 @@ def cut_at(starts: pa.Array, lengths: pa.Array, ranges: pa.Array) -> pa.Array:
     for at, length, spans_ in zip(starts.to_pylist(), lengths.to_pylist(), ranges.to_pylist(), strict=True):
         at = np.array(at or [], np.int64)
         end = int(at[-1] + length[-1]) if len(at) else 0
-        low = np.array([s["start"] for s in spans_ or []], np.int64)
+        low = np.array([max(s["start"], 0) for s in spans_ or []], np.int64)
         high = np.array([s["end"] for s in spans_ or []], np.int64)
         edges = np.unique(np.concatenate([at, low[low < end], high[high < end]])) if len(at) else at
         piece = np.searchsorted(at, edges, side="right") - 1
@@ -186,7 +195,7 @@ def _kind(i: Column, letters: Sequence[str], rules: Sequence[inventory.Neighbour
     unit = before.rlike("[0-9]\\z") & run.rlike(rf"(?iu)^(?:true[ \t]*)?(?:{t.UNIT_ALTERNATION})\z")
     unit = unit & ~F.coalesce(F.get("_runs", i + 1), F.lit("")).rlike(r"^[\p{Nd}_]")
     return (
-        F.when(~word, "other").when(run.isin(*t.IDENTITY_LITERALS), "literal").when(F.contains(run, F.lit(".")), "name")
+        F.when(~word, F.when(run.rlike(f"[{t.LETTER}]"), "name").otherwise("other")).when(run.isin(*t.IDENTITY_LITERALS), "literal").when(F.contains(run, F.lit(".")), "name")
         .when(unit, "unit").when(~fx.is_projectable(run), F.coalesce(F.when(run.isin(*letters), held), F.lit("blocked")))
         .otherwise(F.coalesce(F.when(run.isin(*letters), held), F.lit("word")))
     )

@@ -194,3 +194,18 @@ def test_a_target_that_appears_during_the_write_stays_as_it_is(spark, monkeypatc
     with pytest.raises(sinks.OverwriteRefused):
         sinks.write_once(spark.range(9), path)
     assert sorted(r.id for r in spark.read.option("recursiveFileLookup", "true").parquet(path).collect()) == [0, 1, 2]
+
+
+def test_literals_inside_and_around_other_pieces(spark):
+    """A literal right behind a number sign is one, and a name whose initials are a literal's keeps its surname."""
+    texts = {1: "slovo\u00b2Q.E.D. voda", 2: "Q. E. D. Novak voda", 3: "Q.E.D. von Berg-Mayr voda", 4: "xQ. E. D. Novak voda", 5: "dugoslovostvo voda"}
+    pages = spark.createDataFrame(list(texts.items()), "page_id bigint, html string")
+    reviewed = spark.createDataFrame([(5, -1, 10)], "page_id bigint, start bigint, end bigint")
+    done = marked.project_marked(pages, ROLES, reviewed)
+    got = {r.page_id: r.html for r in done.output.collect()}
+    assert got == {
+        1: "slovo\u00b2Q.E.D. вода", 2: "Q. E. D. Novak вода", 3: "Q.E.D. von Berg-Mayr вода", 4: "xQ. E. D. Novak вода", 5: "dugoslovos" + "тво вода"}
+    assert all(p.run is not None for r in done.table.collect() for p in r.pieces)
+    whole = pages.where("page_id < 5")
+    gates = marked.gate_rows(whole, marked.project_marked(whole, ROLES), marked.second_derivation(whole, ROLES), ROLES)
+    assert {r.code: r.failures for r in gates.collect() if r.failures} == {}
