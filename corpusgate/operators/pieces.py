@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import tables as t
 from ..functions import text as fx
-from ..functions.arrays import lists, starts_of
+from ..functions.arrays import cut_at, lists, starts_of
 from . import inventory, markup, matches, spans
 
 KEY = ("page_id",)
@@ -42,7 +42,6 @@ PIECE = (
 )
 #: Pieces on either side that a lone letter is judged by.
 NEIGHBOURS, CONTEXT = 12, 120
-_CUT = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("a", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("held", T.BooleanType())]))
 HELD = ("name", "literal", "unit", "blocked", "held_letter")
 
 
@@ -92,9 +91,10 @@ def enclosing_codes(protected: dict[str, bool]):
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def codes(tags: pa.Array, sizes: pa.Array) -> pa.Array:
         out, lengths = [np.zeros(0, np.int32)], []
-        for row, size in zip(tags.to_pylist(), sizes.to_pylist(), strict=True):
+        # One page's tags are objects at a time; a batch of pages is not.
+        for row, size in zip(tags, sizes.to_pylist(), strict=True):
             size = size or 0
-            found = enclosing([(x["i"], x["tag"], x["sign"]) for x in row or []], size, protected)
+            found = enclosing([(x["i"], x["tag"], x["sign"]) for x in row.as_py() or []], size, protected)
             first = np.array([s[0] for s in found])
             values = np.array([2 * number[s[1]] + s[2] for s in found], np.int32)
             out.append(np.repeat(values, np.diff(np.append(first, size))))
@@ -104,27 +104,6 @@ def enclosing_codes(protected: dict[str, bool]):
     return codes
 
 
-@F.arrow_udf(_CUT)
-def cut_at(starts: pa.Array, lengths: pa.Array, ranges: pa.Array) -> pa.Array:
-    """The parts of a row's pieces between the edges of disjoint sorted ranges: piece, offset in it, length, inside a range."""
-    columns, sizes = [[np.zeros(0, np.int64)] for _ in range(4)], []
-    for at, length, spans_ in zip(starts.to_pylist(), lengths.to_pylist(), ranges.to_pylist(), strict=True):
-        at = np.array(at or [], np.int64)
-        end = int(at[-1] + length[-1]) if len(at) else 0
-        low = np.array([max(s["start"], 0) for s in spans_ or []], np.int64)
-        high = np.array([s["end"] for s in spans_ or []], np.int64)
-        edges = np.unique(np.concatenate([at, low[low < end], high[high < end]])) if len(at) else at
-        piece = np.searchsorted(at, edges, side="right") - 1
-        near = np.searchsorted(low, edges, side="right") - 1
-        held = (near >= 0) & (edges < high[near]) if len(low) else np.zeros(len(edges), bool)
-        for c, v in zip(columns, (piece, edges - at[piece], np.diff(np.append(edges, end)), held), strict=True):
-            c.append(v)
-        sizes.append(len(edges))
-    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.bool_())
-    flat = [pa.array(np.concatenate(c).astype(bool if k == pa.bool_() else np.int64), k) for c, k in zip(columns, kinds, strict=True)]
-    return lists(pa.StructArray.from_arrays(flat, ["i", "a", "n", "held"]), np.array(sizes, np.int64))
-
-
 # ---- lexing -----------------------------------------------------------------------------------------------------------
 
 
@@ -219,7 +198,7 @@ def piece_table(
     if reviewed is not None:
         merged = spans.merge_ranges(reviewed, key).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_ranges"))
         d, ranges = d.join(merged, list(key), "left"), F.coalesce("_ranges", none)
-    d = d.withColumn("_cut", cut_at("_at", "_len", ranges))
+    d = d.withColumn("_cut", cut_at("_at", "_len", F.transform(ranges, lambda r: r["start"]), F.transform(ranges, lambda r: r["end"])))
     own = [k for k in HELD if hold_blocked or k != "blocked"]
 
     # The loop reads arrays made below the walks only; one made beside it would be written into it and made for every piece.

@@ -209,3 +209,22 @@ def test_literals_inside_and_around_other_pieces(spark):
     whole = pages.where("page_id < 5")
     gates = marked.gate_rows(whole, marked.project_marked(whole, ROLES), marked.second_derivation(whole, ROLES), ROLES)
     assert {r.code: r.failures for r in gates.collect() if r.failures} == {}
+
+
+def test_projection_of_many_spans_in_one_text(spark):
+    """A text is cut once however many spans it has, and the second derivation deals out no runs."""
+    import time
+
+    from corpusgate.operators import projection
+
+    n = 20_000
+    docs = spark.createDataFrame([(1, "slovo Ab " * n), (2, ""), (3, None)], "doc_id bigint, text string")
+    held = spark.range(n).selectExpr("1L AS doc_id", "id * 9 + 6 AS start", "id * 9 + 8 AS end")
+    start = time.time()
+    trace = projection.projection_trace(docs.where("doc_id < 3"), held)
+    assert trace.where("protected AND out_text = 'Ab'").count() == n and trace.where("NOT protected").count() == n + 1
+    assert time.time() - start < 40
+    two = projection.project_by_tokens(docs.where("doc_id < 3"), held)
+    assert "Generate" not in two._jdf.queryExecution().executedPlan().toString()
+    assert two.where("doc_id = 1").first().text == "слово Ab " * n
+    assert projection.derivations_agree(projection.project_documents(docs.where("doc_id < 3"), held), two).where("NOT pass").count() == 0
