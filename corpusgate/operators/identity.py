@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tables as t
 from ..functions import text as fx
-from ..functions.arrays import line_starts, place_of, slices_of
+from ..functions.arrays import bytes_before, line_starts, place_of, slices_of
 
 
 def identity_table(df: DataFrame, path: Column, value: Column) -> DataFrame:
@@ -77,36 +77,33 @@ LOCATOR_FIELDS = ("surface", "surface_sha256", "line_no", "col_no", "byte_off",
 def locate_manifest(rows: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """What a text holds at each row's ``start, end``: surface, hashes, line, column, byte offset.
 
-    The rows of a text travel to it once, as one list; lines are measured, not shuffled, and everything a row asks for is a slice of
-    the text at a known place, however long.  Rows outside the text, or without one, keep nulls.
+    The rows of a text travel to it once, as one list; lines are measured and hashed once, not shuffled, and not repeated for each row
+    on them, since one line may be the whole text.  Rows outside the text, or without one, keep nulls.
     """
     span = F.struct(F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
     per = rows.groupBy(*key).agg(F.array_sort(F.collect_list(span)).alias("_rows"))
     d = per.join(docs.select(*key, F.col(text).alias("_text")), list(key), "left")
-    lines = F.regexp_extract_all("_text", F.lit(t.PHYSICAL_LINE), F.lit(0))
-    sizes = F.transform(lines, lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("b")))
-    d = d.select(*key, "_rows", "_text", line_starts(sizes).alias("_starts"), F.length("_text").cast("bigint").alias("_end"))
+    d = d.withColumn("_lines", F.regexp_extract_all("_text", F.lit(t.PHYSICAL_LINE), F.lit(0)))
+    sizes = F.transform("_lines", lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("b")))
+    shas = F.transform("_lines", lambda x: fx.sha256_upper(F.regexp_replace(x, rf"[{t.BREAK}]+\z", "")))
+    d = d.select(*key, "_rows", "_text", line_starts(sizes).alias("_starts"), shas.alias("_shas"), F.length("_text").cast("bigint").alias("_end"))
     d = d.withColumn("_line", place_of(F.transform("_rows", lambda r: r["start"]), F.transform("_starts", lambda x: x["at"])))
 
     def begin(n: Column) -> Column:
         return F.get("_starts", n)["at"]
 
-    def at_row(f):
-        return F.transform("_rows", lambda r, i: f(r, F.get("_line", i)))
-
-    low = [at_row(f) for f in (lambda r, n: r["start"], lambda r, n: r["start"] - 80, lambda r, n: begin(n), lambda r, n: begin(n))]
-    high = [at_row(f) for f in (
-        lambda r, n: r["end"], lambda r, n: r["start"] + 160, lambda r, n: F.coalesce(begin(n + 1), F.col("_end")), lambda r, n: r["start"])]
+    low = [F.transform("_rows", f) for f in (lambda r: r["start"], lambda r: r["start"] - 80)]
+    high = [F.transform("_rows", f) for f in (lambda r: r["end"], lambda r: r["start"] + 160)]
     d = d.withColumn("_s", slices_of("_text", F.concat(*low), F.concat(*high)))
+    d = d.withColumn("_byte", bytes_before("_text", F.transform("_rows", lambda r: F.coalesce(r["start"], F.lit(0)))))
 
     def told(r: Column, i: Column) -> Column:
         n, k = F.get("_line", i), F.size("_rows")
         there = F.coalesce(r["start"] < F.col("_end"), F.lit(False)) & (n >= 0)
-        surface, near, line = F.get("_s", i), F.get("_s", i + k), F.regexp_replace(F.get("_s", i + 2 * k), rf"[{t.BREAK}]+\z", "")
-        before = F.octet_length(F.regexp_replace(F.get("_s", i + 3 * k), rf"[{t.BREAK}]+\z", ""))
+        surface, near = F.get("_s", i), F.get("_s", i + k)
         fields = {
             "surface": surface, "surface_sha256": fx.sha256_upper(surface), "line_no": (n + 1).cast("bigint"), "col_no": r["start"] - begin(n) + 1,
-            "byte_off": F.get("_starts", n)["byte"] + before, "line_sha256": fx.sha256_upper(line), "context_sha256": fx.sha256_upper(near),
+            "byte_off": F.get("_byte", i), "line_sha256": F.get("_shas", n), "context_sha256": fx.sha256_upper(near),
         }
         return F.struct(r["start"].alias("start"), r["end"].alias("end"), *(F.when(there, v).alias(k_) for k_, v in fields.items()))
 

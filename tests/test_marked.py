@@ -228,3 +228,18 @@ def test_projection_of_many_spans_in_one_text(spark):
     assert "Generate" not in two._jdf.queryExecution().executedPlan().toString()
     assert two.where("doc_id = 1").first().text == "слово Ab " * n
     assert projection.derivations_agree(projection.project_documents(docs.where("doc_id < 3"), held), two).where("NOT pass").count() == 0
+
+
+def test_locators_on_one_long_line(spark):
+    """Rows of one line do not repeat the line: what a task holds grows with the text and its rows, not with their product."""
+    n = 15_000
+    text = "ča Ab " * n + "\r\nkraj"
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    end = len(text) - 6
+    rows = spark.range(n).selectExpr("1L AS doc_id", "id * 6 + 3 AS start", "id * 6 + 5 AS end").unionByName(
+        spark.createDataFrame([(1, end + 1, end + 2), (1, end + 2, end + 6)], "doc_id bigint, start bigint, end bigint"))
+    got = identity.locate_manifest(rows, docs)
+    assert got.where("surface = 'Ab' AND line_no = 1 AND col_no = start + 1").count() == n
+    assert got.select("line_sha256").distinct().count() == 2
+    tail = {r.start: (r.byte_off, r.line_no) for r in got.where(f"start > {end} OR start = 9").collect()}
+    assert tail == {9: (len(text[:9].encode()), 1), end + 1: (len(text[:end].encode()), 1), end + 2: (len(text[: end + 2].encode()), 2)}
