@@ -405,3 +405,18 @@ def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.materialise(stage(spark, docs, "/root/testdata/sf0.001"))
         assert docs.count() >= 0
+
+
+def test_the_language_stage_sends_no_column_back_from_python(spark):
+    """Only the verdict comes back; texts without a letter and null texts go, as in the prediction."""
+    from corpusgate.llm import langid
+
+    docs = spark.createDataFrame(
+        [(i, "the house is old and the water is cold" if i % 2 else "das Haus ist alt und das Wasser kalt", "en" if i % 2 else "de") for i in range(60)]
+        + [(60, None, "en"), (61, "12 !", "de")], "doc_id bigint, text string, lang string")
+    model = langid.train(docs)
+    kept = langid.keep_known(docs, model)
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+    want = langid.predict(docs, model, ["doc_id"]).where(f"lang_pred <> '{langid.UNKNOWN}'")
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in want.collect()} == set(range(60))
+    assert kept.columns == docs.columns and langid.keep_known(docs, None).count() == 0
