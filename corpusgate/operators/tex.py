@@ -1,20 +1,25 @@
 """TeX text as tables: lexing, pairing, argument binding, role painting and validation.
 
-No parser runs per row.  One regex cuts the lexemes; depth, pairs and argument chains are windows over one document's
-lexemes; roles come from a policy table and an interval join.  A document is one text cell, which bounds every window.
+No parser runs per row.  One regex cuts the lexemes, which stay in their row as arrays; only delimiters become rows of their own,
+without text.  Pairs and argument chains are windows over one document's delimiters and roles come from a policy table.  What
+sets a role travels back to its text once, as one list, and lexemes are painted and projected in the row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import tables as t
 from ..functions import texroles as r
 from ..functions import text as fx
-from ..functions.prefix import explode_runs
+from ..functions.arrays import lists, numbers, place_of, starts_of
+from ..session import stored
 from . import spans
 
 KEY = ("doc_id",)
@@ -45,27 +50,62 @@ def identity_literals(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(IDENTITY_LITERAL), F.lit(0))
 
 
-def lex_tex(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
-    """``key, pos, off, run, kind, name``."""
-    d = explode_runs(docs, F.regexp_extract_all(F.col(text), F.lit(TEX_LEXEME), F.lit(0)), key)
-    run = F.col("run")
-    kind = (
-        F.when(F.startswith(run, F.lit("%")), "comment")
-        .when(run.rlike(r"^\\verb\*?(?![\p{L}@*])."), "verb")
-        .when(run.rlike(rf"^\\begin\s*\{{(?:{_VERBATIM})\}}(?s:.*)\\end"), "verbatim")
-        .when(run.rlike(r"^\\begin\s*\{"), "begin").when(run.rlike(r"^\\end\s*\{"), "end")
-        .when(run.rlike(r"^\\[\p{L}@]"), "word").when(F.startswith(run, F.lit("\\")), "symbol")
-        .when(F.startswith(run, F.lit("$")), "dollar").when(run == "{", "open").when(run == "}", "close")
-        .when(run == "[", "left").when(run == "]", "right")
-        .when(run.rlike(rf"^{_LITERAL}\z"), "literal").when(run.rlike(rf"^[{t.SPACE}]+\z"), "space")
+def _kind(run: Column) -> Column:
+    """What a lexeme is; its first character settles most of it."""
+    first = F.left(run, F.lit(1))
+    return (
+        F.when(first == "%", "comment")
+        .when(first == "\\", F.when(run.rlike(r"^\\verb\*?(?![\p{L}@])."), "verb")
+              .when(run.rlike(rf"^\\begin\s*\{{(?:{_VERBATIM})\}}(?s:.*)\\end"), "verbatim")
+              .when(run.rlike(r"^\\begin\s*\{"), "begin").when(run.rlike(r"^\\end\s*\{"), "end")
+              .when(run.rlike(r"^\\[\p{L}@]"), "word").otherwise("symbol"))
+        .when(first == "$", "dollar").when(first == "{", "open").when(first == "}", "close")
+        .when(first == "[", "left").when(first == "]", "right")
+        .when(run.isin(*t.IDENTITY_LITERALS), "literal").when(first.rlike(f"[{t.SPACE}]"), "space")
         .otherwise("text")
     )
-    d = d.withColumn("kind", kind)
-    name = (
-        F.when(F.col("kind").isin("begin", "end"), F.regexp_extract("run", r"\{([^{}]*)\}", 1))
-        .when(F.col("kind").isin("word", "symbol"), F.expr("substring(run, 2)"))
-    )
-    return d.withColumn("name", name)
+
+
+def lex_tex(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``key, runs, kinds, at``: for each document the arrays of its lexemes, what each is, and where it starts."""
+    d = docs.select(*key, *keep, F.regexp_extract_all(F.col(text), F.lit(TEX_LEXEME), F.lit(0)).alias("runs"))
+    d = d.withColumn("kinds", F.transform("runs", _kind))
+    return d.withColumn("at", starts_of(F.transform("runs", lambda x: F.length(x))))
+
+
+def delimiters(lexemes: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """``key, pos, off, size, kind, name, n, depth, total`` and what precedes (``_p1, _p2, _p3``) of braces, brackets, dollars,
+    environments and math symbols.
+
+    ``n`` counts the lexemes that are neither space nor comment, ``depth`` the open braces, ``total`` the characters of the text.
+    """
+    solid = F.array_compact(F.transform("kinds", lambda k, i: F.when(~k.isin("space", "comment"), i)))
+    brace = lambda k: F.when(k == "open", 1).when(k == "close", -1).otherwise(0)
+    d = lexemes.withColumn("_at", solid)
+    d = d.withColumn("_sign", F.transform("_at", lambda i: brace(F.get("kinds", i))))
+    d = d.withColumn("_before", starts_of("_sign"))
+
+    def name(i: Column) -> Column:
+        kind, run = F.get("kinds", i), F.get("runs", i)
+        return F.when(kind.isin("begin", "end"), F.regexp_extract(run, r"\{([^{}]*)\}", 1)).when(
+            kind.isin("word", "symbol"), run.substr(F.lit(2), F.length(run)))
+
+    def near(i: Column) -> Column:
+        return F.when(i.isNotNull(), F.struct(F.get("kinds", i).alias("kind"), name(i).alias("name"), F.startswith(F.get("runs", i), F.lit("#")).alias("hash")))
+
+    def row(m: Column) -> Column:
+        i = F.get("_at", m)
+        return F.struct(
+            i.cast("bigint").alias("pos"), F.get("at", i).alias("off"), F.length(F.get("runs", i)).alias("size"), F.get("kinds", i).alias("kind"), name(i).alias("name"),
+            (m + 1).alias("n"), (F.get("_before", m) + F.get("_sign", m)).alias("depth"), *[near(F.get("_at", m - k)).alias(f"_p{k}") for k in (1, 2, 3)])
+
+    def wanted(i: Column) -> Column:
+        kind = F.get("kinds", i)
+        return kind.isin("open", "close", "left", "right", "dollar", "begin", "end") | ((kind == "symbol") & F.get("runs", i).isin(r"\(", r"\)", r"\[", r"\]"))
+
+    picked = F.array_compact(F.transform("_at", lambda i, m: F.when(wanted(i), m)))
+    total = F.try_element_at("at", F.lit(-1)) + F.length(F.try_element_at("runs", F.lit(-1)))
+    return d.select(*key, total.alias("total"), F.explode(F.transform(picked, row)).alias("_d")).select(*key, "total", "_d.*")
 
 
 def _pairs(rows: DataFrame, part: Sequence[str], sign: Column, keep: Sequence[str]) -> DataFrame:
@@ -74,48 +114,42 @@ def _pairs(rows: DataFrame, part: Sequence[str], sign: Column, keep: Sequence[st
     d = rows.withColumn("_s", sign)
     d = d.withColumn("_d", F.sum("_s").over(w)).withColumn("_lv", F.when(F.col("_s") == 1, F.col("_d")).otherwise(F.col("_d") + 1))
     lw = Window.partitionBy(*part, "_lv").orderBy("pos")
-    nxt = F.lead(F.struct("pos", "off", "n", "name", "run")).over(lw)
+    nxt = F.lead(F.struct("pos", "off", "n", "name", "size")).over(lw)
     d = d.withColumns({"_next": nxt, "_prev": F.lag("_s").over(lw)})
     return d.where((F.col("_s") == 1) | F.col("_prev").isNull()).select(
-        *keep, "pos", "off", "run", "name", "n", "_s", F.col("_next.pos").alias("c_pos"), F.col("_next.off").alias("c_off"),
-        F.col("_next.n").alias("c_n"), F.col("_next.name").alias("c_name"), F.col("_next.run").alias("c_run"),
+        *keep, "pos", "off", "size", "name", "n", "_s", F.col("_next.pos").alias("c_pos"), F.col("_next.off").alias("c_off"),
+        F.col("_next.n").alias("c_n"), F.col("_next.name").alias("c_name"), F.col("_next.size").alias("c_size"),
     )
 
 
-def _solid(lexemes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Lexemes that are neither space nor comment, numbered, with brace depth, enclosing group and what precedes."""
-    w = Window.partitionBy(*key).orderBy("pos")
-    run_w = w.rowsBetween(Window.unboundedPreceding, 0)
-    s = lexemes.where(~F.col("kind").isin("space", "comment"))
-    brace = F.when(F.col("kind") == "open", 1).when(F.col("kind") == "close", -1).otherwise(0)
-    before = {f"_p{k}": F.lag(F.struct("kind", "name", "run"), k).over(w) for k in (1, 2, 3)}
-    s = s.withColumns({"n": F.row_number().over(w), "depth": F.sum(brace).over(run_w), **before})
-    gw = Window.partitionBy(*key, "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return s.withColumn("gid", F.coalesce(F.last(F.when(F.col("kind") == "open", F.col("pos")), True).over(gw), F.lit(-1)))
+def _in_groups(marks: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Brackets and dollars with the brace group ``gid`` around them."""
+    w = Window.partitionBy(*key, "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    d = marks.where("kind IN ('open', 'left', 'right', 'dollar')")
+    d = d.withColumn("gid", F.coalesce(F.last(F.when(F.col("kind") == "open", F.col("pos")), True).over(w), F.lit(-1)))
+    return d.where("kind <> 'open'")
 
 
-def bind_groups(solid: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+def bind_groups(marks: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Groups and brackets with their owner, argument number and role.
 
     Arguments form chains: each starts right after the one before has closed.  What precedes the chain owns it.
     """
-    braces = _pairs(solid.where("kind IN ('open', 'close')"), key, F.when(F.col("kind") == "open", 1).otherwise(-1),
+    braces = _pairs(marks.where("kind IN ('open', 'close')"), key, F.when(F.col("kind") == "open", 1).otherwise(-1),
                     [*key, "kind", "depth", "_p1", "_p2", "_p3"]).where("_s = 1")
-    brackets = _pairs(solid.where("kind IN ('left', 'right')"), [*key, "depth", "gid"],
+    brackets = _pairs(_in_groups(marks, key).where("kind <> 'dollar'"), [*key, "depth", "gid"],
                       F.when(F.col("kind") == "left", 1).otherwise(-1), [*key, "kind", "depth", "_p1", "_p2", "_p3"]).where("_s = 1")
     brackets = brackets.withColumn("depth", F.col("depth") + 1)
     g = braces.unionByName(brackets).where(F.col("c_pos").isNotNull())
-    close_n = solid.select(*key, F.col("pos").alias("c_pos"), F.col("n").alias("c_sn"))
-    g = g.join(close_n, [*key, "c_pos"])
     w = Window.partitionBy(*key, "depth").orderBy("n")
-    g = g.withColumn("_start", F.when(F.lag("c_sn").over(w) == F.col("n") - 1, 0).otherwise(1))
+    g = g.withColumn("_start", F.when(F.lag("c_n").over(w) == F.col("n") - 1, 0).otherwise(1))
     g = g.withColumn("_chain", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     cw = Window.partitionBy(*key, "depth", "_chain").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     p1, p2, p3 = F.col("_p1"), F.col("_p2"), F.col("_p3")
     definer = list(r.DEFINITION_COMMANDS)
     owner = (
         F.when((p1["kind"] == "word") & (p2["kind"] == "word") & p2["name"].isin(definer), p2["name"])
-        .when((p1["kind"] == "text") & F.startswith(p1["run"], F.lit("#")) & (p3["kind"] == "word") & p3["name"].isin(definer), p3["name"])
+        .when((p1["kind"] == "text") & p1["hash"] & (p3["kind"] == "word") & p3["name"].isin(definer), p3["name"])
         .when(p1["kind"] == "word", p1["name"])
         .when(p1["kind"] == "begin", F.concat(F.lit("env:"), p1["name"]))
         .when((p1["kind"] == "symbol") & (p1["name"] == "\\"), F.lit("\\"))
@@ -144,47 +178,47 @@ def bind_groups(solid: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -
     )
 
 
-def _environments(lexemes: DataFrame, key: Sequence[str]) -> DataFrame:
-    rows = lexemes.where("kind IN ('begin', 'end')").withColumn("n", F.length("run"))
-    return _pairs(rows, key, F.when(F.col("kind") == "begin", 1).otherwise(-1), [*key])
+def _environments(marks: DataFrame, key: Sequence[str]) -> DataFrame:
+    return _pairs(marks.where("kind IN ('begin', 'end')"), key, F.when(F.col("kind") == "begin", 1).otherwise(-1), [*key, "total"])
 
 
-def _symbols(lexemes: DataFrame, key: Sequence[str]) -> DataFrame:
-    rows = lexemes.where("kind = 'symbol' AND name IN ('(', ')', '[', ']')").withColumn("n", F.length("run"))
-    return _pairs(rows, key, F.when(F.col("name").isin("(", "["), 1).otherwise(-1), [*key])
+def _symbols(marks: DataFrame, key: Sequence[str]) -> DataFrame:
+    return _pairs(marks.where("kind = 'symbol'"), key, F.when(F.col("name").isin("(", "["), 1).otherwise(-1), [*key])
 
 
-def _dollars(solid: DataFrame, key: Sequence[str]) -> DataFrame:
+def _dollars(marks: DataFrame, key: Sequence[str]) -> DataFrame:
     """Dollar delimiters toggle within their own group, so mathematics inside a text argument pairs by itself."""
     w = Window.partitionBy(*key, "gid", "depth").orderBy("pos")
-    d = solid.where("kind = 'dollar'").withColumns({
-        "_i": F.row_number().over(w), "c_off": F.lead("off").over(w), "c_run": F.lead("run").over(w),
+    d = _in_groups(marks, key).where("kind = 'dollar'").withColumns({
+        "_i": F.row_number().over(w), "c_off": F.lead("off").over(w), "c_size": F.lead("size").over(w),
     })
-    return d.where("_i % 2 = 1").select(*key, "pos", "off", "run", "c_off", "c_run")
+    return d.where("_i % 2 = 1").select(*key, "pos", "off", "size", "c_off", "c_size")
 
 
-def structure_errors(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text", lexemes: DataFrame | None = None) -> DataFrame:
-    """``key, off, code`` of every unmatched, mismatched or unclosed brace, environment and math delimiter."""
-    lex = lex_tex(docs, key, text) if lexemes is None else lexemes
-    rows = lex.where("kind IN ('open', 'close')").withColumn("n", F.length("run"))
-    brace = _pairs(rows, key, F.when(F.col("kind") == "open", 1).otherwise(-1), [*key])
+def structure_errors(docs: DataFrame, key: Sequence[str] = KEY, text: str = "text", marks: DataFrame | None = None) -> DataFrame:
+    """``key, off, code`` of every unmatched, mismatched or unclosed brace, environment and math delimiter.
+
+    The delimiters have several readers, so they are stored once.
+    """
+    marks = stored(delimiters(lex_tex(docs, key, text), key)) if marks is None else marks
+    brace = _pairs(marks.where("kind IN ('open', 'close')"), key, F.when(F.col("kind") == "open", 1).otherwise(-1), [*key])
 
     def errors(d: DataFrame, code: Column) -> DataFrame:
         # A mismatch is noticed at the closer, everything else at the delimiter itself.
         at = F.when(F.startswith("code", F.lit("mismatched")) & F.col("c_off").isNotNull(), F.col("c_off")).otherwise(F.col("off"))
         return d.withColumn("code", code).where(F.col("code").isNotNull()).select(*key, at.alias("off"), "code")
 
-    env = _environments(lex, key)
-    sym = _symbols(lex, key)
+    env = _environments(marks, key)
+    sym = _symbols(marks, key)
     closer = F.when(F.col("name") == "(", ")").otherwise("]")
-    count = lex.groupBy(*key).agg(F.count_if((F.col("kind") == "end") & (F.col("name") == "document")).alias("_n"))
+    count = marks.where("kind = 'end' AND name = 'document'").groupBy(*key).agg(F.count("*").alias("_n"))
     out = errors(brace, F.when(F.col("_s") == -1, "unmatched_closing_brace").when(F.col("c_pos").isNull(), "unclosed_brace"))
     out = out.unionByName(errors(env, F.when(F.col("_s") == -1, "unmatched_environment_end").when(F.col("c_pos").isNull(), "unclosed_environment")
                                  .when(F.col("name") != F.col("c_name"), "mismatched_environment_end")))
     out = out.unionByName(errors(sym, F.when(F.col("_s") == -1, "mismatched_math_delimiter").when(F.col("c_pos").isNull(), "unclosed_math")
                                  .when(F.col("c_name") != closer, "mismatched_math_delimiter")))
-    out = out.unionByName(errors(_dollars(_solid(lex, key), key), F.when(F.col("c_off").isNull(), "unclosed_math")
-                                 .when(F.col("run") != F.col("c_run"), "mismatched_dollar_delimiter")))
+    out = out.unionByName(errors(_dollars(marks, key), F.when(F.col("c_off").isNull(), "unclosed_math")
+                                 .when(F.col("size") != F.col("c_size"), "mismatched_dollar_delimiter")))
     none = docs.select(*key).join(count, list(key), "left").where(F.coalesce("_n", F.lit(0)) != 1)
     return out.unionByName(none.select(*key, F.lit(0).cast("bigint").alias("off"), F.lit("document_environment_count").alias("code")))
 
@@ -211,28 +245,26 @@ def _read_arguments(args: DataFrame, maths: DataFrame, key: Sequence[str]) -> Da
     return j.where(~F.coalesce("_in_raw", F.lit(False)) & (~in_math | special)).drop("_m", "_t", "_in_raw")
 
 
-def role_spans(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> tuple[DataFrame, DataFrame]:
+def role_spans(marks: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> tuple[DataFrame, DataFrame]:
     """``key, start, end, paint, opaque`` of everything that sets a role, and the bound arguments."""
-    solid = _solid(lexemes, key)
-    groups = bind_groups(solid, policy, key)
-    env = _environments(lexemes, key).where("c_pos IS NOT NULL AND _s = 1")
-    end = F.col("c_off") + F.col("c_n")
-    body = F.col("off") + F.length("run")
+    groups = bind_groups(marks, policy, key)
+    env = _environments(marks, key).where("c_pos IS NOT NULL AND _s = 1")
+    end = F.col("c_off") + F.col("c_size")
+    body = F.col("off") + F.col("size")
 
     def span(d: DataFrame, start: Column, stop: Column, paint: Column, opaque: bool) -> DataFrame:
         return d.select(*key, start.alias("start"), stop.alias("end"), paint.alias("paint"), F.lit(opaque).alias("opaque"))
 
-    doc = env.where("name = 'document'").select(*key, F.col("off").alias("_from"), end.alias("_to"))
-    last = lexemes.groupBy(*key).agg(F.max(F.col("off") + F.length("run")).alias("_len")).join(doc, list(key))
-    preamble = span(last, F.lit(0).cast("bigint"), F.col("_from"), F.lit("protected_preamble"), False)
-    after = span(last, F.col("_to"), F.col("_len"), F.lit("protected_preamble"), True)
+    doc = env.where("name = 'document'").select(*key, F.col("off").alias("_from"), end.alias("_to"), "total")
+    preamble = span(doc, F.lit(0).cast("bigint"), F.col("_from"), F.lit("protected_preamble"), False)
+    after = span(doc, F.col("_to"), F.col("total"), F.lit("protected_preamble"), True)
     # Before the document only theorem declarations are read; everything else there stays as it is.
     args = groups.where("role IS NOT NULL").join(doc.select(*key, "_from"), list(key))
     args = args.where((F.col("start") > F.col("_from")) | F.col("owner").isin("newtheorem", "newtheorem*"))
     raw = F.startswith("role", F.lit("protected")) | ((F.col("role") == "ambiguous_command_arg") & (F.col("kind") == "left"))
-    sym = span(_symbols(lexemes, key).where("c_pos IS NOT NULL AND _s = 1"), F.col("off"), end, F.lit("protected_math"), False)
-    dol = _dollars(solid, key).where("c_off IS NOT NULL")
-    dol = span(dol, F.col("off"), F.col("c_off") + F.length("c_run"), F.lit("protected_math"), False)
+    sym = span(_symbols(marks, key).where("c_pos IS NOT NULL AND _s = 1"), F.col("off"), end, F.lit("protected_math"), False)
+    dol = _dollars(marks, key).where("c_off IS NOT NULL")
+    dol = span(dol, F.col("off"), F.col("c_off") + F.col("c_size"), F.lit("protected_math"), False)
     maths = span(env.where(F.col("name").isin(*r.MATH_ENVIRONMENTS)), body, F.col("c_off"), F.lit("protected_math"), False)
     maths = maths.unionByName(sym).unionByName(dol)
     args = _read_arguments(args.withColumn("raw", raw), maths, key)
@@ -247,62 +279,131 @@ def role_spans(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY)
     return out.where("start < end"), args
 
 
+#: What a mark does to the lexemes inside it: gives them a role, decides over all inside it, shows text of mathematics, or is an edge.
+BASE, OPAQUE, MATH_TEXT, EDGE = range(4)
+
+
+def stretches(low: Sequence[int], high: Sequence[int], what: Sequence[int]) -> list[tuple[int, int, int, bool, bool]]:
+    """Where the marks that count change: ``at, raw, base, text, edge``, from marks in order of their start.
+
+    ``raw`` is the first opaque mark around the stretch and ``base`` the one that starts last (-1: none); ``text``: a mark of shown
+    text starts after the base.  A mark that has ended never counts again, so each is taken up and dropped once.
+    """
+    out, taken, first, i = [], ([], [], [], []), 0, 0
+    base, raws, text, edges = taken
+    for at in sorted({*low, *high}):
+        while i < len(low) and low[i] <= at:
+            taken[what[i]].append(i)
+            i += 1
+        for stack in (base, text, edges):
+            while stack and high[stack[-1]] <= at:
+                stack.pop()
+        while first < len(raws) and high[raws[first]] <= at:
+            first += 1
+        shown = bool(base and text) and low[text[-1]] > low[base[-1]]
+        out.append((at, raws[first] if first < len(raws) else -1, base[-1] if base else -1, shown, bool(edges)))
+    return out
+
+
+_STRETCH = {"at": (T.LongType(), np.int64), "raw": (T.IntegerType(), np.int32), "base": (T.IntegerType(), np.int32), "text": (T.BooleanType(), bool), "edge": (T.BooleanType(), bool)}
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField(k, v[0]) for k, v in _STRETCH.items()])))
+def _stretches(low: pa.Array, high: pa.Array, what: pa.Array) -> pa.Array:
+    lo, first, n = numbers(low)
+    (hi, *_), (sort, *_) = numbers(high), numbers(what)
+    columns, sizes = {k: [np.zeros(0, v[1])] for k, v in _STRETCH.items()}, []
+    for a, k in zip(first, n, strict=True):
+        rows = stretches(*(x[a : a + k].tolist() for x in (lo, hi, sort)))
+        for (name, (_, kind)), values in zip(_STRETCH.items(), zip(*rows, strict=True), strict=False):
+            columns[name].append(np.array(values, kind))
+        sizes.append(len(rows))
+    return lists(pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in columns.values()], list(columns)), sizes)
+
+
 def paint_roles(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
-    """``key, start, end, run, kind, role``: an opaque span decides over all inside it, else the innermost span does;
+    """``key, runs, kinds, at, roles``: an opaque span decides over all inside it, else the innermost span does;
     a text argument is visible prose of mathematics only where mathematics surrounds it."""
-    return paint(lexemes, *role_spans(lexemes, policy, key), key)
+    return paint(lexemes, *role_spans(delimiters(lexemes, key), policy, key), key)
+
+
+def marks_by_text(spans_: DataFrame, args: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """``key, _marks``: the ordered list of what sets a role in a text."""
+    what = F.when(F.col("opaque"), OPAQUE).when(F.col("paint") == "math_text", MATH_TEXT).otherwise(BASE)
+    rows = spans_.select(*key, F.struct("start", "paint", "end", what.alias("what")).alias("_m"))
+    ends = args.where("kind = 'left' AND role IN ('inherit', 'math_text')").select(*key, F.explode(F.array("start", F.col("end") - 1)).alias("start"))
+    edge = F.struct("start", F.lit("").alias("paint"), (F.col("start") + 1).alias("end"), F.lit(EDGE).alias("what"))
+    rows = rows.unionByName(ends.select(*key, edge.alias("_m")))
+    return rows.groupBy(*key).agg(F.array_sort(F.collect_list("_m")).alias("_marks"))
 
 
-def paint(lexemes: DataFrame, marks: DataFrame, args: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+def paint(lexemes: DataFrame, spans_: DataFrame, args: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """:func:`paint_roles` from role spans and arguments at hand."""
-    runs = lexemes.select(*key, F.col("off").alias("start"), (F.col("off") + F.length("run")).alias("end"), "run", "kind")
-    hit = spans.overlaps(runs.select(*key, "start", "end"), marks, key, ["paint", "opaque"])
-    hit = hit.where((F.col("r_start") <= F.col("start")) & (F.col("end") <= F.col("r_end")))
-    per = hit.groupBy(*key, "start").agg(
-        F.min_by(F.when(F.col("opaque"), F.col("paint")), F.when(F.col("opaque"), F.col("r_start"))).alias("_raw"),
-        F.max(F.when(~F.col("opaque") & (F.col("paint") != "math_text"), F.struct("r_start", "paint"))).alias("_base"),
-        F.max(F.when(F.col("paint") == "math_text", F.col("r_start"))).alias("_text"),
-    )
-    j = runs.join(per, [*key, "start"], "left")
-    in_text = F.coalesce((F.col("_base.paint") == "protected_math") & (F.col("_text") > F.col("_base.r_start")), F.lit(False))
-    ctx = F.coalesce("_raw", F.when(in_text, "visible_math_text").otherwise(F.col("_base.paint")), F.lit("visible_prose"))
-    j = j.withColumn("_ctx", ctx)
-    shown = F.col("_ctx").isin(*t.VISIBLE_ROLES, "ambiguous_command_arg")
-    edges = args.where("kind = 'left' AND role IN ('inherit', 'math_text')").select(*key, F.explode(F.array("start", F.col("end") - 1)).alias("start"))
-    j = j.join(edges.withColumn("_edge", F.lit(True)).distinct(), [*key, "start"], "left")
-    role = (
-        F.when((F.col("kind") == "comment") & F.col("_raw").isNull(), "protected_comment")
-        .when(~shown, F.col("_ctx"))
-        .when(F.col("kind").isin("verb", "verbatim"), "protected_verbatim")
-        .when(F.col("kind").isin("word", "symbol"), "protected_control")
-        .when(F.col("kind").isin("begin", "end", "open", "close") | F.col("_edge"), "protected_structure")
-        .when(F.col("kind") == "literal", "protected_identity_literal")
-        .otherwise(F.col("_ctx"))
-    )
-    return j.select(*key, "start", "end", "run", "kind", role.alias("role"))
+    return paint_marked(lexemes.join(marks_by_text(spans_, args, key), list(key), "left"), key)
+
+
+def paint_marked(d: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """:func:`paint_roles` of lexemes with their ``_marks``; no lexeme leaves its row."""
+    none = F.array().cast("array<struct<start:bigint,paint:string,end:bigint,what:int>>")
+    d = d.withColumn("_marks", F.coalesce("_marks", none))
+    field = lambda name: F.transform("_marks", lambda m: m[name])
+    d = d.withColumn("_st", _stretches(field("start"), field("end"), field("what")))
+    d = d.withColumn("_in", place_of("at", F.transform("_st", lambda x: x["at"])))
+    paint_of = lambda i: F.get("_marks", i)["paint"]
+
+    # An index of -1 gives null.
+    def role(kind: Column, place: Column) -> Column:
+        s = F.get("_st", place)
+        raw, base = paint_of(s["raw"]), paint_of(s["base"])
+        ctx = F.coalesce(raw, F.when((base == "protected_math") & s["text"], "visible_math_text").otherwise(base), F.lit("visible_prose"))
+        return (
+            F.when((kind == "comment") & raw.isNull(), "protected_comment")
+            .when(~ctx.isin(*t.VISIBLE_ROLES, "ambiguous_command_arg"), ctx)
+            .when(kind.isin("verb", "verbatim"), "protected_verbatim")
+            .when(kind.isin("word", "symbol"), "protected_control")
+            .when(kind.isin("begin", "end", "open", "close") | s["edge"], "protected_structure")
+            .when(kind == "literal", "protected_identity_literal")
+            .otherwise(ctx)
+        )
+
+    return d.select(*key, "runs", "kinds", "at", F.zip_with("kinds", "_in", role).alias("roles"))
+
+
+def _segments(painted: DataFrame, key: Sequence[str]) -> DataFrame:
+    first = F.transform("roles", lambda x, i: F.when((i == 0) | (x != F.get("roles", i - 1)), i))
+    d = painted.withColumn("_first", F.array_compact(first))
+
+    def segment(i: Column, n: Column) -> Column:
+        stop = F.coalesce(F.get("_first", n + 1), F.size("runs"))
+        surface = F.array_join(F.slice("runs", i + 1, stop - i), "")
+        return F.struct(F.get("roles", i).alias("role"), F.get("at", i).alias("start"), (F.get("at", i) + F.length(surface)).alias("end"), surface.alias("surface"))
+
+    return d.select(*key, F.transform("_first", segment).alias("_segments"))
 
 
 def text_segments(painted: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Adjacent lexemes of one role as one segment with its text, so that no word is cut where the lexer paused."""
-    w = Window.partitionBy(*key).orderBy("start")
-    new = F.when(F.lag("role").over(w) == F.col("role"), 0).otherwise(1)
-    d = painted.withColumn("_n", new).withColumn("_g", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.groupBy(*key, "_g", "role").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"),
-        F.array_join(F.array_sort(F.collect_list(F.struct("start", "run"))).getField("run"), "").alias("surface"),
-    ).drop("_g")
+    return _segments(painted, key).select(*key, F.inline("_segments"))
+
+
+def _shown(role: Column, surface: Column) -> Column:
+    return F.when(role.isin(*t.VISIBLE_ROLES), fx.project_text(surface)).otherwise(surface)
+
+
+def project_painted(painted: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
+    """Whole documents with visible segments projected in their row."""
+    return _segments(painted, key).select(*key, F.array_join(F.transform("_segments", lambda s: _shown(s["role"], s["surface"])), "").alias(text))
 
 
 def project_tex(segments: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> DataFrame:
-    """Whole documents with visible segments projected."""
-    out = F.when(F.col("role").isin(*t.VISIBLE_ROLES), fx.project_text(F.col("surface"))).otherwise(F.col("surface"))
-    d = segments.select(*key, F.struct(F.col("start"), out.alias("out")).alias("_s"))
+    """:func:`project_painted` from a table of segments."""
+    d = segments.select(*key, F.struct("start", _shown(F.col("role"), F.col("surface")).alias("out")).alias("_s"))
     return d.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_list("_s")).getField("out"), "").alias(text))
 
 
 def unknown_commands(lexemes: DataFrame, policy: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     """Commands with arguments that no policy covers; they are held, not guessed."""
-    return unknown_arguments(role_spans(lexemes, policy, key)[1], key)
+    return unknown_arguments(role_spans(delimiters(lexemes, key), policy, key)[1], key)
 
 
 def unknown_arguments(args: DataFrame, key: Sequence[str] = KEY) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The TeX job: lex once, validate, bind arguments once, paint and project."""
+"""The TeX job: lex, validate, bind arguments once, paint and project."""
 
 from __future__ import annotations
 
@@ -24,13 +24,16 @@ class TexProjection:
 def project_tex_corpus(docs: DataFrame, policy: DataFrame, key: Sequence[str] = KEY, text: str = "text") -> TexProjection:
     """Structurally sound documents projected; the others only reported.
 
-    Lexemes, arguments and role spans each have several readers, so each is written once to the scratch folder.
+    Delimiters, arguments and the marks of each text have several readers and hold no text, so each is written once to the scratch folder.
+    Texts are lexed twice, for their delimiters and where they are painted, instead of being stored.
     """
-    lexemes = materialise(tex.lex_tex(docs, key, text))
-    errors = materialise(tex.structure_errors(docs, key, text, lexemes))
-    sound = lexemes.join(errors.select(*key).distinct(), list(key), "left_anti")
-    marks, args = tex.role_spans(sound, policy, key)
+    marks = materialise(tex.delimiters(tex.lex_tex(docs, key, text), key))
+    errors = materialise(tex.structure_errors(docs, key, text, marks))
+    broken = errors.select(*key).distinct()
+    spans, args = tex.role_spans(marks.join(broken, list(key), "left_anti"), policy, key)
     args = materialise(args)
-    painted = tex.paint(sound, materialise(marks), args, key)
-    segments = tex.text_segments(painted, key)
-    return TexProjection(tex.project_tex(segments, key, text), segments, errors, tex.unknown_arguments(args, key))
+    by_text = materialise(tex.marks_by_text(spans, args, key))
+    sound = docs.select(*key, text).join(broken, list(key), "left_anti").join(by_text, list(key), "left")
+    lexed = tex.lex_tex(sound, key, text, keep=["_marks"])
+    painted = tex.paint_marked(lexed, key)
+    return TexProjection(tex.project_painted(painted, key, text), tex.text_segments(painted, key), errors, tex.unknown_arguments(args, key))

@@ -180,3 +180,34 @@ def test_three_documents_in_four_are_reported(spark):
     sf = "/root/testdata/sf0.001"
     found = markup.tex_errors(spark, sf).select("doc_id").distinct().count()
     assert found == spark.read.parquet(f"{sf}/documents.parquet").where("doc_id % 4 <> 0").count()
+
+
+def test_stretches_match_brute_force():
+    rng = random.Random(11)
+    for _ in range(300):
+        marks = sorted((a, a + rng.randrange(1, 12), rng.randrange(4)) for a in (rng.randrange(20) for _ in range(rng.randrange(9))))
+        low, high, what = zip(*marks) if marks else ((), (), ())
+        for at, raw, base, text, edge in tex.stretches(low, high, what):
+            around = {w: [i for i in range(len(low)) if what[i] == w and low[i] <= at < high[i]] for w in range(4)}
+            assert raw == min(around[tex.OPAQUE], default=-1) and base == max(around[tex.BASE], default=-1)
+            assert text == bool(around[tex.BASE] and any(low[i] > low[base] for i in around[tex.MATH_TEXT]))
+            assert edge == bool(around[tex.EDGE])
+
+
+def test_no_lexeme_leaves_its_row(spark):
+    from corpusgate.plans.tex import project_tex_corpus
+
+    docs = spark.createDataFrame([(i, p.source) for i, p in enumerate(MADE[:6])], "doc_id long, text string")
+    output = project_tex_corpus(docs, tex.policy_table(spark)).output
+    plan = output._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan
+    assert {r.doc_id: r.text for r in output.collect()} == {i: p.projected for i, p in enumerate(MADE[:6])}
+
+
+def test_projection_by_stretches_equals_projection_by_words(spark):
+    rng = random.Random(5)
+    bits = ["ljubav", "NJ", "nj", "dŽ", "đ", "Đak", " ", "q", "Xw", "IV", "MMMM", "I", "слово", "mešaнo", "ſ", "́", "9", "²", "Ⅳ", "l", "j", "ďž", "\n", "𝒜", "IVa"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(30)))) for i in range(2000)] + [(-1, None), (-2, "more ljudi " * 50_000)]
+    d = spark.createDataFrame(rows, "id long, text string")
+    by_words = fx.rewrite_words(F.col("text"), fx.project_word)
+    assert d.where(~by_words.eqNullSafe(fx.project_text(F.col("text")))).count() == 0
