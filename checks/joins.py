@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusgate.functions import text as fx
 from corpusgate.operators import gates, identity, inventory, lines, matches, spans, textqa, tokens
+from corpusgate.session import stored
 
 from .registry import (
     L, LATER, LATER_DOCS, V_DOCS, blocked_sql, check, later_docs, lines_sql, reasons_sql, roman_sql, runs_sql,
@@ -110,10 +111,9 @@ APPROVALS_SQL = f"""(SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN off + 1 ELSE o
 
 
 def structural_issues(spark, sf):
-    run = F.col("run")
-    tok = tokens.tokenise(variant_docs(spark, sf)).where("is_word")
-    tok = tok.where(~fx.is_projectable(run) | (run == "X"))
-    return tok.select("doc_id", "off", run.alias("word"), F.array_join(fx.block_reasons(run), ",").alias("reasons"))
+    """Blocked words; a lone X is one of them, since X has no correspondence."""
+    d = tokens.locate_blocked_words(variant_docs(spark, sf))
+    return d.withColumn("reasons", F.array_join(fx.block_reasons(F.col("word")), ","))
 
 
 def reviewed(issues):
@@ -133,7 +133,7 @@ def reviewed(issues):
     FROM i FULL OUTER JOIN a USING (doc_id, off, word)""".replace("GROUP BY ALL", "GROUP BY doc_id, off, word"),
 )
 def j9(spark, sf):
-    issues = structural_issues(spark, sf)
+    issues = stored(structural_issues(spark, sf))  # read three times
     return identity.match_approvals(issues, reviewed(issues), ["doc_id", "off", "word"], ["reasons"])
 
 
@@ -143,7 +143,7 @@ def j9(spark, sf):
       AND a.word = i.word) AS approved FROM {ISSUES_SQL} i""",
 )
 def j10(spark, sf):
-    issues = structural_issues(spark, sf)
+    issues = stored(structural_issues(spark, sf))  # read three times
     return identity.partition_issues(issues, reviewed(issues), ["doc_id", "off", "word"])
 
 

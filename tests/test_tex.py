@@ -211,3 +211,15 @@ def test_projection_by_stretches_equals_projection_by_words(spark):
     d = spark.createDataFrame(rows, "id long, text string")
     by_words = fx.rewrite_words(F.col("text"), fx.project_word)
     assert d.where(~by_words.eqNullSafe(fx.project_text(F.col("text")))).count() == 0
+
+
+def test_blocked_words_are_cut_without_the_others(spark):
+    rng = random.Random(6)
+    bits = ["ljubav", "nj", " ", "q", "Xw", "X", "IV", "MMMM", "I", "слово", "mešaнo", "́", "9", "²", "Ⅳ", "IVa", "-"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randrange(30)))) for i in range(1000)] + [(-1, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    want = tokens.tokenise(d).where(F.col("is_word") & ~fx.is_projectable(F.col("run"))).select("doc_id", "off", F.col("run").alias("word"))
+    found = tokens.locate_blocked_words(d)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    plan = tokens.blocked_words(d, ["doc_id"])
+    assert sorted(map(tuple, plan.collect())) == sorted((r.doc_id, r.word) for r in want.collect())
