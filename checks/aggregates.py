@@ -95,8 +95,8 @@ def a7(spark, sf):
     FROM o LEFT JOIN p USING (lang, word, reasons) WHERE permitted IS NULL OR n > permitted""",
 )
 def a8(spark, sf):
-    observed = tokens.signature_multiset(tokens.words(variant_docs(spark, sf), ["lang"]), ["lang"], "word")
-    permitted = tokens.signature_multiset(tokens.words(table(spark, sf, "documents"), ["lang"]), ["lang"], "word")
+    observed = tokens.signature_multiset(tokens.blocked_words(variant_docs(spark, sf), ["lang"]), ["lang"], "word")
+    permitted = tokens.signature_multiset(tokens.blocked_words(table(spark, sf, "documents"), ["lang"]), ["lang"], "word")
     permitted = permitted.withColumn("n", F.expr("CASE WHEN n % 5 = 0 THEN n - 1 ELSE n END"))
     return gates.multiset_violations(observed, permitted, ["lang", "word", "reasons"])
 
