@@ -78,9 +78,7 @@ def u3(spark, sf):
     WHERE coalesce(l.n, 0) <> coalesce(r.n, 0)""",
 )
 def u4(spark, sf):
-    left = tokens.words(table(spark, sf, "documents"), ["doc_id"])
-    right = tokens.words(later_docs(spark, sf), ["doc_id"])
-    return gates.multiset_differences(left, right, ["doc_id", "word"])
+    return gates.word_differences(table(spark, sf, "documents"), later_docs(spark, sf), ["doc_id"])
 
 
 @check(

@@ -332,3 +332,14 @@ def test_numbering_letters_by_rules(spark):
     rows = inventory.one_letter_inventory(docs, spark.createDataFrame([], "doc_id long, start long, end long"), inventory.label_rules(["Kap*"]), letters=("I",)).collect()
     got = {r.doc_id: "word" if r.disposition == inventory.LEXICAL else "label" for r in rows if r.surface == "I"}
     assert got == {i: kind for i, (_, kind) in enumerate(cases)}
+
+
+def test_word_differences_shuffle_no_word(spark):
+    from corpusgate.operators import gates, tokens
+
+    a = spark.createDataFrame([(1, "a b b"), (2, "same same"), (3, None), (4, "only left"), (6, "x"), (6, "y x")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "b a c"), (2, "same same"), (3, "new"), (5, "only right"), (6, "y x"), (6, "z")], "doc_id long, text string")
+    found = gates.word_differences(a, b, ["doc_id"])
+    want = gates.multiset_differences(tokens.words(a, ["doc_id"]), tokens.words(b, ["doc_id"]), ["doc_id", "word"])
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
