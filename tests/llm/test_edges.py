@@ -135,6 +135,46 @@ def test_signatures_decide_nothing(spark, monkeypatch):
     assert got == plain.near_components(docs) and len({c for _, c in got.values()}) < 120
 
 
+def test_strays_of_a_group_are_not_all_verified_against_it(spark, monkeypatch):
+    rng, verified, whole = random.Random(11), [], minhash.verify
+
+    def watched(pairs, sets, least):
+        verified.append(pairs.count())
+        return whole(pairs, sets, least)
+
+    monkeypatch.setattr(minhash, "verify", watched)
+    base, docs = [f"w{i}" for i in range(60)], []
+    for i in range(240):  # each shares two thirds to nine tenths of its shingles with the base, and less with most others
+        v = list(base)
+        for at in rng.sample(range(12), rng.choice([1, 1, 2, 3])):
+            v[at * 5] = f"v{i}x{at}"
+        docs.append((i, " ".join(v)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert got == plain.near_components(docs) and len({c for _, c in got.values()}) > 10
+    assert sum(verified) < 10 * len(docs)
+
+
+def test_a_set_is_named_once_where_its_shingles_are_counted(spark, monkeypatch):
+    """The rows of the last turn: one pair of alike sets meets in few of the buckets that it shares."""
+    words = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(words[: 100 + i] + [f"v{i}"] + words[101 + i :])) for i in range(6)]
+    named = spark.createDataFrame(docs, "doc_id long, text string")
+    h, sizes = minhash.shingle_sets([t.encode() for _, t in docs])
+    names = minhash._names(*minhash._digests(h, sizes), sizes).tolist()
+    t = np.bincount(minhash._short(h, sizes)[1]).tolist()
+    sets = spark.createDataFrame([(names[i], i, int(sizes[i]), t[i]) for i in range(6)], "name long, node long, n long, t long")
+    rows = {r.node: r.rare for r in minhash.rare_shingles(named, sets, int(sizes.sum()), (75, 100)).collect()}
+    assert set(rows) == set(range(6))
+    for x in rows:
+        for y in rows:
+            if x < y:
+                shared = {r.bucket for r in rows[x]} & {r.bucket for r in rows[y]}
+                mine, theirs = ({r.bucket: r for r in rows[d]} for d in (x, y))
+                first = [b for b in shared if mine[b].before is None or mine[b].before != theirs[b].before]
+                assert shared and 1 <= len(first) < len(shared) / 2
+                assert min(shared, key=lambda b: mine[b].at) in first
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 150), (7, 7)]
     got = {r.node: r.component for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
