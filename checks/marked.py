@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from corpusgate.functions import tables as t
 from corpusgate.operators import inventory, matches, pieces
 from corpusgate.plans import marked
+from corpusgate.session import stored_by_text
 
 from .markup import LEX_SQL, PAINT_SQL, ROLES, VISIBLE
 from .registry import ANNOUNCING, V_DOCS, blocked_sql, check, runs_sql, table
@@ -106,7 +107,7 @@ held AS (SELECT * FROM first UNION ALL SELECT *, 'held_letter' FROM lone n WHERE
     JOIN laid o ON o.page_id = h.doc_id // {_SIZE} AND o.start = h.doc_id % {_SIZE}""",
 )
 def p1_trace(spark, sf):
-    return marked.project_marked(pages_of(spark, sf), ROLES, **_how()).trace
+    return stored_by_text(marked.project_marked(pages_of(spark, sf), ROLES, **_how()).trace)
 
 
 _UNIT_COUNT = f"list_transform(regexp_extract_all(html, '{UNITS_RE2}', 1), lambda u: lower(u))"

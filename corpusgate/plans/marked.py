@@ -12,8 +12,8 @@ from ..functions import tables as t
 from ..functions import text as fx
 from ..operators import gates, inventory, markup, matches, pieces, projection, spans
 from ..operators.tokens import tokenise
+from ..session import stored_by_text
 from ..sources import sinks
-from .projection import materialise
 
 KEY = ("page_id",)
 
@@ -31,7 +31,7 @@ def project_marked(
     pages: DataFrame, roles: markup.Roles, reviewed: DataFrame | None = None, key: Sequence[str] = KEY, html: str = "html", **how,
 ) -> MarkedProjection:
     """Project the visible words of marked-up texts; ``how`` goes to ``pieces.piece_table``."""
-    table = materialise(pieces.piece_table(pages, roles, reviewed, key=key, html=html, **how))
+    table = stored_by_text(pieces.piece_table(pages, roles, reviewed, key=key, html=html, **how))
     return MarkedProjection(table, pieces.output_of(table, key, html), pieces.held_trace(table, key))
 
 
@@ -42,10 +42,10 @@ def second_derivation(
     """The output once more and by other means: each visible stretch is a document, its spans are found one kind at a time and
     merged, and words are cut at span edges by a join."""
     painted = pieces.paint_pages(pages, roles, key, html)
-    painted = materialise(painted.select(*key, "start", "run", "kind", "role"))
+    painted = stored_by_text(painted.select(*key, "start", "run", "kind", "role"))
     shown = painted.where((F.col("kind") == "text") & F.col("role").isin(*t.VISIBLE_ROLES))
     part = [*key, "_from"]
-    docs = materialise(shown.select(*key, F.col("start").alias("_from"), F.col("run").alias("text")))
+    docs = stored_by_text(shown.select(*key, F.col("start").alias("_from"), F.col("run").alias("text")))
     names = matches.name_spans(docs, part, *matches.NAME_SUBTYPES[0]).select(*part, "start", "end")
     literal = rf"(?<!\p{{L}}){pieces.LITERAL}(?!\p{{L}})"
     cut = docs.select(*part, F.regexp_extract_all("text", F.lit(rf"{literal}|[^qQ]+|(?s:.)"), F.lit(0)).alias("r"))
@@ -102,7 +102,7 @@ def gate_rows(
     for code, d in checks.items():
         one = d.agg(F.count_if(~F.col("pass")).alias("failures")).select(F.lit(code).alias("code"), "failures", (F.col("failures") == 0).alias("pass"))
         rows = one if rows is None else rows.unionByName(one)
-    return rows
+    return stored_by_text(rows)
 
 
 def publish(pages: DataFrame, done: MarkedProjection, again: DataFrame, roles: markup.Roles, path: str, key: Sequence[str] = KEY, html: str = "html") -> str:

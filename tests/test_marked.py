@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,3 +244,23 @@ def test_locators_on_one_long_line(spark):
     assert got.select("line_sha256").distinct().count() == 2
     tail = {r.start: (r.byte_off, r.line_no) for r in got.where(f"start > {end} OR start = 9").collect()}
     assert tail == {9: (len(text[:9].encode()), 1), end + 1: (len(text[:end].encode()), 1), end + 2: (len(text[: end + 2].encode()), 2)}
+
+
+def test_python_workers_hold_few_texts(spark, monkeypatch):
+    from corpusgate import session
+
+    before, seen = spark.conf.get(session.BATCH), []
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    stored = session.stored
+    monkeypatch.setattr(session, "stored", lambda d: seen.append(spark.conf.get(session.BATCH)) or stored(d))
+    got = [r.n for r in session.stored_by_text(spark.range(0, 700, 1, 1).mapInArrow(sizes, "n long")).collect()]
+    assert sum(got) == 700 and max(got) == session.TEXTS and spark.conf.get(session.BATCH) == before
+    seen.clear()
+    pages = spark.createDataFrame([(1, "<p>Novak i Kapitel V. 12pt</p>")], "page_id long, html string")
+    done = marked.project_marked(pages, ROLES)
+    marked.gate_rows(pages, done, marked.second_derivation(pages, ROLES), ROLES)
+    assert seen == [str(session.TEXTS)] * 4 and spark.conf.get(session.BATCH) == before
