@@ -264,3 +264,13 @@ def test_python_workers_hold_few_texts(spark, monkeypatch):
     done = marked.project_marked(pages, ROLES)
     marked.gate_rows(pages, done, marked.second_derivation(pages, ROLES), ROLES)
     assert seen == [str(session.TEXTS)] * 4 and spark.conf.get(session.BATCH) == before
+
+
+def test_refused_edits_hand_python_few_texts(spark, monkeypatch):
+    from checks import rewriting
+    from corpusgate import session
+
+    seen, stored = [], session.stored
+    monkeypatch.setattr(session, "stored", lambda d: seen.append(spark.conf.get(session.BATCH)) or stored(d))
+    rewriting.r9_refused(spark, "/root/testdata/sf0.001")
+    assert seen == [str(session.TEXTS)]
