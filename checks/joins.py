@@ -4,10 +4,10 @@ from pyspark.sql import functions as F
 
 from corpusgate.functions import text as fx
 from corpusgate.operators import gates, identity, inventory, lines, matches, spans, textqa, tokens
-from corpusgate.session import stored
+from corpusgate.session import stored, stored_by_text
 
 from .registry import (
-    L, LATER, LATER_DOCS, V_DOCS, blocked_sql, check, later_docs, lines_sql, reasons_sql, roman_sql, runs_sql,
+    L, LATER, LATER_DOCS, V_DOCS, as_sql, blocked_sql, check, later_docs, lines_sql, reasons_sql, roman_sql, runs_sql,
     script_sql, table, unmapped_sql, variant_docs, words_sql,
 )
 
@@ -181,8 +181,8 @@ def j11(spark, sf):
     rows = structural_issues(spark, sf).select(
         "doc_id", F.col("off").alias("start"), (F.col("off") + F.expr(_LONG)).alias("end")
     )
-    manifest = identity.locate_manifest(rows, docs)
-    return identity.stale_locators(manifest, docs.select("doc_id", F.expr(LATER).alias("text")))
+    told = identity.manifests(rows, docs)
+    return stored_by_text(identity.stale_in_text(told, docs.select("doc_id", as_sql(LATER).alias("text"))))
 
 
 @check(

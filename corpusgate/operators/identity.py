@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import tables as t
 from ..functions import text as fx
-from ..functions.arrays import bytes_before, line_starts, place_of, slices_of
+from ..functions.arrays import bytes_before, hashes_of, line_starts, place_of, slices_of
 
 
 def identity_table(df: DataFrame, path: Column, value: Column) -> DataFrame:
@@ -74,51 +74,77 @@ def partition_issues(issues: DataFrame, approvals: DataFrame, key: Sequence[str]
 LOCATOR_FIELDS = ("surface", "surface_sha256", "line_no", "col_no", "byte_off", "line_sha256", "context_sha256")
 
 
-def locate_manifest(rows: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
-    """What a text holds at each row's ``start, end``: surface, hashes, line, column, byte offset.
+def manifests(rows: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``key, manifest``: what a text holds at each row's ``start, end``, as one list: surface, hashes, line, column, byte offset.
 
     The rows of a text travel to it once, as one list; lines are measured and hashed once, not shuffled, and not repeated for each row
     on them, since one line may be the whole text.  Rows outside the text, or without one, keep nulls.
     """
     span = F.struct(F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
     per = rows.groupBy(*key).agg(F.array_sort(F.collect_list(span)).alias("_rows"))
-    d = per.join(docs.select(*key, F.col(text).alias("_text")), list(key), "left")
+    return _told(per.join(docs.select(*key, F.col(text).alias("_text")), list(key), "left"), key, "manifest")
+
+
+def _told(d: DataFrame, key: Sequence[str], name: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``key, keep`` and, as ``name``, what ``_text`` holds at ``_rows``, in their order."""
     d = d.withColumn("_lines", F.regexp_extract_all("_text", F.lit(t.PHYSICAL_LINE), F.lit(0)))
     sizes = F.transform("_lines", lambda x: F.struct(F.length(x).alias("n"), F.octet_length(x).alias("b")))
     shas = F.transform("_lines", lambda x: fx.sha256_upper(F.regexp_replace(x, rf"[{t.BREAK}]+\z", "")))
-    d = d.select(*key, "_rows", "_text", line_starts(sizes).alias("_starts"), shas.alias("_shas"), F.length("_text").cast("bigint").alias("_end"))
+    d = d.select(*key, *keep, "_rows", "_text", line_starts(sizes).alias("_starts"), shas.alias("_shas"), F.length("_text").cast("bigint").alias("_end"))
     d = d.withColumn("_line", place_of(F.transform("_rows", lambda r: r["start"]), F.transform("_starts", lambda x: x["at"])))
 
     def begin(n: Column) -> Column:
         return F.get("_starts", n)["at"]
 
-    low = [F.transform("_rows", f) for f in (lambda r: r["start"], lambda r: r["start"] - 80)]
-    high = [F.transform("_rows", f) for f in (lambda r: r["end"], lambda r: r["start"] + 160)]
-    d = d.withColumn("_s", slices_of("_text", F.concat(*low), F.concat(*high)))
-    d = d.withColumn("_byte", bytes_before("_text", F.transform("_rows", lambda r: F.coalesce(r["start"], F.lit(0)))))
+    def of_rows(f) -> Column:
+        return F.transform("_rows", f)
+
+    d = d.withColumns({
+        "_s": slices_of("_text", of_rows(lambda r: r["start"]), of_rows(lambda r: r["end"])),
+        "_near": hashes_of("_text", of_rows(lambda r: r["start"] - 80), of_rows(lambda r: r["start"] + 160)),
+        "_byte": bytes_before("_text", of_rows(lambda r: F.coalesce(r["start"], F.lit(0)))),
+    })
 
     def told(r: Column, i: Column) -> Column:
-        n, k = F.get("_line", i), F.size("_rows")
+        n = F.get("_line", i)
         there = F.coalesce(r["start"] < F.col("_end"), F.lit(False)) & (n >= 0)
-        surface, near = F.get("_s", i), F.get("_s", i + k)
+        surface = F.get("_s", i)
         fields = {
             "surface": surface, "surface_sha256": fx.sha256_upper(surface), "line_no": (n + 1).cast("bigint"), "col_no": r["start"] - begin(n) + 1,
-            "byte_off": F.get("_byte", i), "line_sha256": F.get("_shas", n), "context_sha256": fx.sha256_upper(near),
+            "byte_off": F.get("_byte", i), "line_sha256": F.get("_shas", n), "context_sha256": F.get("_near", i),
         }
         return F.struct(r["start"].alias("start"), r["end"].alias("end"), *(F.when(there, v).alias(k_) for k_, v in fields.items()))
 
-    return d.select(*key, F.inline(F.transform("_rows", told)))
+    return d.select(*key, *keep, of_rows(told).alias(name))
+
+
+def locate_manifest(rows: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
+    """:func:`manifests` as rows."""
+    return manifests(rows, docs, key, text).select(*key, F.inline("manifest"))
+
+
+def stale_in_text(told: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
+    """Rows of :func:`manifests` with the locator fields that no longer hold in the current text, comma-joined.
+
+    Only the current text travels; what it holds now is compared in its row.
+    """
+    d = told.join(docs.select(*key, F.col(text).alias("_text")), list(key), "left")
+    d = d.withColumn("_rows", F.transform("manifest", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))))
+    d = _told(d, key, "_now", ["manifest"])
+
+    def judged(m: Column, i: Column) -> Column:
+        now = F.get("_now", i)
+        drift = F.array_compact(F.array(*[F.when(~m[f].eqNullSafe(now[f]), F.lit(f)) for f in LOCATOR_FIELDS]))
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["surface"].alias("surface"), F.array_join(drift, ",").alias("drift"))
+
+    # An inner generator would have Spark put a test of its list below the walks, and cut every text twice.
+    return d.select(*key, F.explode_outer(F.transform("manifest", judged)).alias("_r")).where("_r IS NOT NULL").select(*key, "_r.*")
 
 
 def stale_locators(manifest: DataFrame, docs: DataFrame, key: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Manifest rows with the locator fields that no longer hold in the current text, comma-joined."""
-    now = locate_manifest(manifest, docs, key)
-    now = now.select(*key, "start", "end", *[F.col(f).alias(f"_now_{f}") for f in LOCATOR_FIELDS])
-    j = manifest.join(now, [*key, "start", "end"], "left")
-    drift = F.array_compact(F.array(*[
-        F.when(~F.col(f).eqNullSafe(F.col(f"_now_{f}")), F.lit(f)) for f in LOCATOR_FIELDS
-    ]))
-    return j.select(*key, "start", "end", "surface", F.array_join(drift, ",").alias("drift"))
+    """:func:`stale_in_text` of a manifest that is given as rows."""
+    fields = F.struct("start", "end", *LOCATOR_FIELDS)
+    return stale_in_text(manifest.groupBy(*key).agg(F.collect_list(fields).alias("manifest")), docs, key)
 
 
 def companions(
