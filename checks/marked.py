@@ -81,7 +81,7 @@ def projected(spark, sf):
 
 @check("p1_project_marked", f"{_GIVEN} SELECT page_id, html FROM {M_OUTPUT}")
 def p1(spark, sf):
-    return projected(spark, sf)[1].output
+    return stored_by_text(projected(spark, sf)[1].output)
 
 
 # Held pieces one kind at a time; what two kinds claim goes to the first of literal, name, unit.
@@ -163,5 +163,5 @@ def p1_census(spark, sf):
     """Pieces that have a kind of their own; what stands between words is left out, and so are words in protected text."""
     done = marked.project_marked(pages_of(spark, sf), ROLES, **_how())
     d = pieces.piece_census(done.table)
-    return d.where((F.col("kind") == "markup") | (F.col("role").isin(*t.VISIBLE_ROLES) & (F.col("kind") != "other")))
+    return stored_by_text(d.where((F.col("kind") == "markup") | (F.col("role").isin(*t.VISIBLE_ROLES) & (F.col("kind") != "other"))))
 
